@@ -4,13 +4,20 @@ from __future__ import annotations
 
 import json
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opsignals.functions import pii
 
+# The one Python function of the library travels with the job, so executors need no install.
+for _module in (pii, sys.modules[__name__]):
+    cloudpickle.register_pickle_by_value(_module)
+
 
 def pii_redact(df: DataFrame, *columns: str) -> DataFrame:
     """The named text columns with every hit replaced by its label; whole texts, no shuffle."""
@@ -30,7 +37,7 @@ def pii_audit(df: DataFrame, text: str, by: str) -> DataFrame:
     )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _redact_json(texts: pd.Series) -> pd.Series:
     def one(text):
         if text is None:
