@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import timedelta
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -111,7 +113,8 @@ def stream_metric_batches(
     cap: int = metrics.MAX_ENTRIES,
     delay_seconds: int = 600,
 ) -> StreamingQuery:
-    """Valid entries written with their batch, capped over micro-batches.
+    """Valid entries written with their batch, capped over micro-batches, and what each
+    micro-batch kept and dropped (``<out>/entries``, ``<out>/counts``).
 
     What a batch has already taken is carried as one count per open batch; a new micro-batch
     keeps at most what is left. Counts of batches older than the newest entry by more than the
@@ -122,33 +125,33 @@ def stream_metric_batches(
     carried = CarriedState(entries.sparkSession, state, ddl)
 
     def place(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         before = carried.before(batch_id)
         fresh = batch.withColumn("recorded_at", F.col("recorded_at").cast("timestamp"))
-        kept = metrics.metric_batches(fresh, buffer, period=period, cap=cap)
+        seen = metrics.metric_batch_counts(fresh, buffer, period=period, cap=2**62).select(*keys, F.col("kept").alias("seen"))
         # At most cap rows per batch are left, so ranking them against what is taken is small.
-        on = [kept[k].eqNullSafe(before[k]) for k in keys]
-        joined = kept.join(before, on, "left").select(kept["*"], F.coalesce(before["taken"], F.lit(0)).alias("taken"))
-        ranked = joined.selectExpr(
-            "*",
-            f"row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY recorded_at, seq) AS position",
-        )
-        folder = f"{out}/batch={batch_id}"
-        ranked.filter(F.col("position") + F.col("taken") <= cap).drop("position", "taken").write.mode(
-            "overwrite"
-        ).parquet(folder)
-        written = batch.sparkSession.read.parquet(folder)
-        after = (
-            written.groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("taken"))
-            .unionByName(before)
-            .groupBy(*keys)
-            .agg(F.sum("taken").alias("taken"))
+        kept = metrics.metric_batches(fresh, buffer, period=period, cap=cap)
+        joined = kept.join(before, [kept[k].eqNullSafe(before[k]) for k in keys], "left").select(
+            kept["*"], F.coalesce(before["taken"], F.lit(0)).alias("taken")
         )
-        newest = after.agg(F.max("batch_started_at").alias("newest"))
-        oldest_open = F.col("newest") - F.expr(f"INTERVAL {delay_seconds} SECONDS")
-        # One row on the right: the newest period.
-        recent = after.join(F.broadcast(newest), F.col("batch_started_at") >= oldest_open)
-        carried.save(batch_id, recent.select(*keys, "taken"))
+        position = F.row_number().over(Window.partitionBy(*keys).orderBy("recorded_at", "seq"))
+        fits = joined.withColumn("position", position).filter(F.col("position") + F.col("taken") <= cap)
+        entries_folder = f"{out}/entries/batch={batch_id}"
+        fits.drop("position", "taken").write.mode("overwrite").parquet(entries_folder)
+
+        taken = spark.read.parquet(entries_folder).groupBy(*keys).agg(F.count(F.lit(1)).alias("taken"))
+        counts_folder = f"{out}/counts/batch={batch_id}"
+        seen.join(taken, [seen[k].eqNullSafe(taken[k]) for k in keys], "left").select(
+            *[seen[k] for k in keys],
+            F.coalesce("taken", F.lit(0)).alias("kept"),
+            (F.col("seen") - F.coalesce("taken", F.lit(0))).alias("dropped"),
+        ).write.mode("overwrite").parquet(counts_folder)
+
+        after = taken.unionByName(before).groupBy(*keys).agg(F.sum("taken").alias("taken"))
+        newest = after.agg(F.max("batch_started_at")).first()[0]
+        if newest is not None:
+            after = after.filter(F.col("batch_started_at") >= newest - timedelta(seconds=delay_seconds))
+        carried.save(batch_id, after)
 
     return (
         entries.writeStream.foreachBatch(place)
@@ -157,12 +160,3 @@ def stream_metric_batches(
         .start()
     )
 
-
-__all__ = [
-    "stream_change_dedupe",
-    "stream_metric_batches",
-    "stream_perf_rollup",
-    "stream_retry_ledger",
-    "stream_trace_capture",
-    "write_parquet",
-]
