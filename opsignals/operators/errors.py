@@ -44,6 +44,11 @@ def user_asof(errors: DataFrame, set_user: DataFrame, *, segment: Column | None
     return seen.withColumn("user", user).drop("setting", "current", "is_error")
 
 
+def _by_number(trail: Column) -> Column:
+    # A map inside has no order of its own, so the comparison names the number.
+    return F.array_sort(trail, lambda a, b: F.when(a["number"] < b["number"], -1).otherwise(1))
+
+
 def breadcrumb_trail(
     errors: DataFrame,
     breadcrumbs: DataFrame,
@@ -93,8 +98,8 @@ def breadcrumb_trail(
         wanted.join(crumbs, ["thread_id", "number"])
         .filter(F.col("cleared_at").isNull() | (F.col("added_at") > F.col("cleared_at")))
         .groupBy("error_id")
-        .agg(F.sort_array(F.collect_list(F.struct("number", "crumb"))).alias("trail"))
-        .select("error_id", F.transform("trail", lambda t: t["crumb"]).alias("breadcrumbs"))
+        .agg(F.collect_list(F.struct("number", "crumb")).alias("trail"))
+        .select("error_id", F.transform(_by_number(F.col("trail")), lambda t: t["crumb"]).alias("breadcrumbs"))
     )
     return errors.join(trails, "error_id", "left").withColumn(
         "breadcrumbs", F.coalesce("breadcrumbs", F.array().cast(crumb_type))

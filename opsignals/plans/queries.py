@@ -619,7 +619,7 @@ def trace_breakdown(spark, sf_dir):
        LEFT JOIN root_spans r ON r.trace_id = o.trace_id
        UNION ALL
        SELECT trace_id, span_id,
-              CASE WHEN CAST(trace_id AS BIGINT) % 6 IN (3, 4, 5) AND substring(traceparent, 5, 32) <> repeat('0', 32)
+              CASE WHEN CAST(trace_id AS BIGINT) % 6 IN (3, 4, 5) AND substring(trim(traceparent), 4, 32) <> repeat('0', 32)
                    THEN regexp_extract(traceparent, '-([0-9]{16})-', 1) END,
               name, 'controller', -4611686018427387904
        FROM root_spans""",

@@ -15,12 +15,12 @@ TABLES = (
 _ENV = "CASE event_id % 3 WHEN 0 THEN 'production' WHEN 1 THEN 'staging' ELSE 'development' END"
 _RELEASE = "CASE event_id % 4 WHEN 1 THEN 'r1' WHEN 2 THEN 'r2' WHEN 3 THEN 'r3' END"
 _THREAD = "CAST(user_id AS STRING)"
-# Unique and increasing along an order's lines.
-_LINE_SEQ = "(l_linenumber * 1000000000000 + l_partkey * 100000 + l_suppkey)"
-_LINE_ID = (
-    "CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || CAST(l_partkey AS STRING)"
-    " || '-' || CAST(l_suppkey AS STRING)"
+# Increasing along an order's lines, and no two alike.
+_LINE_SEQ = (
+    "(l_linenumber * 100000000000000000 + l_partkey * 100000000000 + l_suppkey * 10000000"
+    " + CAST(round(l_extendedprice * 100) AS BIGINT))"
 )
+_LINE_ID = f"CAST(l_orderkey AS STRING) || '-' || CAST({_LINE_SEQ} AS STRING)"
 _LINE_KIND = """CASE l_returnflag || l_linestatus WHEN 'AF' THEN 'database' WHEN 'AO' THEN 'http'
     WHEN 'NF' THEN 'db' WHEN 'NO' THEN 'redis' WHEN 'RF' THEN 'service' ELSE 'job' END"""
 
@@ -113,7 +113,7 @@ VIEWS = {
         UNION ALL
         SELECT CAST(l_orderkey AS STRING), {_LINE_ID},
                CASE WHEN l_returnflag = 'R' THEN 2 * {_LINE_SEQ} + 1
-                    ELSE 200000000000000 - 2 * {_LINE_SEQ} END,
+                    ELSE 2000000000000000000 - 2 * {_LINE_SEQ} END,
                'close', 'line ' || CAST(l_linenumber AS STRING), {_LINE_KIND}, l_shipdate, l_quantity
         FROM {{lineitem}} WHERE l_linenumber <= 4""",
     "metrics": f"""
