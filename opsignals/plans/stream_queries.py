@@ -1 +1,131 @@
-"""Streams over the given tables."""
+"""The streaming jobs over the given tables, each run to completion and read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from opsignals.operators import perf
+from opsignals.plans.queries import _CARRY_SQL, _VALID_METRICS, _money, _stamp, query
+from opsignals.plans.views import VIEWS
+from opsignals.streaming import jobs
+from opsignals.streaming.state import shared_folder
+
+
+def _events(spark, sf_dir) -> DataFrame:
+    """The events table as a stream, under the schema its file states."""
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+
+
+def _stream_view(spark, sf_dir, name: str, time: str) -> DataFrame:
+    rows = spark.sql(VIEWS[name], events=_events(spark, sf_dir))
+    return rows.withColumn(time, F.col(time).cast("timestamp"))
+
+
+def _written(spark, df: DataFrame, name: str) -> DataFrame:
+    folder = shared_folder(spark, name)
+    jobs.write_parquet(df, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return spark.read.schema(df.schema).parquet(f"{folder}/out")
+
+
+@query(
+    "stream_perf_rollup",
+    """SELECT transaction_name, environment, release,
+              strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS period_started_at,
+              count(*) AS request_count, round(sum(duration_ms), 2) AS duration_sum_ms,
+              round(max(duration_ms), 2) AS max_duration_ms
+       FROM timings GROUP BY ALL
+       HAVING date_trunc('hour', min(ts)) + INTERVAL '1' HOUR
+              <= (SELECT max(ts) FROM timings) - INTERVAL '1' MINUTE""",
+    ("timings",),
+)
+def stream_perf_rollup(spark, sf_dir):
+    rolled = jobs.stream_perf_rollup(_stream_view(spark, sf_dir, "timings", "ts"), delay="1 minute", period="1 hour")
+    return _written(spark, rolled, "perf-rollup").select(
+        *perf.DIMENSIONS,
+        _stamp("period_started_at").alias("period_started_at"),
+        "request_count",
+        _money("duration_sum_ms").alias("duration_sum_ms"),
+        _money("max_duration_ms").alias("max_duration_ms"),
+    )
+
+
+@query(
+    "stream_change_dedupe",
+    """SELECT id, CAST(NULL AS BIGINT) AS change_id FROM changes WHERE id IS NOT NULL GROUP BY id
+       UNION ALL SELECT id, change_id FROM changes WHERE id IS NULL""",
+    ("changes",),
+)
+def stream_change_dedupe(spark, sf_dir):
+    kept = jobs.stream_change_dedupe(_stream_view(spark, sf_dir, "changes", "occurred_at"), delay="1 day")
+    # Which copy of an id arrives first is up to the stream; that there is one of each is not.
+    return _written(spark, kept, "change-dedupe").select(
+        "id", F.when(F.col("id").isNull(), F.col("change_id")).alias("change_id")
+    )
+
+
+_TRACE_STEPS = """SELECT CAST(event_id AS STRING) AS trace_id, ts AS ended_at, value * 60 AS duration_ms
+    FROM {events} WHERE event_type = 'purchase'"""
+
+
+@query(
+    "stream_trace_capture",
+    """WITH roots AS (SELECT CAST(event_id AS VARCHAR) AS trace_id, ts AS ended_at, value * 60 AS duration_ms
+                      FROM events WHERE event_type = 'purchase'),
+       spans AS (SELECT trace_id, minutes, ended_at - to_minutes(minutes) AS started_at
+                 FROM roots, (VALUES (5), (30), (90)) AS m(minutes))
+       SELECT s.trace_id, CAST(minutes AS INTEGER) AS minutes FROM spans s JOIN roots r ON s.trace_id = r.trace_id
+       WHERE duration_ms >= 1000 AND started_at >= ended_at - INTERVAL '1' HOUR""",
+)
+def stream_trace_capture(spark, sf_dir):
+    def steps():
+        rows = spark.sql(_TRACE_STEPS, events=_events(spark, sf_dir))
+        return rows.withColumn("ended_at", F.col("ended_at").cast("timestamp"))
+
+    spans = steps().select("trace_id", F.explode(F.array(*[F.lit(m) for m in (5, 30, 90)])).alias("minutes"), "ended_at")
+    spans = spans.select(
+        "trace_id", "minutes", (F.col("ended_at") - F.make_dt_interval(mins=F.col("minutes"))).alias("started_at")
+    )
+    kept = jobs.stream_trace_capture(spans, steps(), longest="1 HOUR")
+    return _written(spark, kept, "trace-capture").select("trace_id", "minutes")
+
+
+@query(
+    "stream_retry_ledger",
+    _CARRY_SQL + "SELECT queue, seq, status, outcome, CAST(streak AS INTEGER) AS streak, state FROM ledger",
+    ("attempts",),
+)
+def stream_retry_ledger(spark, sf_dir):
+    folder = shared_folder(spark, "retry-ledger")
+    attempts = _stream_view(spark, sf_dir, "attempts", "ts")
+    jobs.stream_retry_ledger(
+        attempts, f"{folder}/out", f"{folder}/state", f"{folder}/checkpoint"
+    ).awaitTermination()
+    ledger = spark.read.parquet(f"{folder}/out")
+    return ledger.select("queue", "seq", "status", "outcome", "streak", "state")
+
+
+@query(
+    "stream_metric_batches",
+    f""", ranked AS (SELECT *, date_trunc('day', recorded_at) AS day,
+                            row_number() OVER (PARTITION BY environment, release, date_trunc('day', recorded_at)
+                                               ORDER BY recorded_at, seq) AS rn
+                     FROM {_VALID_METRICS})
+       SELECT environment, release, strftime(day, '%Y-%m-%d %H:%M:%S') AS batch_started_at,
+              CAST(count(CASE WHEN rn <= 15 THEN 1 END) AS BIGINT) AS kept,
+              CAST(count(CASE WHEN rn > 15 THEN 1 END) AS BIGINT) AS dropped
+       FROM ranked GROUP BY ALL""",
+    ("metrics",),
+)
+def stream_metric_batches(spark, sf_dir):
+    folder = shared_folder(spark, "metric-batches")
+    entries = _stream_view(spark, sf_dir, "metrics", "recorded_at")
+    jobs.stream_metric_batches(
+        entries, f"{folder}/out", f"{folder}/state", f"{folder}/checkpoint", period="1 day", cap=15
+    ).awaitTermination()
+    counts = spark.read.parquet(f"{folder}/out/counts")
+    totals = counts.groupBy("environment", "release", "batch_started_at").agg(
+        F.sum("kept").alias("kept"), F.sum("dropped").alias("dropped")
+    )
+    return totals.withColumn("batch_started_at", _stamp("batch_started_at"))
