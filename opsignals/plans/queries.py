@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from opsignals.functions import latency
 from opsignals.operators import changes, delivery, errors, metrics, perf, privacy, statements, traces
+from opsignals.plans import pii_sql
 from opsignals.plans.views import table, view, with_views
 from opsignals.sources import export, scan
 
@@ -975,13 +976,13 @@ def event_assemble(spark, sf_dir):
 # ---------------------------------------------------------------- personal data
 
 
-@query("pii_redact")
+@query("pii_redact", pii_sql.REDACTED + "SELECT doc_id, clean AS text FROM redacted")
 def pii_redact(spark, sf_dir):
     redacted = privacy.pii_redact(table(spark, sf_dir, "documents"), "text")
     return redacted.select("doc_id", "text")
 
 
-@query("pii_audit")
+@query("pii_audit", pii_sql.AUDIT)
 def pii_audit(spark, sf_dir):
     return privacy.pii_audit(table(spark, sf_dir, "documents"), "text", "source").withColumn(
         "share", F.round("share", 6)
