@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from opsignals.functions.fingerprint import EMAIL
 from opsignals.functions.text import NOT_AFTER_WORD as START
 from opsignals.functions.text import NOT_BEFORE_WORD as STOP
-from opsignals.functions.text import WORD, rewrite_matches
+from opsignals.functions.text import WORD, bind, rewrite_matches
 
 REDACTED = "[FILTERED]"
 IBAN_LABEL = "[IBAN FILTERED]"
@@ -25,7 +25,7 @@ PATTERNS = (
     ("SSN", rf"{START}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{STOP}"),
     ("CREDIT CARD", rf"{START}[0-9]{{4}}[ -][0-9]{{4}}[ -][0-9]{{4}}[ -][0-9]{{1,4}}{STOP}"),
     ("BEARER TOKEN", rf"{START}(?i:bearer)[ \t\n\x0B\f\r]+[A-Za-z0-9\-._~+/]++=*+"),
-    ("JWT", rf"{START}ey[A-Za-z0-9_-]{{10,}}\.[A-Za-z0-9_-]{{10,}}\.[A-Za-z0-9_-]{{10,}}{_EITHER_EDGE}"),
+    ("JWT", rf"ey(?<!{WORD}ey)[A-Za-z0-9_-]{{10,}}\.[A-Za-z0-9_-]{{10,}}\.[A-Za-z0-9_-]{{10,}}{_EITHER_EDGE}"),
     ("AWS KEY", rf"{START}AKIA[0-9A-Z]{{16}}{STOP}"),
     ("STRIPE KEY", rf"{START}[sr]k_(?:live|test)_[A-Za-z0-9]{{10,}}+{STOP}"),
     ("GITHUB TOKEN", rf"{START}gh[pousr]_[A-Za-z0-9]{{20,}}+{STOP}"),
@@ -113,12 +113,52 @@ def _redact_run(run: Column) -> Column:
     return F.array_join(F.aggregate(blocks, start, block, lambda s: s["parts"]), "")
 
 
+# What a text must hold for a pattern to match: literals in its lowercase form, or a regex that
+# starts with a plain character test. Most texts hold none, and are passed through untouched.
+_NEEDED_TEXT = {
+    "EMAIL": ("@",),
+    "BEARER TOKEN": ("bearer",),
+    "AWS KEY": ("akia",),
+    "STRIPE KEY": ("k_live_", "k_test_"),
+    "GITHUB TOKEN": ("ghp_", "gho_", "ghu_", "ghs_", "ghr_"),
+}
+_NEEDED_SHAPE = {
+    "SSN": "[0-9]{3}-[0-9]{2}-[0-9]{4}",
+    "CREDIT CARD": "[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]",
+    "JWT": r"ey[A-Za-z0-9_-]{10,}\.",
+}
+_IBAN_SHAPE = "[A-Z]{2}[0-9]{2}"
+_RUN_SHAPE = rf"[0-9](?:[ -]?[0-9]){{{CARD_MIN - 1}}}"
+
+
+def _may_hold(label: str, text: Column, lowered: Column) -> Column:
+    if label in _NEEDED_SHAPE:
+        return text.rlike(_NEEDED_SHAPE[label])
+    return reduce(lambda a, b: a | b, [F.contains(lowered, F.lit(x)) for x in _NEEDED_TEXT[label]])
+
+
+def _replace(text: Column, label: str, pattern: str, lowered: Column) -> Column:
+    return bind(
+        text,
+        lambda t: F.when(_may_hold(label, t, lowered), F.regexp_replace(t, pattern, f"[{label} FILTERED]")).otherwise(t),
+    )
+
+
+def _rewrite(text: Column, shape: str, pattern: str, rewrite) -> Column:
+    return bind(text, lambda t: F.when(t.rlike(shape), rewrite_matches(t, pattern, rewrite)).otherwise(t))
+
+
 def redact(text: Column) -> Column:
     """The text with every hit replaced by its label. IBANs go first, because the middle of a
     spaced IBAN looks like a card number."""
-    out = rewrite_matches(text, IBAN_CANDIDATE, lambda c: F.when(_iban_ok(c), F.lit(IBAN_LABEL)).otherwise(c))
-    out = reduce(lambda c, p: F.regexp_replace(c, p[1], f"[{p[0]} FILTERED]"), PATTERNS, out)
-    return rewrite_matches(out, LONG_DIGIT_RUN, _redact_run)
+
+    def whole(t: Column, lowered: Column) -> Column:
+        out = _rewrite(t, _IBAN_SHAPE, IBAN_CANDIDATE, lambda c: F.when(_iban_ok(c), F.lit(IBAN_LABEL)).otherwise(c))
+        for label, pattern in PATTERNS:
+            out = _replace(out, label, pattern, lowered)
+        return _rewrite(out, _RUN_SHAPE, LONG_DIGIT_RUN, _redact_run)
+
+    return bind(text, lambda t: bind(F.lower(t), lambda lowered: whole(t, lowered)))
 
 
 def label_hits(text: Column, redacted: Column, label: str) -> Column:
@@ -128,7 +168,7 @@ def label_hits(text: Column, redacted: Column, label: str) -> Column:
     def count(c: Column) -> Column:
         return (F.length(c) - F.length(F.replace(c, F.lit(mark), F.lit("")))) / len(mark)
 
-    return (count(redacted) - count(text)).cast("long")
+    return F.when(text == redacted, 0).otherwise(count(redacted) - count(text)).cast("long")
 
 
 def is_sensitive_key(key: Column) -> Column:
@@ -144,11 +184,16 @@ def redact_map(column: Column) -> Column:
 
 
 # The same rules for JSON text of unknown depth, which no column expression can walk: used by
-# one Arrow UDF only. Python's re has no \G, and finds the same emails without it.
-_PY_PATTERNS = [
-    (re.compile(p.replace(r"\G|", ""), re.ASCII), f"[{label} FILTERED]") for label, p in PATTERNS if label != "EMAIL"
-]
-_PY_EMAIL = re.compile(r"[a-zA-Z0-9._%+-]++@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}")
+# one Arrow UDF only. Python's re has no \G; a run of address characters ends an earlier match,
+# so looking behind is not needed either.
+_PY_PATTERNS = {
+    label: re.compile(r"[a-zA-Z0-9._%+-]++@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}" if label == "EMAIL" else pattern)
+    for label, pattern in PATTERNS
+}
+# What every pattern needs one of.
+_PY_ANY = re.compile(
+    r"@|[0-9][ -]?[0-9]|[Bb][Ee][Aa][Rr][Ee][Rr]|ey[A-Za-z0-9_-]{10}|AKIA|k_live_|k_test_|gh[pousr]_"
+)
 _PY_IBAN = re.compile(IBAN_CANDIDATE)
 _PY_RUN = re.compile(LONG_DIGIT_RUN)
 _PY_CARD_PREFIX = re.compile(CARD_PREFIX)
@@ -182,13 +227,17 @@ def _py_run(match: re.Match) -> str:
 
 def redact_text(text: str) -> str:
     """:func:`redact` for one Python string."""
+    if not _PY_ANY.search(text):
+        return text
+    lowered = text.lower()
     text = _PY_IBAN.sub(_py_iban, text)
-    text = _PY_EMAIL.sub("[EMAIL FILTERED]", text)
-    for pattern, label in _PY_PATTERNS:
-        text = pattern.sub(label, text)
+    for label, pattern in _PY_PATTERNS.items():
+        if any(needed in lowered for needed in _NEEDED_TEXT.get(label, ("",))):
+            text = pattern.sub(f"[{label} FILTERED]", text)
     return _PY_RUN.sub(_py_run, text)
 
 
+@lru_cache(maxsize=4096)
 def key_is_sensitive(key: str) -> bool:
     reduced = re.sub("[^a-z0-9]", "", key.translate(_ASCII_FOLD))
     return any(word in reduced for word in SENSITIVE_WORDS)

@@ -15,6 +15,7 @@ from opsignals.functions.text import (
     ascii_lower,
     ascii_trim,
     ascii_upper,
+    bind,
     is_blank,
     utf8_prefix,
 )
@@ -47,8 +48,9 @@ _NUMBER = (
     rf"0[xX][0-9A-Fa-f]++{NOT_BEFORE_WORD}|0[bB][01]++{NOT_BEFORE_WORD}|"
     rf"(?:[0-9]+(?:\.[0-9]+)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?{NOT_BEFORE_WORD})"
 )
-_LITERAL = f"{_STRING}|{_DOLLAR_BODY}|{_NUMBER}"
-_LITERAL_MYSQL = f"{_STRING}|{_DOUBLE_QUOTED}|{_DOLLAR_BODY}|{_NUMBER}"
+# The characters a literal can start with, tested before any alternative is tried.
+_LITERAL = rf"(?=['$0-9.EeXxNnBbUu])(?:{_STRING}|{_DOLLAR_BODY}|{_NUMBER})"
+_LITERAL_MYSQL = rf"(?=['\"$0-9.EeXxNnBbUu])(?:{_STRING}|{_DOUBLE_QUOTED}|{_DOLLAR_BODY}|{_NUMBER})"
 
 _PART = r'(?:[A-Za-z0-9_$#@]++|"[^"]++"|`[^`]++`|\[[^\]]++\])'
 _NAME = rf"{_PART}(?:\.{_PART})*+"
@@ -77,10 +79,13 @@ def mask(statement: Column, system: Column | None = None) -> Column:
     else:
         is_mysql = F.coalesce(ascii_lower(system).isin("mysql", "mariadb"), F.lit(False))
         masked = F.when(is_mysql, F.regexp_replace(statement, _LITERAL_MYSQL, "?")).otherwise(plain)
-    cut = F.when(
-        F.octet_length(masked) > MAX_STATEMENT_BYTES,
-        F.concat(utf8_prefix(masked, MAX_STATEMENT_BYTES), F.lit("...")),
-    ).otherwise(masked)
+    cut = bind(
+        masked,
+        lambda m: F.when(
+            F.octet_length(m) > MAX_STATEMENT_BYTES,
+            F.concat(utf8_prefix(m, MAX_STATEMENT_BYTES), F.lit("...")),
+        ).otherwise(m),
+    )
     return F.when(~is_blank(statement), cut)
 
 
@@ -102,11 +107,13 @@ def objects(masked: Column) -> Column:
     The statement is cut into tokens once and laid out with a mark after each, so "keyword,
     then a name" is one regex over whole tokens, left to right and without overlap.
     """
-    text = F.translate(masked, _END, _MARK_STAND_IN)
-    tokens = F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
+    tokens = F.regexp_extract_all(F.translate(masked, _END, _MARK_STAND_IN), F.lit(_TOKEN), F.lit(0))
     laid_out = F.concat(F.lit(_END), F.array_join(tokens, _END), F.lit(_END))
-    laid_out = F.regexp_replace(laid_out, _CLAUSE_WITH_FROM, "")
+    found = bind(F.regexp_replace(laid_out, _CLAUSE_WITH_FROM, ""), _named_in)
+    return F.when(~is_blank(masked), bind(found, lambda f: F.when(~_is_empty(f), f)))
+
 
+def _named_in(laid_out: Column) -> Column:
     called = F.regexp_extract_all(laid_out, F.lit(_PROCEDURE_CALL), F.lit(1))
     pairs = F.transform(
         F.regexp_extract_all(laid_out, F.lit(_RELATION), F.lit(0)),
@@ -118,8 +125,6 @@ def objects(masked: Column) -> Column:
         ),
     )
     pairs = F.filter(pairs, lambda p: ~ascii_lower(p["name"]).isin(*NOT_RELATIONS))
-    functions = F.transform(F.filter(pairs, lambda p: p["is_function"]), lambda p: p["name"])
-    relations = F.transform(F.filter(pairs, lambda p: ~p["is_function"]), lambda p: p["name"])
 
     selected = F.regexp_extract(laid_out, _BARE_SELECT, 1)
     is_bare = (
@@ -128,15 +133,22 @@ def objects(masked: Column) -> Column:
         & ~laid_out.rlike(rf"(?<={_END})(?i:from){_END}")
     )
     bare = F.when(is_bare, F.array(selected)).otherwise(F.array().cast("array<string>"))
-
     word = ascii_upper(F.regexp_extract(laid_out, rf"\A{_END}([A-Za-z0-9_]*+)", 1))
-    found = F.struct(
-        F.when(word.isin(*OPERATIONS), word).alias("operation"),
-        _clean(F.concat(called, functions, bare)).alias("procedures"),
-        _clean(relations).alias("relations"),
-    )
-    empty = found["operation"].isNull() & (F.size(found["procedures"]) == 0) & (F.size(found["relations"]) == 0)
-    return F.when(~is_blank(masked) & ~empty, found)
+
+    def parts(p: Column) -> Column:
+        functions = F.transform(F.filter(p, lambda x: x["is_function"]), lambda x: x["name"])
+        relations = F.transform(F.filter(p, lambda x: ~x["is_function"]), lambda x: x["name"])
+        return F.struct(
+            F.when(word.isin(*OPERATIONS), word).alias("operation"),
+            _clean(F.concat(called, functions, bare)).alias("procedures"),
+            _clean(relations).alias("relations"),
+        )
+
+    return bind(pairs, parts)
+
+
+def _is_empty(found: Column) -> Column:
+    return found["operation"].isNull() & (F.size(found["procedures"]) == 0) & (F.size(found["relations"]) == 0)
 
 
 def statement_in_text(what: Column) -> Column:

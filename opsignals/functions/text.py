@@ -30,6 +30,12 @@ def is_blank(c: Column) -> Column:
     return ascii_trim(c) == ""
 
 
+def bind(c: Column, use) -> Column:
+    """``use(c)`` with ``c`` evaluated once, however often ``use`` mentions it. Inside a
+    conditional, Spark may otherwise run an expensive expression once per mention."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
 def rewrite_matches(c: Column, pattern: str, rewrite) -> Column:
     """``rewrite`` applied to every match of ``pattern``, the text between kept.
 
@@ -39,8 +45,7 @@ def rewrite_matches(c: Column, pattern: str, rewrite) -> Column:
     gaps = F.split(c, pattern, -1)
     hits = F.regexp_extract_all(c, F.lit(pattern), F.lit(0))
     filled = F.concat(F.transform(hits, rewrite), F.array(F.lit("")))
-    rebuilt = F.array_join(F.zip_with(gaps, filled, lambda gap, hit: F.concat(gap, hit)), "")
-    return F.when(c.rlike(pattern), rebuilt).otherwise(c)
+    return F.array_join(F.zip_with(gaps, filled, lambda gap, hit: F.concat(gap, hit)), "")
 
 
 def utf8_prefix(c: Column, max_bytes: int) -> Column:

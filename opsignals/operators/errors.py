@@ -171,8 +171,8 @@ def issue_groups(errors: DataFrame, *, user: str = "user.id") -> DataFrame:
 def frame_rollup(errors: DataFrame, *, executable: str, text: str = "backtrace_text") -> DataFrame:
     """Errors per stack frame, from raw backtrace text: the first 128 lines, those that don't
     parse skipped, frames of ``executable`` flagged. Repeats within an error are removed in the
-    row, so counting needs no distinct."""
-    lines = F.slice(F.split(F.col(text), "\n", -1), 1, MAX_FRAMES)
+    row, so each line is parsed once and counting needs no distinct."""
+    lines = F.array_distinct(F.slice(F.split(F.col(text), "\n", -1), 1, MAX_FRAMES))
     frames = F.transform(
         F.filter(lines, lambda x: x.rlike(FRAME)),
         lambda x: F.struct(

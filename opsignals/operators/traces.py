@@ -43,33 +43,43 @@ def span_tree(events: DataFrame, roots: DataFrame, *, segment: Column | None = N
         laid_out, ["trace_id"], ["seq"], segment, {"depth": ("sum", delta)}, include_current=False
     ).withColumn("depth", F.coalesce("depth", F.lit(0)))
 
-    # Each open span and the root offers itself at its own level; open spans and leaves look one up.
-    own_level = F.when(op == "root", 0).otherwise(F.col("depth") + 1)
-    roles = F.when(op == "root", F.array(F.struct(own_level.alias("level"), F.lit(True).alias("offers"))))
-    roles = roles.when(
-        op == "open",
-        F.array(
-            F.struct(own_level.alias("level"), F.lit(True).alias("offers")),
-            F.struct(F.col("depth").alias("level"), F.lit(False).alias("offers")),
-        ),
-    ).when(op == "leaf", F.array(F.struct(F.col("depth").alias("level"), F.lit(False).alias("offers"))))
-    by_level = deep.filter(op != "close").select("*", F.inline(roles))
+    # Each open span and the root offers itself at its own level; open spans and leaves look one
+    # level up. A close looks up the root, which is its parent if its opening was lost.
+    def role(level: Column, offers: bool) -> Column:
+        return F.struct(level.cast("long").alias("level"), F.lit(offers).alias("offers"))
+
+    root_level, above, own = F.lit(0), F.col("depth"), F.col("depth") + 1
+    roles = (
+        F.when(op == "root", F.array(role(root_level, True)))
+        .when(op == "open", F.array(role(own, True), role(above, False)))
+        .when(op == "leaf", F.array(role(above, False)))
+        .otherwise(F.array(role(root_level, False)))
+    )
     found = running(
-        by_level, ["trace_id", "level"], ["seq", "offers"], segment,
-        {"parent_span_id": ("last", F.when(F.col("offers"), F.col("span_id")))},
-    ).filter(~F.col("offers") | (F.col("op") == "root"))
-
-    keep = ["trace_id", "span_id", "parent_span_id", "name", "kind", "started_at", "duration_ms", "seq"]
-    leaves = found.filter(F.col("op") == "leaf").select(*keep, F.lit(False).alias("is_root"))
-    root_spans = (
-        found.filter(F.col("op") == "root")
-        .withColumn("parent_span_id", F.col("remote_parent"))
-        .select(*keep, F.lit(True).alias("is_root"))
+        deep.select("*", F.inline(roles)), ["trace_id", "level"], ["seq", "offers"], segment,
+        {"found": ("last", F.when(F.col("offers"), F.col("span_id")))},
+    )
+
+    # A span is its closing row with the parent found at its opening.
+    parent_at_open = F.max(F.when((op == "open") & ~F.col("offers"), F.col("found")))
+    parent = F.when(op == "root", F.col("remote_parent")).otherwise(F.col("found"))
+    record = F.struct(
+        F.struct("name", "kind", "started_at", "duration_ms", "seq").alias("span"),
+        parent.alias("parent_span_id"),
+        (op == "root").alias("is_root"),
+    )
+    spans = (
+        found.groupBy("trace_id", "span_id")
+        .agg(parent_at_open.alias("parent_at_open"), F.max(F.when(op != "open", record)).alias("record"))
+        .filter(F.col("record").isNotNull())
+    )
+    return spans.select(
+        "trace_id",
+        "span_id",
+        F.coalesce("parent_at_open", "record.parent_span_id").alias("parent_span_id"),
+        "record.span.*",
+        "record.is_root",
     )
-    opened = found.filter(F.col("op") == "open").select("trace_id", "span_id", "parent_span_id")
-    closed = events.filter(F.col("op") == "close").select(*columns)
-    closed = closed.join(opened, ["trace_id", "span_id"], "left").select(*keep, F.lit(False).alias("is_root"))
-    return leaves.unionByName(closed).unionByName(root_spans)
 
 
 def _database_data(data: Column) -> Column:

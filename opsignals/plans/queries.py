@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from opsignals.functions import latency
 from opsignals.operators import changes, delivery, errors, metrics, perf, privacy, statements, traces
+from opsignals.operators.running import sequence_segment
 from opsignals.plans import pii_sql
 from opsignals.plans.views import table, view, with_views
 from opsignals.sources import export, scan
@@ -627,7 +628,9 @@ def trace_breakdown(spark, sf_dir):
     ("span_events", "root_spans"),
 )
 def span_tree(spark, sf_dir):
-    tree = traces.span_tree(view(spark, sf_dir, "span_events"), view(spark, sf_dir, "root_spans"))
+    # The derived sequence numbers are sparse, so a segment spans many of them.
+    segment = sequence_segment("seq", 10**18)
+    tree = traces.span_tree(view(spark, sf_dir, "span_events"), view(spark, sf_dir, "root_spans"), segment=segment)
     return tree.select("trace_id", "span_id", "parent_span_id", "name", "kind", "seq")
 
 
