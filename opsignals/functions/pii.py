@@ -58,15 +58,19 @@ _GROUPS_PER_BLOCK = 256
 
 
 def _iban_ok(candidate: Column) -> Column:
-    compact = F.translate(candidate, " ", "")
-    turned = F.concat(F.substring(compact, 5, 34), F.substring(compact, 1, 4))
-    codes = F.transform(F.sequence(F.lit(1), F.length(turned)), lambda i: F.ascii(F.substring(turned, i, F.lit(1))))
-    remainder = F.aggregate(
-        codes,
-        F.lit(0),
-        lambda r, c: F.when(c >= 65, (r * 100 + c - 55) % 97).otherwise((r * 10 + c - 48) % 97),
-    )
-    return F.length(compact).between(15, 34) & (remainder == 1)
+    def check(compact: Column) -> Column:
+        turned = F.concat(F.substring(compact, 5, 34), F.substring(compact, 1, 4))
+        codes = F.transform(
+            F.sequence(F.lit(1), F.length(compact)), lambda i: F.ascii(F.substring(turned, i, F.lit(1)))
+        )
+        remainder = F.aggregate(
+            codes,
+            F.lit(0),
+            lambda r, c: F.when(c >= 65, (r * 100 + c - 55) % 97).otherwise((r * 10 + c - 48) % 97),
+        )
+        return F.length(compact).between(15, 34) & (remainder == 1)
+
+    return bind(F.translate(candidate, " ", ""), check)
 
 
 def _is_card(digits: Column) -> Column:
@@ -77,35 +81,53 @@ def _is_card(digits: Column) -> Column:
     )
 
 
+def _longest_card(groups: Column, i: Column) -> Column:
+    """How many groups from ``i`` on make the longest card number; 0 for none."""
+    return bind(
+        F.slice(groups, i + 1, F.lit(CARD_MAX)),
+        lambda ahead: F.coalesce(
+            F.array_max(
+                F.filter(
+                    F.sequence(F.lit(1), F.size(ahead)),
+                    lambda n: bind(F.array_join(F.slice(ahead, F.lit(1), n), ""), _is_card),
+                )
+            ),
+            F.lit(0),
+        ),
+    )
+
+
 def _redact_run(run: Column) -> Column:
+    gaps = F.concat(F.regexp_extract_all(run, F.lit("[ -]"), F.lit(0)), F.array(F.lit("")))
+    return bind(F.split(run, "[ -]", -1), lambda groups: bind(gaps, lambda g: _redact_groups(groups, g)))
+
+
+def _redact_groups(groups: Column, gaps: Column) -> Column:
     """From each group on, the longest stretch of whole groups that is a card number.
 
     The walk is a fold over the groups. It goes block by block, so the text a step copies
     stays short however long the run is.
     """
-    groups = F.split(run, "[ -]", -1)
-    gaps = F.concat(F.regexp_extract_all(run, F.lit("[ -]"), F.lit(0)), F.array(F.lit("")))
 
-    def step(state: Column, i: Column) -> Column:
-        ahead = F.slice(groups, i + 1, F.lit(CARD_MAX))
-        lengths = F.filter(
-            F.sequence(F.lit(1), F.size(ahead)),
-            lambda n: _is_card(F.array_join(F.slice(ahead, F.lit(1), n), "")),
-        )
-        found = F.coalesce(F.array_max(lengths), F.lit(0))
-        hit = F.struct(
-            F.concat(state["text"], F.lit(CARD_LABEL), F.get(gaps, i + found - 1)).alias("text"),
-            (i + found).alias("next"),
+    def advance(state: Column, i: Column, found: Column) -> Column:
+        used = F.greatest(found, F.lit(1))
+        shown = F.when(found > 0, F.lit(CARD_LABEL)).otherwise(F.get(groups, i))
+        return F.struct(
+            F.concat(state["text"], shown, F.get(gaps, i + used - 1)).alias("text"), (i + used).alias("next")
         )
-        miss = F.struct(F.concat(state["text"], F.get(groups, i), F.get(gaps, i)).alias("text"), (i + 1).alias("next"))
-        return F.when(i < state["next"], state).otherwise(F.when(found > 0, hit).otherwise(miss))
+
+    def step(state: Column, i: Column) -> Column:
+        moved = bind(_longest_card(groups, i), lambda found: advance(state, i, found))
+        return F.when(i < state["next"], state).otherwise(moved)
 
     def block(state: Column, first: Column) -> Column:
         last = F.least(first + (_GROUPS_PER_BLOCK - 1), F.size(groups) - 1)
         start = F.struct(F.lit("").alias("text"), state["next"].alias("next"))
-        done = F.aggregate(F.sequence(first, last), start, step)
-        return F.struct(
-            F.concat(state["parts"], F.array(done["text"])).alias("parts"), done["next"].alias("next")
+        return bind(
+            F.aggregate(F.sequence(first, last), start, step),
+            lambda done: F.struct(
+                F.concat(state["parts"], F.array(done["text"])).alias("parts"), done["next"].alias("next")
+            ),
         )
 
     blocks = F.sequence(F.lit(0), F.size(groups) - 1, F.lit(_GROUPS_PER_BLOCK))
