@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsignals.operators.running import running, time_segment
@@ -50,23 +50,24 @@ def retry_ledger(
     """Every attempt with its streak of failures in its queue, the state it leads to and why.
 
     Gaps and islands on two running aggregates: failures so far, and their number at the latest
-    attempt that did not fail. Every ``max_failures``-th failure of an island drops the batch
-    and starts the count again. ``carry_in`` (``queue, failures, failures_at_reset``) continues
-    an earlier run.
+    earlier attempt that did not fail. Every ``max_failures``-th failure of an island drops the
+    batch and starts the count again. ``carry_in`` (``queue, failures, resets,
+    failures_at_reset``) continues an earlier run.
     """
     segment = time_segment(order[0]) if segment is None else segment
     judged = attempts.withColumn("outcome", outcome(F.col("status")))
     failed = F.col("outcome") == "failed"
-    carried = {"failures": None, "failures_at_reset": None}
+    counts = base = None
     if carry_in is not None:
-        carried = {n: carry_in.select("queue", n) for n in carried}
+        counts = carry_in.select("queue", "failures", "resets")
+        base = carry_in.select("queue", "failures_at_reset")
     counted = running(
         judged, ["queue"], order, segment,
-        {"failures": ("sum", failed.cast("long"))}, carry_in=carried["failures"],
+        {"failures": ("sum", failed.cast("long")), "resets": ("sum", (~failed).cast("long"))}, carry_in=counts,
     )
     counted = running(
         counted, ["queue"], order, segment,
-        {"failures_at_reset": ("max", F.when(~failed, F.col("failures")))}, carry_in=carried["failures_at_reset"],
+        {"failures_at_reset": ("max", F.when(~failed, F.col("failures")))}, include_current=False, carry_in=base,
     )
     run = F.col("failures") - F.coalesce("failures_at_reset", F.lit(0))
     streak = F.when(failed, (run - 1) % max_failures + 1).otherwise(0)
@@ -80,14 +81,27 @@ def retry_ledger(
     )
 
 
-def closed_groups(
-    judged: DataFrame, *, order=("ts", "seq"), segment: Column | None = None, max_failures: int = MAX_FAILURES
-) -> DataFrame:
-    """Numbers the flushes of a queue: a group ends with the flush that empties the buffer."""
-    segment = time_segment(order[0]) if segment is None else segment
+def closed_groups(judged: DataFrame, *, max_failures: int = MAX_FAILURES) -> DataFrame:
+    """The flushes of a ledger with the flush that emptied their buffer and how it ended; flushes
+    still waiting for one are left out.
+
+    A group is part of an island: its failures in steps of ``max_failures``, the last step with
+    the attempt that ended the island. It has at most ``max_failures`` flushes, so the window
+    over it is tiny.
+    """
+    failed = F.col("outcome") == "failed"
+    run = F.col("failures") - F.coalesce("failures_at_reset", F.lit(0))
+    grouped = judged.withColumns(
+        {
+            "__island": F.col("resets") - (~failed).cast("long"),
+            "__step": F.floor((run - failed.cast("long")) / max_failures),
+        }
+    )
+    of_group = Window.partitionBy("queue", "__island", "__step")
     closes = F.col("state") != "kept"
-    numbered = running(
-        judged, ["queue"], order, segment,
-        {"closed_before": ("sum", closes.cast("long"))}, include_current=False,
-    )
-    return numbered.withColumn("flush_group", F.coalesce("closed_before", F.lit(0))).withColumn("closes", closes)
+    return (
+        grouped.withColumn("closing_seq", F.max(F.when(closes, F.col("seq"))).over(of_group))
+        .withColumn("closed_as", F.max(F.when(closes, F.col("state"))).over(of_group))
+        .filter(F.col("closing_seq").isNotNull())
+        .drop("__island", "__step")
+    )

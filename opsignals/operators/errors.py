@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from opsignals.functions import fingerprint, pii, sqltext
 from opsignals.functions.text import is_blank
 from opsignals.operators.running import running, time_segment
-from opsignals.operators.traces import trace_collapse
+from opsignals.operators.traces import mark_nested
 
 # Fixed values.
 MAX_BREADCRUMBS = 30
@@ -109,10 +109,10 @@ def breadcrumb_trail(
 def error_trace_asof(errors: DataFrame, traces: DataFrame, *, segment_minutes: int = 1) -> DataFrame:
     """Each error with the id of the trace open on its thread at that moment, else null.
 
-    Once nested traces are collapsed a thread has one trace open at a time, so the only
+    Without nested traces a thread has one trace open at a time, so the only
     candidate is the last one started: an as-of, not a range join.
     """
-    outer = trace_collapse(traces, segment=time_segment("started_at", segment_minutes)).filter(~F.col("is_nested"))
+    outer = mark_nested(traces, time_segment("started_at", segment_minutes)).filter(~F.col("is_nested"))
     opens = outer.select(
         "thread_id", "seq", F.col("started_at").alias("occurred_at"), F.struct("trace_id", "ended_at").alias("opened")
     )
@@ -147,25 +147,21 @@ def issue_groups(errors: DataFrame, *, user: str = "user.id") -> DataFrame:
     """Errors grouped by class and message fingerprint: events, distinct users, first and last
     seen, and the normalized message they share."""
     normalized = errors.select(
-        "exception_class",
-        fingerprint.normalize(F.col("message")).alias("normalized"),
-        F.col(user).alias("user_id"),
-        "occurred_at",
-    ).withColumn("message_fingerprint", fingerprint.hash_normalized(F.col("normalized")))
-    # Per user first: the distinct count then works on one row per user, spread by user.
-    per_user = normalized.groupBy("exception_class", "message_fingerprint", "user_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("occurred_at").alias("first"),
-        F.max("occurred_at").alias("last"),
-        F.min("normalized").alias("normalized"),
+        "exception_class", fingerprint.normalize(F.col("message")).alias("sample"), F.col(user).alias("user_id"), "occurred_at"
     )
-    return per_user.groupBy("exception_class", "message_fingerprint").agg(
+    # Grouped by the text itself, which is what the fingerprint stands for: one hash per issue, and
+    # only fixed-width sums, so the aggregate stays in its hash map. Per user first: the distinct
+    # count then works on one row per user, and a hot issue is spread over its users.
+    per_user = normalized.groupBy("exception_class", "sample", "user_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min("occurred_at").alias("first"), F.max("occurred_at").alias("last")
+    )
+    grouped = per_user.groupBy("exception_class", "sample").agg(
         F.sum("n").alias("events"),
         F.count("user_id").alias("users"),
         F.min("first").alias("first_seen"),
         F.max("last").alias("last_seen"),
-        F.min("normalized").alias("sample"),
     )
+    return grouped.withColumn("message_fingerprint", fingerprint.hash_normalized(F.col("sample")))
 
 
 def frame_rollup(errors: DataFrame, *, executable: str, text: str = "backtrace_text") -> DataFrame:
@@ -250,9 +246,18 @@ def event_assemble(
 ) -> DataFrame:
     """The full error row. Order matters: breadcrumbs and SQL are redacted with the rest, user
     and trace id are not, and the strict projection comes last, over everything."""
-    rows = user_asof(errors, set_user)
-    rows = error_trace_asof(rows, traces)
-    rows = breadcrumb_trail(rows, breadcrumbs, limit=max_breadcrumbs, strict=strict)
+    # The lookups run side by side on what identifies an error; the wide rows are shuffled once,
+    # to meet the answers on the error's own id.
+    narrow = errors.select("error_id", "thread_id", "seq", "occurred_at", "user")
+    users = user_asof(narrow, set_user).select("error_id", "user")
+    open_traces = error_trace_asof(narrow.drop("user"), traces).select("error_id", "trace_id")
+    trails = breadcrumb_trail(narrow.drop("user"), breadcrumbs, limit=max_breadcrumbs, strict=strict)
+    rows = (
+        errors.drop("user", "trace_id")
+        .join(users, "error_id")
+        .join(open_traces, "error_id")
+        .join(trails.select("error_id", "breadcrumbs"), "error_id")
+    )
     statement = F.coalesce(F.nullif("statement", F.lit("")), nearest_statement(F.col("causes")))
     rows = rows.withColumn("sql_statement", sqltext.mask(statement))
     if sql_objects:

@@ -103,18 +103,14 @@ def perf_carry_over(samples: DataFrame, flushes: DataFrame, dimensions=DIMENSION
 
     ``flushes`` is the delivery log of the sample queues (``queue, seq, ts, status``);
     ``samples`` carry the ``queue`` and ``seq`` of their flush. A delivered, rejected or fifth
-    failed flush closes a group. One row per closed group, with the outcome that closed it.
+    failed flush closes a group. One row per closed group and name, with the flush and the outcome
+    that closed it.
     """
-    judged = delivery.retry_ledger(flushes, **ledger)
-    grouped = delivery.closed_groups(judged, **ledger)
-    closing = (
-        grouped.filter(F.col("closes"))
-        .select("queue", F.col("flush_group"), F.col("state").alias("closed_as"))
+    grouped = delivery.closed_groups(delivery.retry_ledger(flushes, **ledger))
+    member_of = grouped.select("queue", "seq", "closing_seq", "closed_as")
+    return histogram_merge(
+        samples.join(member_of, ["queue", "seq"]), ("queue", "closing_seq", "closed_as", *dimensions)
     )
-    member_of = grouped.select("queue", "seq", "flush_group")
-    joined = samples.join(member_of, ["queue", "seq"])
-    merged = histogram_merge(joined, ("queue", "flush_group", *dimensions))
-    return merged.join(closing, ["queue", "flush_group"])
 
 
 def perf_remaining(current: DataFrame, sent: DataFrame, dimensions=("transaction_name",)) -> DataFrame:

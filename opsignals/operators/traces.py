@@ -132,6 +132,19 @@ def trace_breakdown(spans: DataFrame) -> DataFrame:
     )
 
 
+_TRACE_ORDER = ["started_at", "seq"]
+
+
+def mark_nested(traces: DataFrame, segment: Column) -> DataFrame:
+    """Traces with ``is_nested``: whether an earlier one of the thread was still open."""
+    seen = running(
+        traces, ["thread_id"], _TRACE_ORDER, segment,
+        {"open_until": ("max", F.col("ended_at"))}, include_current=False,
+    )
+    nested = F.coalesce(F.col("started_at") < F.col("open_until"), F.lit(False))
+    return seen.withColumn("is_nested", nested).drop("open_until")
+
+
 def trace_collapse(traces: DataFrame, *, segment: Column | None = None) -> DataFrame:
     """A trace opened while another is open on its thread becomes a ``service`` span of the
     outer one, which keeps its id; a header that came with the inner one is ignored.
@@ -139,21 +152,13 @@ def trace_collapse(traces: DataFrame, *, segment: Column | None = None) -> DataF
     ``traces``: thread_id, seq, trace_id, root_name, traceparent, started_at, ended_at.
     """
     segment = time_segment("started_at") if segment is None else segment
-    order = ["started_at", "seq"]
-    seen = running(
-        traces, ["thread_id"], order, segment,
-        {"open_until": ("max", F.col("ended_at"))}, include_current=False,
-    )
-    nested = F.coalesce(F.col("started_at") < F.col("open_until"), F.lit(False))
-    marked = seen.withColumn("is_nested", nested)
-    outer = F.when(~F.col("is_nested"), F.struct("trace_id", "ended_at"))
+    outer = F.when(~F.col("is_nested"), F.col("trace_id"))
     return (
-        running(marked, ["thread_id"], order, segment, {"outer": ("last", outer)})
+        running(mark_nested(traces, segment), ["thread_id"], _TRACE_ORDER, segment, {"outer": ("last", outer)})
         .withColumn("kind", F.when(F.col("is_nested"), "service").otherwise("controller"))
         .withColumn("traceparent", F.when(~F.col("is_nested"), F.col("traceparent")))
-        .withColumn("own_trace_id", F.col("trace_id"))
-        .withColumn("trace_id", F.col("outer.trace_id"))
-        .drop("outer", "open_until")
+        .withColumnRenamed("trace_id", "own_trace_id")
+        .withColumnRenamed("outer", "trace_id")
     )
 
 

@@ -289,12 +289,12 @@ def _flush_samples(spark, sf_dir):
          SELECT *, coalesce(sum(CASE WHEN state = 'kept' THEN 0 ELSE 1 END) OVER (
                       PARTITION BY queue ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS g
          FROM ledger),
-       closing AS (SELECT queue, g, state FROM grouped WHERE state <> 'kept'),
+       closing AS (SELECT queue, g, state, seq AS closing_seq FROM grouped WHERE state <> 'kept'),
        samples AS (SELECT queue, g, 'job ' || CAST(user_id % 4 AS VARCHAR) AS transaction_name, e.ts,
                           value * 60 AS duration_ms
                    FROM grouped JOIN events e ON seq = event_id),
        labelled AS (SELECT *, {_BUCKET} AS bucket FROM samples)
-       SELECT queue, CAST(g AS BIGINT) AS flush_group, transaction_name, state AS closed_as,
+       SELECT queue, closing_seq, transaction_name, state AS closed_as,
               strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS period_started_at,
               strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS period_ended_at, count(*) AS request_count,
               round(sum(duration_ms), 2) AS duration_sum_ms, round(max(duration_ms), 2) AS max_duration_ms,
@@ -305,7 +305,7 @@ def _flush_samples(spark, sf_dir):
 def perf_carry_over(spark, sf_dir):
     merged = perf.perf_carry_over(_flush_samples(spark, sf_dir), view(spark, sf_dir, "attempts"), ("transaction_name",))
     return merged.select(
-        "queue", "flush_group", "transaction_name", "closed_as",
+        "queue", "closing_seq", "transaction_name", "closed_as",
         _stamp("period_started_at").alias("period_started_at"),
         _stamp("period_ended_at").alias("period_ended_at"),
         "request_count",

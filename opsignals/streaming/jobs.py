@@ -73,24 +73,22 @@ def stream_trace_capture(
 def stream_retry_ledger(attempts: DataFrame, out: str, state: str, checkpoint: str) -> StreamingQuery:
     """The ledger on a stream: each micro-batch runs the batch job and starts every queue from
     the counts the last batch left. A hot queue is spread over segments as in batch."""
-    carried = CarriedState(attempts.sparkSession, state, "queue STRING, failures LONG, failures_at_reset LONG")
+    carried = CarriedState(
+        attempts.sparkSession, state, "queue STRING, failures LONG, resets LONG, failures_at_reset LONG"
+    )
 
     def judge(batch: DataFrame, batch_id: int) -> None:
         before = carried.before(batch_id)
-        judged = delivery.retry_ledger(batch, carry_in=before)
         folder = f"{out}/batch={batch_id}"
-        judged.write.mode("overwrite").parquet(folder)
-        written = batch.sparkSession.read.parquet(folder)
+        delivery.retry_ledger(batch, carry_in=before).write.mode("overwrite").parquet(folder)
+        # All three only grow, so their largest value is the latest one.
+        reset_here = F.when(F.col("outcome") != "failed", F.col("failures"))
         after = (
-            written.select("queue", "failures", "failures_at_reset")
+            batch.sparkSession.read.parquet(folder)
+            .select("queue", "failures", "resets", F.greatest(reset_here, "failures_at_reset").alias("failures_at_reset"))
             .unionByName(before)
             .groupBy("queue")
-            .agg(F.max("failures").alias("failures"), F.max("failures_at_reset").alias("failures_at_reset"))
-        )
-        # The count at the latest reset may be that of an attempt of this batch.
-        resets = written.filter(F.col("outcome") != "failed").groupBy("queue").agg(F.max("failures").alias("reset"))
-        after = after.join(resets, "queue", "left").select(
-            "queue", "failures", F.greatest("failures_at_reset", "reset").alias("failures_at_reset")
+            .agg(*[F.max(c).alias(c) for c in ("failures", "resets", "failures_at_reset")])
         )
         carried.save(batch_id, after)
 

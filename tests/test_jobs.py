@@ -83,13 +83,13 @@ def test_a_failed_flush_goes_into_the_next(spark):
         " request_count long, duration_sum_ms double, max_duration_ms double, histogram map<string,long>",
     )
     got = sorted(
-        (r.flush_group, r.closed_as, r.request_count, r.period_started_at, r.period_ended_at)
+        (r.closing_seq, r.closed_as, r.request_count, r.period_started_at, r.period_ended_at)
         for r in perf.perf_carry_over(samples, flushes, ("transaction_name",)).collect()
     )
     assert got == [
-        (0, "delivered", 2, at(0), at(2)),
-        (1, "rejected", 2, at(2), at(4)),
-        (2, "dropped", 5, at(4), at(9)),
+        (1, "delivered", 2, at(0), at(2)),
+        (3, "rejected", 2, at(2), at(4)),
+        (8, "dropped", 5, at(4), at(9)),
     ]
 
 
