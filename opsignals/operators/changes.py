@@ -65,6 +65,7 @@ def change_impact(
     No pairs are formed. Signals and the three edges of each change (start, change, end) lie on
     one timeline per environment; a running count at the edges gives every interval by
     subtraction. Signals are counted per instant first, so the timeline stays short.
+    ``change_id`` tells the changes apart; signals without an environment form one of their own.
     """
     span = F.expr(f"INTERVAL {interval}")
     counted = (
@@ -109,10 +110,10 @@ def change_impact(
     def at_edge(column: str, edge: str) -> Column:
         return F.max(F.when(F.col("edge") == edge, F.col(column)))
 
-    counts = seen.groupBy("environment", "change_id").agg(
+    counts = seen.groupBy("change_id").agg(
         (at_edge("errors_seen", "change") - at_edge("errors_seen", "start")).alias("errors_before"),
         (at_edge("errors_seen", "end") - at_edge("errors_seen", "change")).alias("errors_after"),
         (at_edge("slow_seen", "change") - at_edge("slow_seen", "start")).alias("slow_before"),
         (at_edge("slow_seen", "end") - at_edge("slow_seen", "change")).alias("slow_after"),
     )
-    return changes.join(counts, ["environment", "change_id"])
+    return changes.join(counts, "change_id")

@@ -116,14 +116,15 @@ def perf_carry_over(samples: DataFrame, flushes: DataFrame, dimensions=DIMENSION
 def perf_remaining(current: DataFrame, sent: DataFrame, dimensions=("transaction_name",)) -> DataFrame:
     """Tallies minus what was sent: floored at 0, spent labels and empty rows removed, the
     maximum kept as it is because it can't be subtracted."""
-    dimensions = list(dimensions)
     gone = sent.select(
-        *dimensions,
+        *[F.col(d).alias(f"sent_{d}") for d in dimensions],
         F.col("request_count").alias("sent_count"),
         F.col("duration_sum_ms").alias("sent_sum"),
         F.col("histogram").alias("sent_histogram"),
     )
-    joined = current.join(gone, dimensions, "left")
+    # A release may be null, and null is a release here.
+    same = reduce(lambda a, b: a & b, [F.col(d).eqNullSafe(F.col(f"sent_{d}")) for d in dimensions])
+    joined = current.join(gone, same, "left")
     was_sent = F.col("sent_count").isNotNull()
 
     def less(a: Column, b: Column) -> Column:

@@ -72,6 +72,9 @@ def test_remaining_is_what_was_not_sent(spark):
     sent = tally(spark, ("x", 1, 10.0, 10.0, {"50": 1, "inf": 4}), ("done", 1, 4.0, 3.0, {"50": 1}))
     got = {r.transaction_name: tuple(r)[1:] for r in perf.perf_remaining(now, sent).collect()}
     assert got == {"x": (1, 25.0, 25.0, {"50": 1}), "new": (1, 7.0, 7.0, {"50": 1})}
+    released = [d.withColumn("release", F.lit(None).cast("string")) for d in (now, sent)]
+    again = perf.perf_remaining(*released, ("transaction_name", "release"))
+    assert {r.transaction_name: r.request_count for r in again.collect()} == {"x": 1, "new": 1}
 
 
 def test_a_failed_flush_goes_into_the_next(spark):
@@ -161,7 +164,7 @@ def test_the_first_of_an_id_wins_and_rows_without_one_stay(spark):
 
 
 def test_impact_counts_half_open_intervals(spark):
-    ch = spark.createDataFrame([(1, "p", at(3600)), (2, "q", at(0)), (3, "p", at(3600))], "change_id long, environment string, occurred_at timestamp")
+    ch = spark.createDataFrame([(1, "p", at(3600)), (2, "q", at(0)), (3, "p", at(3600)), (4, None, at(0))], "change_id long, environment string, occurred_at timestamp")
     er = spark.createDataFrame(
         [("p", at(s)) for s in (0, 1, 3599, 3600, 3600, 7199, 7200)], "environment string, occurred_at timestamp"
     )
@@ -171,7 +174,7 @@ def test_impact_counts_half_open_intervals(spark):
     )
     got = {r.change_id: (r.errors_before, r.errors_after, r.slow_before, r.slow_after)
            for r in changes.change_impact(ch, er, sa).collect()}
-    assert got == {1: (3, 3, 1, 1), 2: (0, 0, 0, 0), 3: (3, 3, 1, 1)}
+    assert got == {1: (3, 3, 1, 1), 2: (0, 0, 0, 0), 3: (3, 3, 1, 1), 4: (0, 0, 0, 0)}
 
 
 def span_events(spark, *rows):
