@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from opsignals.llm.bpe import op4_bpe_codec
 from opsignals.llm.packing import op5_packing
+from opsignals.llm.quality import op10_quality
 from opsignals.llm.token_counts import op7_token_counts
 from opsignals.llm.token_files import op3_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_token_files, op4_bpe_codec, op5_packing, op7_token_counts)
+    f.__name__: f for f in (op3_token_files, op4_bpe_codec, op5_packing, op7_token_counts, op10_quality)
 }
 ORACLES: dict[str, str] = {}
