@@ -38,7 +38,7 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 6 << 20) -> Iterator[pa.RecordBatch]:
     """The rows in batches of about ``limit`` bytes of the named text or binary column: small ones
     are joined, large ones cut. A batch holds one row at least, and no empty batch comes out."""
     held: list[pa.RecordBatch] = []

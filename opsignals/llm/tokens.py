@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-KEPT_CHUNKS = 600_000
+KEPT_CHUNKS = 400_000
 KEPT_LENGTH = 48
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _UNCOMMON = rf"[^ -~\n{_LETTERS}]"
@@ -70,8 +70,9 @@ class ChunkMemo:
         codes = coded.indices.to_numpy()
         lengths = length[codes]
         ends = np.concatenate(([0], np.cumsum(lengths)))
-        places = np.repeat(start[codes] - ends[:-1], lengths)
-        places += np.arange(len(places))
+        kind = np.int32 if max(ends[-1], len(flat)) < 1 << 31 else np.int64
+        places = np.repeat((start[codes] - ends[:-1]).astype(kind), lengths)
+        places += np.arange(len(places), dtype=kind)
         return flat[places], ends[rows - rows[0]]
 
     def _of_chunks(self, chunks: list[str]) -> list[bytes]:
