@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -62,3 +63,15 @@ def tasks(spark: SparkSession) -> int:
 
 def sha256_hex(column: Column) -> Column:
     return F.sha2(column, 256)
+
+
+@contextmanager
+def few_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Batches of so few rows to Python workers, for what is run and written inside: rows of megabytes."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    small_batches(spark, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -6,13 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from opsignals.llm import licences
 from opsignals.llm.bpe import op4_bpe_codec
+from opsignals.llm.inner_product import op8_inner_products
+from opsignals.llm.near_dups import op6_near_duplicates
+from opsignals.llm.neighbours import op1_learned_partitions
 from opsignals.llm.packing import op5_packing
 from opsignals.llm.quality import op10_quality
 from opsignals.llm.token_counts import op7_token_counts
 from opsignals.llm.token_files import op3_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_token_files, op4_bpe_codec, op5_packing, op7_token_counts, op10_quality)
+    f.__name__: f
+    for f in (
+        op1_learned_partitions,
+        op3_token_files,
+        op4_bpe_codec,
+        op5_packing,
+        op6_near_duplicates,
+        op7_token_counts,
+        op8_inner_products,
+        licences.op9_licence_scan,
+        op10_quality,
+    )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op9_licence_scan": licences.ORACLE}
