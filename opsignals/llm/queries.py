@@ -13,6 +13,7 @@ from opsignals.llm.near_dups import op6_near_duplicates
 from opsignals.llm.neighbours import op1_learned_partitions
 from opsignals.llm.packing import op5_packing
 from opsignals.llm.quality import op10_quality
+from opsignals.llm.suffix_dedup import op2_suffix_dedup
 from opsignals.llm.token_counts import op7_token_counts
 from opsignals.llm.token_files import op3_token_files
 
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_learned_partitions,
+        op2_suffix_dedup,
         op3_token_files,
         op4_bpe_codec,
         op5_packing,
