@@ -26,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from opsignals.llm.common import slices, small_batches, table, texts, written
@@ -181,7 +182,8 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, idf: np.ndarra
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, class_id (smallest doc_id of the class) and node of every document."""
+    """doc_id, class_id (smallest doc_id of the class), node (digest of the text) and root (the class)
+    of every document."""
     spark = docs.sparkSession
     small_batches(spark)
     idf = scaled_idf(*document_frequency(docs))
@@ -223,7 +225,19 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         roots = components(links)
     classed = signed.select("doc_id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = classed.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    return classed.join(least, "root").select("doc_id", "class_id", "node")
+    return classed.join(least, "root").select("doc_id", "class_id", "node", "root")
+
+
+def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs without near-duplicates: of each class the row with its smallest id (a null
+    id counts as the smallest), and of equal rows one."""
+    at = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    classed = near_duplicates(docs, threshold)
+    first = classed.groupBy("root").agg(F.min(F.struct(at.alias("_at"), "node")).alias("k")).select("k._at", F.col("k.node").alias("_kept"))
+    kept = docs.withColumn("_at", at).join(first, "_at").withColumn("_node", node_of(F.coalesce("text", F.lit(""))))
+    number = F.row_number().over(W.partitionBy("_at", "_kept").orderBy(F.lit(0)))
+    kept = kept.filter(F.col("_node") == F.col("_kept")).withColumn("_number", number).filter("_number = 1")
+    return kept.select(docs.columns)
 
 
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

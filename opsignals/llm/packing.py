@@ -158,8 +158,13 @@ def pack(docs: DataFrame, path: str, end_id: int, window: int = WINDOW) -> Packe
     return Packed(pieces, placed.select("part", "length", "ord", "place.sequence_id", "place.offset"))
 
 
-def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces, places = pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=2)
+def packed_rows(docs: DataFrame, path: str, end_id: int) -> DataFrame:
+    """A row for each piece: where it comes from, a checksum of its ids, and its place."""
+    pieces, places = pack(docs, path, end_id)
     digests = pieces.select("part", "length", "ord", "doc_id", "start", "doc_tokens", F.crc32("ids").alias("ids_crc32"))
     joined = digests.join(places, ["part", "length", "ord"])
     return joined.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_rows(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=2)

@@ -142,7 +142,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
     known = labels.filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("label").cast("int").alias("label"))
     counts = {r.label: r.n for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = min(1.0, fit_rows / max(1, sum(counts.values())))
-    joined = texts(docs).join(known, "doc_id").select("label", F.xxhash64("doc_id").alias("draw"), "text")
+    # Labels may be many: a merge join at every size, and not a broadcast while they happen to be few.
+    joined = texts(docs).join(known.hint("merge"), "doc_id").select("label", F.xxhash64("doc_id").alias("draw"), "text")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros(2 * WIDTH + 2, np.int64)
@@ -186,8 +187,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
     return Fitted(Model(weights * ratios, bias, slope, shift), ratios)
 
 
-def score_quality(docs: DataFrame, fitted: Fitted) -> DataFrame:
-    """The rows of docs (doc_id, text and whatever else they have) with ``score``, 0 to 1."""
+def score_quality(docs: DataFrame, fitted: Fitted, name: str = "score") -> DataFrame:
+    """The rows of docs (with ``text`` and whatever else they have) with a column of scores, 0 to 1."""
     spark = docs.sparkSession
     small_batches(spark)
     model = fitted.model
@@ -209,7 +210,7 @@ def score_quality(docs: DataFrame, fitted: Fitted) -> DataFrame:
                 at = upto
             yield pd.Series(np.concatenate(out) if out else np.empty(0))
 
-    return docs.withColumn("score", score(F.coalesce(F.col("text"), F.lit(""))))
+    return docs.withColumn(name, score(F.coalesce(F.col("text"), F.lit(""))))
 
 
 def held_out(doc_id: Column) -> Column:

@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from opsignals.llm.common import few_rows, slices, small_batches, table, tasks, texts, written
@@ -397,6 +398,24 @@ def later_copies(docs: DataFrame) -> DataFrame:
     return joined.select("doc_id", "sha", "n_bytes", "copies", (F.coalesce("doc_id", F.lit(_LEAST)) == F.col("at")).alias("is_first"))
 
 
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """The rows of docs with ``text`` less its repeated bytes; a character cut in two goes whole. A
+    later copy of a whole text keeps its row, with an empty text if it had ``LENGTH`` bytes."""
+    at = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST))
+    text = F.coalesce("text", F.lit(""))
+    lost = repeated_spans(docs).select(F.coalesce("doc_id", F.lit(_LEAST)).alias("_at"), F.col("sha").alias("_sha"), F.col("kept").alias("_kept"))
+    rows = later_copies(docs)
+    later = rows.filter((~F.col("is_first") | (F.col("copies") > 1)) & (F.col("n_bytes") >= LENGTH))
+    later = later.select(F.coalesce("doc_id", F.lit(_LEAST)).alias("_at"), F.col("sha").alias("_sha"), "is_first")
+    keyed = docs.withColumns({"_at": at, "_sha": F.unhex(F.sha2(text, 256))})
+    joined = keyed.join(lost, ["_at", "_sha"], "left").join(later, ["_at", "_sha"], "left")
+    copy = F.row_number().over(W.partitionBy("_at", "_sha").orderBy(F.lit(0)))
+    left = F.replace(F.make_valid_utf8(F.col("_kept").cast("string")), F.lit("\ufffd"), F.lit(""))
+    gone = F.col("is_first").isNotNull() & ~(F.col("is_first") & (F.col("_copy") == 1))
+    new = F.when(gone, F.lit("")).when(F.col("_kept").isNotNull(), left).otherwise(F.col("text"))
+    return joined.withColumn("_copy", copy).withColumn("text", new).select(docs.columns)
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     lost = repeated_spans(docs).select(
