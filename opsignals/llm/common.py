@@ -50,6 +50,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 6 << 20)
             if size and size + (n or 0) > limit:
                 yield pa.concat_batches([*held, batch.slice(at, i - at)])
                 held, size, at = [], 0, i
+                pa.default_memory_pool().release_unused()
             size += n or 0
         if at < batch.num_rows:
             held.append(batch.slice(at))

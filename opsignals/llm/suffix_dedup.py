@@ -38,7 +38,8 @@ from opsignals.llm.common import few_rows, slices, small_batches, table, tasks,
 
 LENGTH = 100
 GRAM = 56
-SLICE = 6 << 20
+SLICE = 4 << 20
+_NAMED_AT_ONCE = 1 << 19
 _LEAST = -(1 << 63)
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 _SEEDS = (np.uint64(0), np.uint64(0x165667B19E3779F9))
@@ -149,17 +150,13 @@ def _batch(columns: dict[str, tuple[list, pa.DataType]]) -> pa.RecordBatch:
 
 
 def _by(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[int, list[dict]]]:
-    """Rows of one value of a column together; the input is sorted by it."""
-    value, held = None, []
+    """A partition's rows by a column. A partition has about one bucket, which is all it holds."""
+    held: dict[int, list[dict]] = defaultdict(list)
     for batch in batches:
         for row in batch.to_pylist():
-            if held and row[column] != value:
-                yield value, held
-                held = []
-            value = row[column]
-            held.append(row)
-    if held:
-        yield value, held
+            held[row[column]].append(row)
+    for value in sorted(held):
+        yield value, held.pop(value)
 
 
 # What tasks send about drawn places: fingerprints in order, the text each is of and its place there.
@@ -248,30 +245,42 @@ def repeated_places(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     sent = texts(docs).select("text").mapInArrow(draw, _DRAWN)
     # Rows with what a task knows already (bucket -1) are many and need nobody: they're dealt out freely.
     dealt = sent.repartition(buckets, F.when(F.col("bucket") < 0, F.xxhash64("docs")).otherwise(F.col("bucket")))
-    found = dealt.sortWithinPartitions("bucket").mapInArrow(compare, "digest long, places binary")
-    with few_rows(spark, 64):
+    found = dealt.mapInArrow(compare, "digest long, places binary")
+    with few_rows(spark, 16):
         return written(found, "repeated-places")
 
 
 def _windows(n: int, places: list[bytes], length: int) -> np.ndarray:
     """Whether the string at each place of a text of n bytes holds one of the places' fingerprints."""
     at = np.unique(np.frombuffer(b"".join(places), "<u4")).astype(np.int64)
-    edge = np.zeros(n - length + 2, np.int64)
+    edge = np.zeros(n - length + 2, np.int32)
     np.add.at(edge, np.maximum(at - (length - GRAM), 0), 1)
     np.add.at(edge, np.minimum(at + 1, n - length + 1), -1)
     return np.cumsum(edge)[:-1] > 0
 
 
 def _named(blob: bytes, sizes: np.ndarray, places: list[list[bytes]], length: int):
-    """Of a slice of texts: places (in the joined bytes) that are sorted, and their names."""
+    """Of a slice of texts: places (in the joined bytes) that are sorted, and their names. Texts are
+    named half a megabyte at a time, as names in the making take a hundred bytes for each of text."""
     starts = np.concatenate(([0], np.cumsum(sizes)))
-    held = np.zeros(len(blob), bool)
-    for a, n, at in zip(starts.tolist(), sizes.tolist(), places):
-        held[a : a + n - length + 1] = _windows(n, at, length)
     data = np.frombuffer(blob, np.uint8)
-    at = np.flatnonzero(held)
-    first, second = suffix_names(data, length)
-    return starts, at, first[at], second[at]
+    out: list[tuple] = []
+    i = 0
+    while i < len(sizes):
+        j = i + 1
+        while j < len(sizes) and starts[j + 1] - starts[i] <= _NAMED_AT_ONCE:
+            j += 1
+        a, b = int(starts[i]), int(starts[j])
+        held = np.zeros(b - a, bool)
+        for k in range(i, j):
+            at = int(starts[k]) - a
+            held[at : at + int(sizes[k]) - length + 1] = _windows(int(sizes[k]), places[k], length)
+        at = np.flatnonzero(held)
+        first, second = suffix_names(data[a:b], length)
+        out.append(((at + a).astype(np.uint32), first[at], second[at]))
+        i = j
+    at, first, second = (np.concatenate(column) for column in zip(*out, strict=True))
+    return starts, at, first, second
 
 
 def _sorted_names(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -339,6 +348,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in _by(batches, "bucket"):
+            rows.sort(key=lambda r: r["slice"])
             first = [_unplaned(r["first"], "<u8") for r in rows]
             order, new = _sorted_names(np.concatenate(first), np.concatenate([_unplaned(r["second"], "<u2") for r in rows]))
             later = np.empty(len(order), bool)
@@ -349,8 +359,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     with few_rows(spark, 2):
         sent = sliced.mapInArrow(name, "bucket int, slice long, first binary, second binary")
-        sorted_ = sent.repartition(buckets, "bucket").sortWithinPartitions("bucket", "slice")
-        judged = written(sorted_.mapInArrow(compare, "slice long, bucket int, bits binary"), "later-names")
+        dealt = sent.repartition(buckets, "bucket")
+        judged = written(dealt.mapInArrow(compare, "slice long, bucket int, bits binary"), "later-names")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -368,7 +378,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 gone[heads] = later
                 edge = np.zeros(len(row["bytes"]) + 1, np.int32)
                 edge[at[gone]] += 1
-                edge[at[gone] + length] -= 1
+                edge[at[gone] + np.uint32(length)] -= 1
                 covered = np.cumsum(edge[:-1]) > 0
                 out = defaultdict(list)
                 for doc, sha, a, b in zip(row["ids"], row["shas"], starts[:-1].tolist(), starts[1:].tolist(), strict=True):
