@@ -6,7 +6,7 @@ payload is a document's ids in 16 bits each, or 32 where the vocabulary needs th
 beside it has four signed 64-bit numbers a record: document, whether it has an id, byte offset in
 the data file, number of ids. A reader can so fetch any record alone, in any order.
 
-Files are written in ascending doc_id order (null ids first, equal ids by text), each under a name
+Files are written in ascending doc_id order (null ids first, equal ids by a hash of the text), each under a name
 of its own attempt and then moved into place, so a task that runs twice leaves one whole file. A
 null text is an empty one, whose record holds the end id alone. Other columns are left behind.
 """
@@ -94,8 +94,9 @@ def write_token_files(docs: DataFrame, path: str, end_id: int, width: int = 2, f
             schema=pa.schema([("part", pa.int64()), ("data", pa.string()), ("index", pa.string()), ("n_records", pa.int64()), ("n_tokens", pa.int64()), ("width", pa.int32())]),
         )
 
-    ordered = texts(docs).repartitionByRange(tasks(spark), F.asc_nulls_first("doc_id"), F.asc("text"))
-    made = ordered.sortWithinPartitions(F.asc_nulls_first("doc_id"), F.asc("text")).mapInArrow(write, _MANIFEST)
+    # Bounds are drawn from samples of these keys, so a text is in them by its hash.
+    by = [F.asc_nulls_first("doc_id"), F.xxhash64("text").asc()]
+    made = texts(docs).repartitionByRange(tasks(spark), *by).sortWithinPartitions(*by).mapInArrow(write, _MANIFEST)
     return TokenFiles(folder, written(made, "token-manifest"))
 
 
