@@ -74,7 +74,7 @@ def best_fit_decreasing(counts: dict[int, int], window: int = WINDOW) -> list[tu
     room: dict[int, list[tuple[int, int]]] = {}  # remaining capacity: ranges of windows
 
     def add(capacity: int, first: int, number: int) -> None:
-        if capacity:
+        if capacity and number:
             room.setdefault(capacity, []).append((first, number))
             tree.set(capacity, True)
 
@@ -83,29 +83,22 @@ def best_fit_decreasing(counts: dict[int, int], window: int = WINDOW) -> list[tu
         while left:
             capacity = tree.least(length)
             if capacity is None:
-                # As many windows as the rest of this length needs; each takes all it holds of it.
-                per = window // length
-                number, over = divmod(left, per)
-                for k in range(per if number else 0):
-                    runs.append((length, rank + k * number, number, windows, k * length))
-                if number:
-                    add(window - per * length, windows, number)
-                rank, windows = rank + per * number, windows + number
-                for k in range(over):
-                    runs.append((length, rank + k, 1, windows, k * length))
-                if over:
-                    add(window - over * length, windows, 1)
-                    windows += 1
-                break
-            first, number = room[capacity].pop()
-            if not room[capacity]:
-                tree.set(capacity, False)
-            used = min(number, left)
-            runs.append((length, rank, used, first, window - capacity))
-            add(capacity - length, first, used)
-            if used < number:
-                add(capacity, first + used, number - used)
-            rank, left = rank + used, left - used
+                capacity, first = window, windows
+                number = -(-left // (window // length))
+                windows += number
+            else:
+                first, number = room[capacity].pop()
+                if not room[capacity]:
+                    tree.set(capacity, False)
+            # A window that has taken one piece is the tightest for the next, until it's too tight.
+            per = capacity // length
+            full = min(number, left // per)
+            for each, at, some in ((per, first, full), (min(per, left - per * full), first + full, int(number > full and left > per * full))):
+                for k in range(each if some else 0):
+                    runs.append((length, rank + k * some, some, at, window - capacity + k * length))
+                add(capacity - each * length, at, some)
+                rank, left, number, first = rank + each * some, left - each * some, number - some, at + some
+            add(capacity, first, number)
     return runs
 
 
