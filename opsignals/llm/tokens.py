@@ -23,11 +23,11 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 KEPT_CHUNKS = 400_000
 KEPT_LENGTH = 48
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-_UNCOMMON = rf"[^ -~\n{_LETTERS}]"
+_UNCOMMON = rf"[^ -~\n{_LETTERS}]|<\|"  # the latter begins a special token, which has letters and marks
 _IRREGULAR = rf"[ \n][ \n]|[^{_LETTERS}][.,][ \n]|^[.,][ \n]"
 _MARK = "\x00"
-_BORDER = rf"([{_LETTERS}])([^{_LETTERS}' \n]*)([ \n])|([^{_LETTERS} \n])([ \n])"
-_CUT = rf"\1{_MARK}\2\4{_MARK}\3\5"
+_AFTER_LETTERS = rf"([{_LETTERS}])([^{_LETTERS}' \n]*)([ \n])"
+_AFTER_MARKS = rf"([^{_LETTERS} \n{_MARK}])([ \n])"
 _SURE_BORDER = re.compile(r"(?<=[A-Za-z0-9])(?= [A-Za-z0-9])")
 _WORD = re.compile(rf" ?[{_LETTERS}]+")
 
@@ -43,7 +43,9 @@ def chunks_of(texts: pa.Array) -> pa.Array:
         marked = pc.replace_substring(marked, plain, cut)
     if len(marked) == len(texts):
         return pc.split_pattern(marked, _MARK)
-    matched = pc.replace_substring_regex(texts.filter(pc.and_(irregular, pc.invert(uncommon))), _BORDER, _CUT)
+    matched = texts.filter(pc.and_(irregular, pc.invert(uncommon)))
+    matched = pc.replace_substring_regex(matched, _AFTER_LETTERS, rf"\1{_MARK}\2{_MARK}\3")
+    matched = pc.replace_substring_regex(matched, _AFTER_MARKS, rf"\1{_MARK}\2")
     odd = [_SURE_BORDER.split(text) for text in texts.filter(uncommon).to_pylist()]
     parts = [pc.split_pattern(marked, _MARK), pc.split_pattern(matched, _MARK), pa.array(odd, pa.large_list(pa.large_string()))]
     parts = [part.cast(pa.large_list(pa.large_string())) for part in parts]
