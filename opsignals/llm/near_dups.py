@@ -9,8 +9,9 @@ draws make a band, and documents that share one of ten bands are candidates: 0.8
 one with a probability of 0.999.
 
 Texts of one digest are one node. In a band of up to ``PAIRED`` nodes all pairs are verified; in a
-larger one every node is verified against a leader, and in later rounds against another leader (the
-node with most links) where it isn't in the leader's component yet. A verified pair has a weighted
+larger one every node is verified against a leader, and in later rounds against some sixteen others
+and the node with most links, where these aren't in its component yet, until a round finds no more
+links. A verified pair has a weighted
 Jaccard similarity of ``threshold`` or more over the whole texts. Links give components.
 
 A null text is an empty one; texts without words are near-duplicates of equal texts only, and texts
@@ -37,7 +38,7 @@ from opsignals.llm.words import hashed, mixed, runs, split_words
 RUN, THRESHOLD = 5, 0.8
 BANDS, ROWS = 10, 3
 WIDTH = 1 << 20
-PAIRED, ROUNDS = 16, 3
+PAIRED, ROUNDS = 16, 5
 _DRAWS = 1 << 16
 
 
@@ -208,11 +209,14 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     roots = components(links)
     for turn in range(1, ROUNDS):
         degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
-        ranked = many.select("key", "node").join(degree, "node", "left").join(roots, "node", "left")
-        ranked = ranked.withColumn("own", F.coalesce("root", "node"))
-        pick = F.struct(F.coalesce("links", F.lit(0)), F.xxhash64("node", F.lit(turn)), "node", "own")
-        leaders = ranked.groupBy("key").agg(F.max(pick).alias("top")).select("key", F.col("top.node").alias("lead"), F.col("top.own").alias("there"))
-        apart = ranked.join(leaders, "key").filter(F.col("own") != F.col("there"))
+        placed = many.join(degree, "node", "left").join(roots, "node", "left")
+        placed = placed.select("key", "node", "size", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "node").alias("own"))
+        # About PAIRED nodes of each band, others each time, and the one with most links.
+        some = F.pmod(F.xxhash64("node", "key", F.lit(turn)), F.col("size")) < PAIRED
+        drawn = placed.filter(some).select("key", F.col("node").alias("lead"), F.col("own").alias("there"))
+        hub = placed.groupBy("key").agg(F.max(F.struct("links", "node", "own")).alias("top"))
+        leaders = drawn.union(hub.select("key", "top.node", "top.own"))
+        apart = placed.join(leaders, "key").filter(F.col("own") != F.col("there"))
         pairs = apart.select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct()
         fresh = written(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         if fresh.isEmpty():
@@ -220,7 +224,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         tested = tested.union(fresh)
         more = written(verified(fresh, one_id, docs, idf, threshold), "links")
         if more.isEmpty():
-            continue
+            break
         links = links.union(more)
         roots = components(links)
     classed = signed.select("doc_id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
