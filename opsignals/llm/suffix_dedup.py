@@ -35,6 +35,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from opsignals.llm.common import few_rows, slices, small_batches, table, tasks, texts, written
+from opsignals.llm.words import mixed
 
 LENGTH = 100
 GRAM = 56
@@ -182,7 +183,8 @@ def repeated_places(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 seen[digest] = len(seen)
                 mark = grams(np.frombuffer(data, np.uint8), GRAM)
                 at = drawn_places(mark, width)
-                marks.append(mark[at])
+                # Least values are small ones: mixed again, they spread over the buckets.
+                marks.append(mixed(mark[at]))
                 places.append(at.astype(np.uint32))
                 owners.append(np.full(len(at), seen[digest], np.uint32))
             if not seen:
