@@ -159,12 +159,15 @@ def runs_of_rows(drawn: np.ndarray) -> np.ndarray:
     return out
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose texts are alike. ``nodes`` has one doc_id for each node."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes, "node")
+def texts_of(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """node and text, once, of nodes (node, and doc_id of one of its documents)."""
     whole = texts(docs).select(F.col("doc_id").alias("id"), "text")
-    found = whole.join(wanted, F.col("id").eqNullSafe(F.col("doc_id"))).filter(node_of(F.col("text")) == F.col("node"))
-    chosen = written(found.groupBy("node").agg(F.first("text").alias("text")), "candidates")
+    found = whole.join(nodes, F.col("id").eqNullSafe(F.col("doc_id"))).filter(node_of(F.col("text")) == F.col("node"))
+    return found.groupBy("node").agg(F.first("text").alias("text"))
+
+
+def verified(pairs: DataFrame, chosen: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
+    """The pairs (a, b) of nodes whose texts are alike."""
     one = chosen.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     other = chosen.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
 
@@ -195,7 +198,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     )
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     shared = written(keyed.join(sizes, "key"), "bands")
-    one_id = nodes.select("node", "doc_id")
+    # Every node that any round may verify, fetched once.
+    members = shared.select("node").distinct().join(nodes.select("node", "doc_id"), "node")
+    chosen = written(texts_of(members, docs), "candidates")
 
     # Bounded: a band of PAIRED nodes at most.
     few = shared.filter(F.col("size") <= PAIRED).groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("n"))
@@ -205,7 +210,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     leaders = many.groupBy("key").agg(F.min("node").alias("a"))
     pairs = pairs.union(many.join(leaders, "key").filter(F.col("node") != F.col("a")).select("a", F.col("node").alias("b")))
     tested = written(pairs.distinct(), "pairs")
-    links = written(verified(tested, one_id, docs, idf, threshold), "links")
+    links = written(verified(tested, chosen, idf, threshold), "links")
     roots = components(links)
     for turn in range(1, ROUNDS):
         degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
@@ -222,7 +227,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         if fresh.isEmpty():
             break
         tested = tested.union(fresh)
-        more = written(verified(fresh, one_id, docs, idf, threshold), "links")
+        more = written(verified(fresh, chosen, idf, threshold), "links")
         if more.isEmpty():
             break
         links = links.union(more)
