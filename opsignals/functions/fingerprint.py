@@ -12,7 +12,8 @@ FINGERPRINT_LENGTH = 32
 # Matching may start only where a run of address characters starts (or right after the
 # previous match): a start inside the run reaches the same "@", and trying each one makes
 # a long run without "@" quadratic.
-EMAIL = r"(?:\G|(?<![a-zA-Z0-9._%+-]))[a-zA-Z0-9._%+-]++@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
+EMAIL_PLAIN = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
+EMAIL = rf"(?:\G|(?<![a-zA-Z0-9._%+-])){EMAIL_PLAIN.replace('+@', '++@')}"
 
 _HEX = "[0-9a-fA-F]"
 _UUID = f"{_HEX}{{8}}-{_HEX}{{4}}-{_HEX}{{4}}-{_HEX}{{4}}-{_HEX}{{12}}"

@@ -8,7 +8,8 @@ from functools import lru_cache, reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from opsignals.functions.fingerprint import EMAIL
+from opsignals.functions import jsontext
+from opsignals.functions.fingerprint import EMAIL, EMAIL_PLAIN
 from opsignals.functions.text import NOT_AFTER_WORD as START
 from opsignals.functions.text import NOT_BEFORE_WORD as STOP
 from opsignals.functions.text import WORD, bind, rewrite_matches
@@ -17,7 +18,7 @@ REDACTED = "[FILTERED]"
 IBAN_LABEL = "[IBAN FILTERED]"
 CARD_LABEL = "[CREDIT CARD FILTERED]"
 
-_EITHER_EDGE = rf"(?:(?<={WORD}){STOP}|{START}(?={WORD}))"
+EITHER_EDGE = rf"(?:(?<={WORD}){STOP}|{START}(?={WORD}))"
 
 # Label and pattern, replaced in this order.
 PATTERNS = (
@@ -25,7 +26,7 @@ PATTERNS = (
     ("SSN", rf"{START}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{STOP}"),
     ("CREDIT CARD", rf"{START}[0-9]{{4}}[ -][0-9]{{4}}[ -][0-9]{{4}}[ -][0-9]{{1,4}}{STOP}"),
     ("BEARER TOKEN", rf"{START}(?i:bearer)[ \t\n\x0B\f\r]+[A-Za-z0-9\-._~+/]++=*+"),
-    ("JWT", rf"ey(?<!{WORD}ey)[A-Za-z0-9_-]{{10,}}\.[A-Za-z0-9_-]{{10,}}\.[A-Za-z0-9_-]{{10,}}{_EITHER_EDGE}"),
+    ("JWT", rf"{START}ey[A-Za-z0-9_-]{{10,}}+\.[A-Za-z0-9_-]{{10,}}+\.[A-Za-z0-9_-]{{10,}}{EITHER_EDGE}"),
     ("AWS KEY", rf"{START}AKIA[0-9A-Z]{{16}}{STOP}"),
     ("STRIPE KEY", rf"{START}[sr]k_(?:live|test)_[A-Za-z0-9]{{10,}}+{STOP}"),
     ("GITHUB TOKEN", rf"{START}gh[pousr]_[A-Za-z0-9]{{20,}}+{STOP}"),
@@ -147,7 +148,8 @@ _NEEDED_TEXT = {
 _NEEDED_SHAPE = {
     "SSN": "[0-9]{3}-[0-9]{2}-[0-9]{4}",
     "CREDIT CARD": "[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]",
-    "JWT": r"ey[A-Za-z0-9_-]{10,}\.",
+    # One attempt to each run of the pieces' own characters; each reads three runs at most.
+    "JWT": r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]++\.[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]",
 }
 _IBAN_SHAPE = "[A-Z]{2}[0-9]{2}"
 _RUN_SHAPE = rf"[0-9](?:[ -]?[0-9]){{{CARD_MIN - 1}}}"
@@ -198,6 +200,11 @@ def is_sensitive_key(key: Column) -> Column:
     return F.coalesce(reduced.rlike("|".join(SENSITIVE_WORDS)), F.lit(False))
 
 
+def looks_nested(value: Column) -> Column:
+    """Whether a text may be a JSON object or array."""
+    return F.coalesce(value.rlike(r"\A[ \t\r\n]*+[\[{]"), F.lit(False))
+
+
 def redact_map(column: Column) -> Column:
     """One level of ``map<string, string>``: values of sensitive keys hidden, others redacted."""
     return F.transform_values(
@@ -209,7 +216,7 @@ def redact_map(column: Column) -> Column:
 # one Arrow UDF only. Python's re has no \G; a run of address characters ends an earlier match,
 # so looking behind is not needed either.
 _PY_PATTERNS = {
-    label: re.compile(r"[a-zA-Z0-9._%+-]++@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}" if label == "EMAIL" else pattern)
+    label: re.compile(EMAIL_PLAIN.replace("+@", "++@") if label == "EMAIL" else pattern)
     for label, pattern in PATTERNS
 }
 # What every pattern needs one of.
@@ -268,12 +275,16 @@ def key_is_sensitive(key: str) -> bool:
 _ASCII_FOLD = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 
-def redact_json_value(value, key: str | None = None):
-    """A parsed JSON value with sensitive keys hidden and the remaining strings redacted."""
-    if key and value is not None and key_is_sensitive(key):
-        return REDACTED
-    if isinstance(value, dict):
-        return {k: redact_json_value(v, k) for k, v in value.items()}
-    if isinstance(value, list):
-        return [redact_json_value(v, key) for v in value]
-    return redact_text(value) if isinstance(value, str) else value
+def redact_json_text(text: str) -> str:
+    """JSON text with sensitive keys hidden and its strings redacted, strings of JSON included; other
+    text redacted as it is."""
+    found = jsontext.rewrite(text, key_is_sensitive, _redact_nested, REDACTED)
+    return redact_text(text) if found is None else found
+
+
+def _redact_nested(text: str) -> str:
+    if text.lstrip(" \t\r\n")[:1] in ("{", "["):
+        found = jsontext.rewrite(text, key_is_sensitive, redact_text, REDACTED)
+        if found is not None:
+            return found
+    return redact_text(text)

@@ -20,11 +20,12 @@ from opsignals.functions.text import (
     utf8_prefix,
 )
 
-# Fixed values.
-MAX_STATEMENT_BYTES = 4000
-MAX_NAMES = 10
-MAX_NAME_BYTES = 200
-MAX_CAUSE_DEPTH = 5
+# Fixed values. Clients with little memory cut at 4000 bytes a statement, 10 names a kind of 200
+# bytes each and 5 causes; here nothing is cut unless a caller passes such numbers.
+CLIENT_STATEMENT_BYTES = 4000
+CLIENT_NAMES = 10
+CLIENT_NAME_BYTES = 200
+CLIENT_CAUSES = 5
 COMPILING_MARKER = "while compiling:"
 OPERATIONS = (
     "SELECT", "INSERT", "UPDATE", "DELETE", "MERGE", "WITH", "CALL", "EXEC", "EXECUTE",
@@ -70,38 +71,33 @@ _RELATION = rf"(?<={_END})(?i:from|join|into|update|table){_END}{_NAME}{_END}(?:
 _BARE_SELECT = rf"\A{_END}(?i:select){_END}({_NAME}){_END}\({_END}"
 
 
-def mask(statement: Column, system: Column | None = None) -> Column:
+def mask(statement: Column, system: Column | None = None, *, max_bytes: int | None = None) -> Column:
     """Every literal replaced by ``?``; blank gives null. Only MySQL and MariaDB read double
-    quotes as strings. Results over 4000 bytes are cut at a character and end in ``...``."""
+    quotes as strings. With ``max_bytes``, longer results are cut at a character and end in ``...``."""
     plain = F.regexp_replace(statement, _LITERAL, "?")
     if system is None:
         masked = plain
     else:
         is_mysql = F.coalesce(ascii_lower(system).isin("mysql", "mariadb"), F.lit(False))
         masked = F.when(is_mysql, F.regexp_replace(statement, _LITERAL_MYSQL, "?")).otherwise(plain)
-    cut = bind(
-        masked,
-        lambda m: F.when(
-            F.octet_length(m) > MAX_STATEMENT_BYTES,
-            F.concat(utf8_prefix(m, MAX_STATEMENT_BYTES), F.lit("...")),
-        ).otherwise(m),
-    )
-    return F.when(~is_blank(statement), cut)
+    if max_bytes is not None:
+        whole = masked
+        masked = bind(
+            whole,
+            lambda m: F.when(F.octet_length(m) > max_bytes, F.concat(utf8_prefix(m, max_bytes), F.lit("..."))).otherwise(m),
+        )
+    return F.when(~is_blank(statement), masked)
 
 
-def _clean(names: Column) -> Column:
+def _clean(names: Column, max_names: int | None, max_name_bytes: int | None) -> Column:
     trimmed = F.transform(names, lambda n: ascii_trim(F.translate(n, _MARK_STAND_IN, _END), WHITESPACE))
-    cut = F.transform(
-        trimmed,
-        lambda n: F.when(
-            F.octet_length(n) > MAX_NAME_BYTES, F.substring(n.cast("binary"), 1, MAX_NAME_BYTES).cast("string")
-        ).otherwise(n),
-    )
-    whole = F.filter(cut, lambda n: n.rlike(rf"\A{_NAME}\z"))
-    return F.slice(F.array_distinct(whole), 1, MAX_NAMES)
+    if max_name_bytes is not None:
+        trimmed = F.transform(trimmed, lambda n: F.substring(n.cast("binary"), 1, max_name_bytes).cast("string"))
+    found = F.array_distinct(F.filter(trimmed, lambda n: n.rlike(rf"\A{_NAME}\z")))
+    return found if max_names is None else F.slice(found, 1, max_names)
 
 
-def objects(masked: Column) -> Column:
+def objects(masked: Column, *, max_names: int | None = None, max_name_bytes: int | None = None) -> Column:
     """``struct<operation, procedures, relations>`` named by a masked statement, or null.
 
     The statement is cut into tokens once and laid out with a mark after each, so "keyword,
@@ -109,11 +105,13 @@ def objects(masked: Column) -> Column:
     """
     tokens = F.regexp_extract_all(F.translate(masked, _END, _MARK_STAND_IN), F.lit(_TOKEN), F.lit(0))
     laid_out = F.concat(F.lit(_END), F.array_join(tokens, _END), F.lit(_END))
-    found = bind(F.regexp_replace(laid_out, _CLAUSE_WITH_FROM, ""), _named_in)
+    found = bind(
+        F.regexp_replace(laid_out, _CLAUSE_WITH_FROM, ""), lambda x: _named_in(x, max_names, max_name_bytes)
+    )
     return F.when(~is_blank(masked), bind(found, lambda f: F.when(~_is_empty(f), f)))
 
 
-def _named_in(laid_out: Column) -> Column:
+def _named_in(laid_out: Column, max_names: int | None, max_name_bytes: int | None) -> Column:
     called = F.regexp_extract_all(laid_out, F.lit(_PROCEDURE_CALL), F.lit(1))
     pairs = F.transform(
         F.regexp_extract_all(laid_out, F.lit(_RELATION), F.lit(0)),
@@ -140,8 +138,8 @@ def _named_in(laid_out: Column) -> Column:
         relations = F.transform(F.filter(p, lambda x: ~x["is_function"]), lambda x: x["name"])
         return F.struct(
             F.when(word.isin(*OPERATIONS), word).alias("operation"),
-            _clean(F.concat(called, functions, bare)).alias("procedures"),
-            _clean(relations).alias("relations"),
+            _clean(F.concat(called, functions, bare), max_names, max_name_bytes).alias("procedures"),
+            _clean(relations, max_names, max_name_bytes).alias("relations"),
         )
 
     return bind(pairs, parts)

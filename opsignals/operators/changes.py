@@ -10,11 +10,12 @@ from opsignals.operators.running import running, time_segment
 
 # Fixed values.
 KINDS = ("feature_flag", "config", "migration", "infrastructure", "dependency", "other")
-MAX_TITLE = 200
 
 
-def change_normalize(changes: DataFrame, *, environment: str = "production", now: Column | None = None) -> DataFrame:
-    """Titles trimmed, cut to 200 characters and never blank; unknown kinds are ``other``;
+def change_normalize(
+    changes: DataFrame, *, environment: str = "production", now: Column | None = None, max_title: int | None = None
+) -> DataFrame:
+    """Titles trimmed, never blank, and cut only to a given ``max_title`` (clients send 200); unknown kinds are ``other``;
     environment and time have defaults; details only if a non-empty object (JSON text or map)."""
     title = ascii_trim(F.col("title"))
     details = F.col("details")
@@ -26,7 +27,7 @@ def change_normalize(changes: DataFrame, *, environment: str = "production", now
     return (
         changes.filter(title != "")
         .withColumn("kind", F.when(F.col("kind").isin(*KINDS), F.col("kind")).otherwise("other"))
-        .withColumn("title", F.substring(title, 1, MAX_TITLE))
+        .withColumn("title", title if max_title is None else F.substring(title, 1, max_title))
         .withColumn("environment", F.coalesce("environment", F.lit(environment)))
         .withColumn("occurred_at", F.coalesce(F.col("occurred_at"), now))
         .withColumn("details", kept)

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from opsignals.functions import fingerprint, pii, sqltext
 from opsignals.functions.text import is_blank
+from opsignals.operators.privacy import redact_fields
 from opsignals.operators.running import running, time_segment
 from opsignals.operators.traces import mark_nested
+from opsignals.shipping import ship
 
-# Fixed values.
-MAX_BREADCRUMBS = 30
-MAX_FRAMES = 128
+# Fixed value.
 FRAME = (
     r"\A[ \t\n\x0B\f\r]*+[0-9]++[ \t\n\x0B\f\r]++([^ \t\n\x0B\f\r]++)[ \t\n\x0B\f\r]++0x[0-9a-fA-F]++"
     r"[ \t\n\x0B\f\r]++(.+?)[ \t\n\x0B\f\r]+\+[ \t\n\x0B\f\r]++[0-9]++[ \t\n\x0B\f\r]*+\z"
@@ -53,12 +53,12 @@ def breadcrumb_trail(
     errors: DataFrame,
     breadcrumbs: DataFrame,
     *,
-    limit: int = MAX_BREADCRUMBS,
+    limit: int,
     strict: bool = False,
     segment: Column | None = None,
 ) -> DataFrame:
-    """Each error with the last ``limit`` breadcrumbs of its thread since the last clear, oldest
-    first.
+    """Each error with the last ``limit`` breadcrumbs (clients keep 30) of its thread since the
+    last clear, oldest first.
 
     Breadcrumbs are numbered along their thread. An error that has seen ``n`` of them asks for
     the numbers ``n - limit + 1 .. n``: an equality join on (thread, number), one row per key,
@@ -164,11 +164,14 @@ def issue_groups(errors: DataFrame, *, user: str = "user.id") -> DataFrame:
     return grouped.withColumn("message_fingerprint", fingerprint.hash_normalized(F.col("sample")))
 
 
-def frame_rollup(errors: DataFrame, *, executable: str, text: str = "backtrace_text") -> DataFrame:
-    """Errors per stack frame, from raw backtrace text: the first 128 lines, those that don't
-    parse skipped, frames of ``executable`` flagged. Repeats within an error are removed in the
+def frame_rollup(
+    errors: DataFrame, *, executable: str, text: str = "backtrace_text", max_lines: int | None = None
+) -> DataFrame:
+    """Errors per stack frame, from raw backtrace text: all its lines, or the first ``max_lines``
+    (clients send 128), those that don't parse skipped, frames of ``executable`` flagged. Repeats within an error are removed in the
     row, so each line is parsed once and counting needs no distinct."""
-    lines = F.array_distinct(F.slice(F.split(F.col(text), "\n", -1), 1, MAX_FRAMES))
+    lines = F.split(F.col(text), "\n", -1)
+    lines = F.array_distinct(lines if max_lines is None else F.slice(lines, 1, max_lines))
     frames = F.transform(
         F.filter(lines, lambda x: x.rlike(FRAME)),
         lambda x: F.struct(
@@ -183,10 +186,11 @@ def frame_rollup(errors: DataFrame, *, executable: str, text: str = "backtrace_t
     )
 
 
-def nearest_statement(causes: Column) -> Column:
-    """Statement of the nearest cause that has one, its own or one quoted in its text."""
+def nearest_statement(causes: Column, max_depth: int | None = None) -> Column:
+    """Statement of the nearest cause that has one, its own or one quoted in its text. The error
+    itself is followed by all its causes, or by ``max_depth`` of them."""
     found = F.transform(
-        F.slice(causes, 1, sqltext.MAX_CAUSE_DEPTH + 1),
+        causes if max_depth is None else F.slice(causes, 1, max_depth + 1),
         lambda c: F.coalesce(F.nullif(c["statement"], F.lit("")), sqltext.statement_in_text(c["what"])),
     )
     return F.get(F.array_compact(found), F.lit(0))
@@ -237,7 +241,7 @@ def event_assemble(
     breadcrumbs: DataFrame,
     traces: DataFrame,
     *,
-    max_breadcrumbs: int = MAX_BREADCRUMBS,
+    max_breadcrumbs: int,
     sql_objects: bool = True,
     sql_statement: bool = False,
     redact: bool = True,
@@ -246,6 +250,10 @@ def event_assemble(
 ) -> DataFrame:
     """The full error row. Order matters: breadcrumbs and SQL are redacted with the rest, user
     and trace id are not, and the strict projection comes last, over everything."""
+    if redact:
+        # Before the lookups: a Python function can't stand inside an array of breadcrumbs.
+        ship(errors.sparkSession)
+        breadcrumbs = breadcrumbs.withColumn("data", redact_fields(F.col("data")))
     # The lookups run side by side on what identifies an error; the wide rows are shuffled once,
     # to meet the answers on the error's own id.
     narrow = errors.select("error_id", "thread_id", "seq", "occurred_at", "user")
@@ -273,12 +281,10 @@ def event_assemble(
                 ),
                 "breadcrumbs": F.transform(
                     "breadcrumbs",
-                    lambda b: b.withField("message", pii.redact(b["message"])).withField(
-                        "data", pii.redact_map(b["data"])
-                    ),
+                    lambda b: b.withField("message", pii.redact(b["message"])),
                 ),
-                "context": pii.redact_map(F.col("context")),
-                "tags": pii.redact_map(F.col("tags")),
+                "context": redact_fields(F.col("context")),
+                "tags": redact_fields(F.col("tags")),
             }
         )
     if not sql_statement:

@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 from opsignals.operators.running import first_n
 
 # Fixed values.
-MAX_ENTRIES = 1000
 PERIOD = "60 seconds"
 _JSON_NUMBER = r"\A-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?(?:[eE][+-]?[0-9]++)?\z"
 
@@ -49,7 +48,7 @@ def metric_batches(
     buffer=("environment", "release"),
     *,
     period: str = PERIOD,
-    cap: int = MAX_ENTRIES,
+    cap: int,
     order=("recorded_at", "seq"),
 ) -> DataFrame:
     """Valid entries with the batch they go out in: the first ``cap`` of a buffer and period."""
@@ -58,7 +57,7 @@ def metric_batches(
 
 
 def metric_batch_counts(
-    metrics: DataFrame, buffer=("environment", "release"), *, period: str = PERIOD, cap: int = MAX_ENTRIES, ts="recorded_at"
+    metrics: DataFrame, buffer=("environment", "release"), *, period: str = PERIOD, cap: int, ts="recorded_at"
 ) -> DataFrame:
     """Entries kept and dropped per batch: a count and a comparison, no ranking."""
     counted = (

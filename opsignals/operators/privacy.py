@@ -2,21 +2,13 @@
 
 from __future__ import annotations
 
-import json
-
-import sys
-
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opsignals.functions import pii
-
-# The one Python function of the library travels with the job, so executors need no install.
-for _module in (pii, sys.modules[__name__]):
-    cloudpickle.register_pickle_by_value(_module)
+from opsignals.shipping import ship
 
 
 def pii_redact(df: DataFrame, *columns: str) -> DataFrame:
@@ -39,16 +31,15 @@ def pii_audit(df: DataFrame, text: str, by: str) -> DataFrame:
 
 @F.pandas_udf(T.StringType())
 def _redact_json(texts: pd.Series) -> pd.Series:
-    def one(text):
-        if text is None:
-            return None
-        try:
-            value = json.loads(text)
-        except ValueError:
-            return pii.redact_text(text)
-        return json.dumps(pii.redact_json_value(value), ensure_ascii=False, separators=(",", ":"))
+    return texts.map(pii.redact_json_text, na_action="ignore")
+
 
-    return texts.map(one, na_action="ignore")
+def redact_fields(column: Column) -> Column:
+    """``map<string, string>`` whose values may be JSON text: hidden and redacted at any depth. Only
+    rows with a value that looks nested go to Python; call ``ship`` for the session before."""
+    nested = F.coalesce(F.exists(F.map_values(column), pii.looks_nested), F.lit(False))
+    deep = F.from_json(_redact_json(F.when(nested, F.to_json(column))), "map<string,string>")
+    return F.when(nested, deep).otherwise(pii.redact_map(column))
 
 
 def _walk(c: Column, kind: T.DataType, name: str | None) -> Column:
@@ -80,5 +71,6 @@ def sensitive_key_redact(df: DataFrame, column: str, *, json_text: bool = False)
     it goes through one Arrow batch function.
     """
     if json_text:
+        ship(df.sparkSession)
         return df.withColumn(column, _redact_json(F.col(column)))
     return df.withColumn(column, _walk(F.col(column), df.schema[column].dataType, None))

@@ -11,7 +11,6 @@ from opsignals.operators.running import first_n, running, sequence_segment, time
 
 # Fixed values.
 KINDS = ("controller", "service", "database", "redis", "http", "job", "other")
-MAX_SPANS = 500
 THRESHOLD_MS = 1000.0
 STATEMENT, SYSTEM = "db.statement", "db.system"
 
@@ -111,7 +110,7 @@ def span_normalize(spans: DataFrame, *, strict: bool = False) -> DataFrame:
     )
 
 
-def span_cap(spans: DataFrame, *, cap: int = MAX_SPANS) -> DataFrame:
+def span_cap(spans: DataFrame, *, cap: int) -> DataFrame:
     """At most ``cap`` spans per trace: the root, then the first ones recorded."""
     children = first_n(spans.filter(~F.col("is_root")), ["trace_id"], ["seq", "span_id"], cap - 1)
     return spans.filter("is_root").unionByName(children)

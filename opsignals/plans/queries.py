@@ -139,7 +139,7 @@ def wire_export(spark, sf_dir):
     change_docs = export.single_documents(
         view(spark, sf_dir, "changes"), "changes", ["kind", "title", "environment", "occurred_at", "id"]
     )
-    spans = traces.span_cap(_spans(spark, sf_dir).withColumn("parent_span_id", F.lit(None).cast("string")))
+    spans = _spans(spark, sf_dir).withColumn("parent_span_id", F.lit(None).cast("string"))
     span_docs = export.trace_documents(spans, ["span_id", "name", "kind", "started_at", "parent_span_id"])
     documents = metric_docs.unionByName(change_docs).unionByName(span_docs)
     return documents.groupBy("endpoint").agg(
@@ -465,7 +465,7 @@ def retry_ledger(spark, sf_dir):
     """, trimmed AS (SELECT *, trim(title, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS t
                      FROM document_changes)
        SELECT change_id, CASE WHEN kind IN ('config', 'feature_flag') THEN kind ELSE 'other' END AS kind,
-              substring(t, 1, 200) AS title, coalesce(environment, 'production') AS environment,
+              t AS title, coalesce(environment, 'production') AS environment,
               coalesce(occurred_text, '2024-02-01 00:00:00') AS occurred_at,
               CASE WHEN details = '{"flag":true}' THEN details END AS details
        FROM trimmed WHERE t <> ''""",
@@ -850,7 +850,7 @@ def issue_groups(spark, sf_dir):
 
 @query(
     "frame_rollup",
-    r""", lines AS (SELECT error_id, unnest(string_split(backtrace_text, chr(10))[1:128]) AS line FROM backtraces),
+    r""", lines AS (SELECT error_id, unnest(string_split(backtrace_text, chr(10))) AS line FROM backtraces),
        frames AS (SELECT DISTINCT error_id,
                          regexp_extract(line, '^\s*\d+\s+(\S+)\s+0x[0-9a-fA-F]+\s+(.+?)\s+\+\s+\d+\s*$', 1) AS image,
                          regexp_extract(line, '^\s*\d+\s+(\S+)\s+0x[0-9a-fA-F]+\s+(.+?)\s+\+\s+\d+\s*$', 2) AS symbol
@@ -945,20 +945,23 @@ def strict_event(spark, sf_dir):
     _USER_SQL
     + _TRAIL_SQL
     + _OUTER_SQL
-    + """SELECT error_id, user_id, open_trace AS trace_id, coalesce(crumbs, 0) AS crumbs, trail,
+    + f"""SELECT error_id, user_id, open_trace AS trace_id, coalesce(crumbs, 0) AS crumbs, trail,
               CASE error_id % 3 WHEN 0 THEN 'UPDATE accounts SET n = ? WHERE id = ?'
                                 WHEN 1 THEN 'EXEC dbo.sp_close @id = ?'
                                 ELSE 'SELECT * FROM accounts WHERE id = ?' END AS sql_statement,
               CASE error_id % 3 WHEN 0 THEN 'UPDATE' WHEN 1 THEN 'EXEC' ELSE 'SELECT' END AS operation,
               CASE error_id % 3 WHEN 1 THEN 'dbo.sp_close' ELSE 'accounts' END AS object,
-              message, error_code, thread_id AS api_token
+              {_REDACT_MESSAGE} AS message, error_code, '[FILTERED]' AS api_token,
+              '{{"path":"/x","auth":[{{"password":"[FILTERED]","n":1.10}}]}}' AS request
        FROM errors JOIN who USING (error_id) JOIN opened USING (error_id) LEFT JOIN trails USING (error_id)""",
     ("errors", "set_user", "breadcrumbs", "traces"),
 )
 def event_assemble(spark, sf_dir):
+    request = F.concat(F.lit('{"path": "/x", "auth": [{"password": "'), "thread_id", F.lit('", "n": 1.10}]}'))
+    raised = _errors(spark, sf_dir).withColumn("context", F.map_concat("context", F.create_map(F.lit("request"), request)))
     rows = errors.event_assemble(
-        _errors(spark, sf_dir), _set_user(spark, sf_dir), _breadcrumbs(spark, sf_dir), view(spark, sf_dir, "traces"),
-        max_breadcrumbs=6, sql_statement=True, redact=False,
+        raised, _set_user(spark, sf_dir), _breadcrumbs(spark, sf_dir), view(spark, sf_dir, "traces"),
+        max_breadcrumbs=6, sql_statement=True,
     )
     found = F.col("sql_objects")
     return rows.select(
@@ -973,6 +976,7 @@ def event_assemble(spark, sf_dir):
         "message",
         F.col("context")["error_code"].alias("error_code"),
         F.col("context")["apiToken"].alias("api_token"),
+        F.col("context")["request"].alias("request"),
     )
 
 
@@ -994,18 +998,18 @@ def pii_audit(spark, sf_dir):
 
 @query(
     "sensitive_key_redact",
-    """SELECT event_id, '{"event":"' || event_type || '","user":{"Api-Key":"[FILTERED]","note":"mail [EMAIL FILTERED]"},'
-              || '"items":[{"accessTokens":"[FILTERED]"},{"password":null}],"n":' || CAST(user_id AS VARCHAR) || '}' AS body
-       FROM events""",
+    pii_sql.REDACTED
+    + """SELECT doc_id, '{"doc_id":' || CAST(doc_id AS VARCHAR) || ',"meta":{"accessToken":"[FILTERED]","source":"' || source
+                || '","parts":[{"Api-Key":"[FILTERED]"},{"text":' || CAST(to_json(clean) AS VARCHAR) || '}]}}' AS body
+         FROM redacted""",
 )
 def sensitive_key_redact(spark, sf_dir):
-    bodies = table(spark, sf_dir, "events").select(
-        "event_id",
+    part = F.array(F.to_json(F.struct(F.array("lang").alias("Api-Key"))), F.to_json(F.struct("text")))
+    bodies = table(spark, sf_dir, "documents").select(
+        "doc_id",
         F.concat(
-            F.lit('{"event":"'), "event_type", F.lit('","user":{"Api-Key":"k'), F.col("event_id").cast("string"),
-            F.lit('","note":"mail u'), F.col("user_id").cast("string"),
-            F.lit('@example.com"},"items":[{"accessTokens":[1,2]},{"password":null}],"n":'),
-            F.col("user_id").cast("string"), F.lit("}"),
+            F.lit('{"doc_id": '), F.col("doc_id").cast("string"), F.lit(', "meta": {"accessToken": {"k": ["'), "lang",
+            F.lit('"]}, "source": "'), "source", F.lit('", "parts": ['), F.array_join(part, " , "), F.lit("]}}"),
         ).alias("body"),
     )
     return privacy.sensitive_key_redact(bodies, "body", json_text=True)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opsignals.operators.running import running, time_segment
+from opsignals.operators.running import running, sequence_segment, time_segment
 
 SECONDS, MILLIS = "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 # Endpoint, the keys that are written even when null, and the time format.
@@ -85,22 +85,23 @@ def batched_documents(
     )
 
 
-def trace_documents(spans: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``{"trace_id": .., "spans": [..]}`` from spans that went through ``span_cap``: a trace
-    then has a bounded number of them. The root comes first, the others as recorded."""
-    items = spans.select("trace_id", "is_root", "seq", "span_id", item_json(spans, "spans", columns).alias("item"))
-    listed = items.groupBy("trace_id").agg(
-        F.sort_array(F.collect_list(F.struct((~F.col("is_root")).alias("child"), "seq", "span_id", "item"))).alias(
-            "rows"
-        ),
-        F.count(F.lit(1)).alias("items"),
+def trace_documents(spans: DataFrame, columns: Sequence[str], *, max_items: int = MAX_ITEMS) -> DataFrame:
+    """``{"trace_id": .., "spans": [..]}``, the root first, the others as recorded. A trace of more
+    than ``max_items`` spans becomes several documents of one id, so none is collected whole."""
+    items = spans.select(
+        "trace_id", (~F.col("is_root")).alias("child"), "seq", "span_id", item_json(spans, "spans", columns).alias("item")
+    )
+    segment = F.when(F.col("child"), F.greatest(sequence_segment("seq"), F.lit(0))).otherwise(-1)
+    order = ["child", "seq", "span_id"]
+    numbered = running(items, ["trace_id"], order, segment, {"number": ("sum", F.lit(1).cast("long"))})
+    listed = numbered.groupBy("trace_id", F.floor((F.col("number") - 1) / max_items).alias("part")).agg(
+        F.sort_array(F.collect_list(F.struct("number", "item"))).alias("rows"), F.count(F.lit(1)).alias("items")
     )
     joined = F.array_join(F.transform("rows", lambda r: r["item"]), ",")
+    head = F.to_json(F.struct("trace_id"))  # escapes the id
     return listed.select(
         F.lit("spans").alias("endpoint"),
-        F.concat(F.lit('{"trace_id":'), F.concat(F.lit('"'), "trace_id", F.lit('"')), F.lit(',"spans":['), joined, F.lit("]}")).alias(
-            "document"
-        ),
+        F.concat(F.substring(head, 1, F.length(head) - 1), F.lit(',"spans":['), joined, F.lit("]}")).alias("document"),
         "items",
     )
 

@@ -108,7 +108,7 @@ def stream_metric_batches(
     *,
     buffer=("environment", "release"),
     period: str = metrics.PERIOD,
-    cap: int = metrics.MAX_ENTRIES,
+    cap: int,
     delay_seconds: int = 600,
 ) -> StreamingQuery:
     """Valid entries written with their batch, capped over micro-batches, and what each

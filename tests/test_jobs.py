@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
+from opsignals.functions import sqltext
 from opsignals.functions.latency import histogram_text
 from opsignals.operators import changes, delivery, errors, metrics, perf, privacy, statements, traces
 from opsignals.sources import export, scan
@@ -123,9 +124,9 @@ def test_batches_keep_the_first_entries_of_a_period(spark):
     rows = [("m", float(i), "production", None, at(0), i) for i in range(1050)]
     rows += [("m", 1.0, "production", None, at(60), 2000), ("m", float("nan"), "production", None, at(1), 3000)]
     df = spark.createDataFrame(rows, SIGNALS["metrics"])
-    kept = metrics.metric_batches(df).collect()
+    kept = metrics.metric_batches(df, cap=1000).collect()
     assert sorted(r.seq for r in kept) == [*range(1000), 2000]
-    counts = {r.batch_started_at: (r.kept, r.dropped) for r in metrics.metric_batch_counts(df).collect()}
+    counts = {r.batch_started_at: (r.kept, r.dropped) for r in metrics.metric_batch_counts(df, cap=1000).collect()}
     assert counts == {at(0): (1000, 50), at(60): (1, 0)}
     totals = metrics.metric_totals(df).first()
     assert totals.entries == 1051 and float(totals.total) == sum(range(1050)) + 1
@@ -152,9 +153,11 @@ def test_changes_are_cleaned(spark):
     got = {r.change_id: tuple(r)[1:] for r in changes.change_normalize(df, now=F.lit(at(99))).collect()}
     assert got == {
         1: ("config", "Raised", "production", at(99), '{"a":1}'),
-        2: ("other", "é" * 200, "staging", at(3), None),
+        2: ("other", "é" * 250, "staging", at(3), None),
         4: ("other", "x", "production", at(99), None),
     }
+    short = changes.change_normalize(df, now=F.lit(at(99)), max_title=200).filter("change_id = 2").first()
+    assert short.title == "é" * 200
 
 
 def test_the_first_of_an_id_wins_and_rows_without_one_stay(spark):
@@ -211,7 +214,7 @@ def spans(spark, rows):
 
 def test_a_trace_keeps_its_root_and_the_first_spans_recorded(spark):
     rows = [("t", "root", 5.0, 10_000, True)] + [("t", f"s{i}", 1.0, i, False) for i in range(700)]
-    kept = {r.span_id for r in traces.span_cap(spans(spark, rows)).collect()}
+    kept = {r.span_id for r in traces.span_cap(spans(spark, rows), cap=500).collect()}
     assert kept == {"root", *[f"s{i}" for i in range(499)]}
 
 
@@ -319,7 +322,8 @@ def test_a_trail_is_the_last_crumbs_since_the_last_clear(spark):
         {"error_id": 3, "thread_id": "a", "seq": 99, "occurred_at": at(500)},
         {"error_id": 4, "thread_id": "c", "seq": 99, "occurred_at": at(500)},
     )
-    def trails(**kw):
+    def trails(limit=30, **kw):
+        kw["limit"] = limit
         return {r.error_id: [b.message for b in r.breadcrumbs] for r in errors.breadcrumb_trail(er, bc, **kw).collect()}
 
     assert trails() == {1: ["m0", "m1"], 2: [], 3: ["m3", "m4", "m5"], 4: []}
@@ -354,7 +358,10 @@ def test_frames_are_read_from_text(spark):
     late = "\n".join(["x"] * 128 + ["9 app 0x1 too_late + 1"])
     df = spark.createDataFrame([(1, text), (2, text), (3, late)], "error_id int, backtrace_text string")
     got = {(r.image, r.symbol): (r.errors, r.in_app) for r in errors.frame_rollup(df, executable="app").collect()}
-    assert got == {("app", "run(int, char)"): (2, True), ("libc.so", "start"): (2, False), ("app", "loop"): (2, True)}
+    first = {("app", "run(int, char)"): (2, True), ("libc.so", "start"): (2, False), ("app", "loop"): (2, True)}
+    assert got == {**first, ("app", "too_late"): (1, True)}
+    cut = errors.frame_rollup(df, executable="app", max_lines=128).collect()
+    assert {(r.image, r.symbol): (r.errors, r.in_app) for r in cut} == first
 
 
 def test_the_nearest_cause_with_a_statement_wins(spark):
@@ -371,35 +378,38 @@ def test_the_nearest_cause_with_a_statement_wins(spark):
         {"error_id": 5, **chain(*[("a", "")] * 5, ("b", "CALL z(1)"))},
     )
     got = {r.error_id: r.statement for r in errors.cause_chain_sql(er).collect()}
-    assert got == {1: "CALL x(1)", 2: "SELECT 1", 5: "CALL z(1)"}
+    assert got == {1: "CALL x(1)", 2: "SELECT 1", 4: "CALL z(1)", 5: "CALL z(1)"}
+    near = er.select("error_id", errors.nearest_statement(F.col("causes"), max_depth=sqltext.CLIENT_CAUSES).alias("s"))
+    assert {r.error_id: r.s for r in near.collect()} == {1: "CALL x(1)", 2: "SELECT 1", 3: None, 4: None, 5: "CALL z(1)"}
 
 
 def test_an_event_is_assembled_redacted_and_made_strict(spark):
     er = error(spark, {
         "error_id": 1, "thread_id": "x", "seq": 9, "occurred_at": at(20), "message": "no row 8 for jo@mail.example.com",
-        "statement": "SELECT * FROM people WHERE name = 'Jo'", "context": {"error_code": "E42", "name": "Jo", "nested": '{"a":1}'},
+        "statement": "SELECT * FROM people WHERE name = 'Jo'", "context": {"error_code": "E42", "name": "Jo", "nested": '{"a": [{"pwd": ["x"]}, "jo@mail.example.com", 1.10]}'},
         "tags": {"apiKey": "k", "mail": "jo@mail.example.com"},
         "backtrace": [Row(file="f jo@mail.example.com", line=None, method="m", in_app=True)],
     })
     st = spark.createDataFrame([("x", 1, at(2), Row(id="42", email="jo@mail.example.com", username="jo"))], SIGNALS["set_user"])
     bc = spark.createDataFrame([("x", 2, at(3), "add", "c", "mail jo@mail.example.com", "info", {"password": "p", "n": "1"})], SIGNALS["breadcrumbs"])
     tr = trace_rows(spark, ("x", 0, 100))
-    full = errors.event_assemble(er, st, bc, tr, sql_statement=True).first()
+    full = errors.event_assemble(er, st, bc, tr, max_breadcrumbs=30, sql_statement=True).first()
     assert full.message == "no row 8 for [EMAIL FILTERED]"
     assert full.sql_statement == "SELECT * FROM people WHERE name = ?" and full.sql_objects.relations == ["people"]
     assert full.breadcrumbs[0].message == "mail [EMAIL FILTERED]" and full.breadcrumbs[0].data == {"password": "[FILTERED]", "n": "1"}
     assert full.tags == {"apiKey": "[FILTERED]", "mail": "[EMAIL FILTERED]"}
+    assert full.context["nested"] == '{"a":[{"pwd":"[FILTERED]"},"[EMAIL FILTERED]",1.10]}'
     assert full.backtrace[0].file == "f [EMAIL FILTERED]"
     assert full.user.email == "jo@mail.example.com" and full.trace_id == "t0"
 
-    strict = errors.event_assemble(er, st, bc, tr, strict=True, allowed=["error_code", "nested", "missing"]).first().asDict(True)
+    strict = errors.event_assemble(er, st, bc, tr, max_breadcrumbs=30, strict=True, allowed=["error_code", "nested", "missing"]).first().asDict(True)
     import hashlib
 
     assert strict["message"] == ""
     assert strict["message_fingerprint"] == hashlib.sha256(b"no row <n> for [EMAIL FILTERED]").hexdigest()[:32]
     assert strict["context"] == {"error_code": "E42"} and strict["tags"] is None and strict["user"] == {"id": "42"}
     assert "breadcrumbs" not in strict and "sql_statement" not in strict and strict["sql_objects"]["relations"] == ["people"]
-    bare = errors.event_assemble(er, st, bc, tr, sql_objects=False, redact=False).first().asDict(True)
+    bare = errors.event_assemble(er, st, bc, tr, max_breadcrumbs=30, sql_objects=False, redact=False).first().asDict(True)
     assert "sql_objects" not in bare and bare["message"].endswith("jo@mail.example.com")
 
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -192,14 +193,39 @@ def test_double_quotes_are_strings_in_mysql_only(spark, system, want):
     assert df.select(sqltext.mask(F.col("s"), F.col("d")).alias("m")).first().m == want
 
 
-def test_long_statements_are_cut_at_a_character(spark):
+def test_long_statements_are_cut_at_a_character_if_asked(spark):
     text = "x" * 3999 + "é" * 10
-    (out,) = apply(spark, [text], sqltext.mask)
+    (out,) = apply(spark, [text], lambda c: sqltext.mask(c, max_bytes=sqltext.CLIENT_STATEMENT_BYTES))
     assert out == "x" * 3999 + "..."
+    assert apply(spark, [text], sqltext.mask) == [text]
     (long_string,) = apply(spark, ["a = '" + "''" * 300_000 + "'"], sqltext.mask)
     assert long_string == "a = ?"
 
 
+def test_all_names_of_a_long_statement_are_found(spark):
+    tables = [f"t{i}" for i in range(12)]
+    text = "SELECT " + "a, " * 2000 + "b FROM " + " JOIN ".join(tables) + " JOIN " + "w" * 300
+    (found,) = apply(spark, [text], sqltext.objects)
+    assert found["relations"] == [*tables, "w" * 300]
+    (capped,) = apply(spark, [text], lambda c: sqltext.objects(c, max_names=sqltext.CLIENT_NAMES))
+    assert capped["relations"] == tables[:10]
+
+
+HOSTILE = {
+    "ey": "ey" * 250_000, "dash": "-ey" * 160_000, "at": "a@" * 250_000, "dollar": "$a$" * 160_000, "quotes": "'" * 500_001,
+    "digits": "1" * 500_000, "grouped": "1234 " * 100_000, "bearer": "bearer " * 70_000, "dots": "eyaaaaaaaaaa." * 40_000,
+}
+
+
+@pytest.mark.parametrize("name", sorted(HOSTILE))
+def test_rules_are_linear_on_hostile_texts(spark, name):
+    apply(spark, ["warm ey@1 'x'"], lambda c: F.concat(pii.redact(c), sqltext.mask(c)))
+    for rule in (pii.redact, sqltext.mask):
+        started = time.perf_counter()
+        apply(spark, [HOSTILE[name]], rule)
+        assert time.perf_counter() - started < 15, rule
+
+
 def test_objects_of_masked_statements(spark):
     cases = {
         "SELECT * FROM a.b x JOIN [c d].e ON x.i = e.i": "SELECT||a.b,[c d].e",
@@ -224,9 +250,10 @@ def test_objects_of_masked_statements(spark):
     check(spark, rule, cases)
 
 
-def test_at_most_ten_names_and_none_over_200_bytes(spark):
+def test_at_most_ten_names_and_none_over_200_bytes_if_asked(spark):
     many = "SELECT ? FROM " + " JOIN ".join(f"t{i}" for i in range(15))
     long_names = f"SELECT ? FROM {'a' * 250} JOIN \"{'b' * 250}\""
     df = spark.createDataFrame([(many,), (long_names,)], "s string")
-    got = [r.n for r in df.select(sqltext.objects(F.col("s"))["relations"].alias("n")).collect()]
+    capped = sqltext.objects(F.col("s"), max_names=sqltext.CLIENT_NAMES, max_name_bytes=sqltext.CLIENT_NAME_BYTES)
+    got = [r.n for r in df.select(capped["relations"].alias("n")).collect()]
     assert got == [[f"t{i}" for i in range(10)], ["a" * 200]]
