@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,10 +14,22 @@ from opsignals.streaming import jobs
 from opsignals.streaming.state import shared_folder
 
 
+_DISORDER = timedelta(days=2)
+
+
 def _events(spark, sf_dir) -> DataFrame:
-    """The events table as a stream, under the schema its file states."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    """The events table as a stream of four micro-batches. Their times overlap by a day, so rows come
+    out of order and carried state is used."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    day = F.unix_date(F.col("ts").cast("date")) + F.pmod(F.xxhash64("event_id"), F.lit(2))
+    first, last = events.agg(F.min(day), F.max(day)).first()
+    folder = shared_folder(spark, "events")
+    for k in range(4):
+        share = events.filter(F.lit(False)) if first is None else events.filter(
+            F.floor((day - first) * 4 / (last - first + 1)) == k
+        )
+        share.coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
 def _stream_view(spark, sf_dir, name: str, time: str) -> DataFrame:
@@ -35,14 +49,15 @@ def _written(spark, df: DataFrame, name: str) -> DataFrame:
               strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS period_started_at,
               count(*) AS request_count, round(sum(duration_ms), 2) AS duration_sum_ms,
               round(max(duration_ms), 2) AS max_duration_ms
-       FROM timings GROUP BY ALL
-       HAVING date_trunc('hour', min(ts)) + INTERVAL '1' HOUR
-              <= (SELECT max(ts) FROM timings) - INTERVAL '1' MINUTE""",
+       FROM timings GROUP BY ALL""",
     ("timings",),
 )
 def stream_perf_rollup(spark, sf_dir):
-    rolled = jobs.stream_perf_rollup(_stream_view(spark, sf_dir, "timings", "ts"), delay="1 minute", period="1 hour")
-    return _written(spark, rolled, "perf-rollup").select(
+    rolled = jobs.stream_perf_rollup(_stream_view(spark, sf_dir, "timings", "ts"), delay="2 days", period="1 hour")
+    folder = shared_folder(spark, "perf-rollup")
+    jobs.write_updates(rolled, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    # Periods still open at the end are there too, as they stand.
+    return jobs.latest(spark, f"{folder}/out", [*perf.DIMENSIONS, "period_started_at"]).select(
         *perf.DIMENSIONS,
         _stamp("period_started_at").alias("period_started_at"),
         "request_count",
@@ -58,37 +73,39 @@ def stream_perf_rollup(spark, sf_dir):
     ("changes",),
 )
 def stream_change_dedupe(spark, sf_dir):
-    kept = jobs.stream_change_dedupe(_stream_view(spark, sf_dir, "changes", "occurred_at"), delay="1 day")
+    kept = jobs.stream_change_dedupe(_stream_view(spark, sf_dir, "changes", "occurred_at"), delay="3 days")
     # Which copy of an id arrives first is up to the stream; that there is one of each is not.
     return _written(spark, kept, "change-dedupe").select(
         "id", F.when(F.col("id").isNull(), F.col("change_id")).alias("change_id")
     )
 
 
-_TRACE_STEPS = """SELECT CAST(event_id AS STRING) AS trace_id, ts AS ended_at, value * 60 AS duration_ms
-    FROM {events} WHERE event_type = 'purchase'"""
+_TRACE_STEPS = """SELECT CAST(event_id AS STRING) AS trace_id, CAST(ts AS TIMESTAMP) AS ended_at, value * 60 AS duration_ms,
+    event_type FROM {events} WHERE event_type IN ('purchase', 'signup')"""
 
 
 @query(
     "stream_trace_capture",
-    """WITH roots AS (SELECT CAST(event_id AS VARCHAR) AS trace_id, ts AS ended_at, value * 60 AS duration_ms
-                      FROM events WHERE event_type = 'purchase'),
-       spans AS (SELECT trace_id, minutes, ended_at - to_minutes(minutes) AS started_at
-                 FROM roots, (VALUES (5), (30), (90)) AS m(minutes))
-       SELECT s.trace_id, CAST(minutes AS INTEGER) AS minutes FROM spans s JOIN roots r ON s.trace_id = r.trace_id
-       WHERE duration_ms >= 1000 AND started_at >= ended_at - INTERVAL '1' HOUR""",
+    """WITH roots AS (SELECT CAST(event_id AS VARCHAR) AS trace_id, value * 60 AS duration_ms
+                      FROM events WHERE event_type = 'purchase')
+       SELECT trace_id, CAST(minutes AS INTEGER) AS minutes
+       FROM roots, (VALUES (0), (5), (30), (90)) AS m(minutes) WHERE duration_ms >= 1000""",
 )
 def stream_trace_capture(spark, sf_dir):
-    def steps():
-        rows = spark.sql(_TRACE_STEPS, events=_events(spark, sf_dir))
-        return rows.withColumn("ended_at", F.col("ended_at").cast("timestamp"))
-
-    spans = steps().select("trace_id", F.explode(F.array(*[F.lit(m) for m in (5, 30, 90)])).alias("minutes"), "ended_at")
-    spans = spans.select(
-        "trace_id", "minutes", (F.col("ended_at") - F.make_dt_interval(mins=F.col("minutes"))).alias("started_at")
+    # A purchase is the root of three earlier steps; a signup's steps never get a root.
+    steps = spark.sql(_TRACE_STEPS, events=_events(spark, sf_dir))
+    spans = steps.select("*", F.explode(F.array(*[F.lit(m) for m in (0, 5, 30, 90)])).alias("minutes")).select(
+        "trace_id",
+        "minutes",
+        (F.col("ended_at") - F.make_dt_interval(mins=F.col("minutes"))).alias("started_at"),
+        ((F.col("minutes") == 0) & (F.col("event_type") == "purchase")).alias("is_root"),
+        "duration_ms",
     )
-    kept = jobs.stream_trace_capture(spans, steps(), longest="1 HOUR")
-    return _written(spark, kept, "trace-capture").select("trace_id", "minutes")
+    folder = shared_folder(spark, "trace-capture")
+    jobs.stream_trace_capture(
+        spans, f"{folder}/out", f"{folder}/state", f"{folder}/checkpoint", expire=_DISORDER
+    ).awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select("trace_id", "minutes")
 
 
 @query(
@@ -100,8 +117,9 @@ def stream_retry_ledger(spark, sf_dir):
     folder = shared_folder(spark, "retry-ledger")
     attempts = _stream_view(spark, sf_dir, "attempts", "ts")
     jobs.stream_retry_ledger(
-        attempts, f"{folder}/out", f"{folder}/state", f"{folder}/checkpoint"
+        attempts, f"{folder}/out", f"{folder}/state", f"{folder}/checkpoint", delay=_DISORDER
     ).awaitTermination()
+    jobs.finish_retry_ledger(spark, f"{folder}/out", f"{folder}/state")
     ledger = spark.read.parquet(f"{folder}/out")
     return ledger.select("queue", "seq", "status", "outcome", "streak", "state")
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -24,6 +25,35 @@ def write_parquet(df: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     )
 
 
+def write_updates(df: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Runs an aggregation over everything there is; each micro-batch writes the rows that it
+    changed, open periods included, to ``<out>/batch=<n>``. :func:`latest` reads them."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    return (
+        df.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("update")
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def latest(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
+    """Each key's row as the newest micro-batch that changed it wrote it."""
+    rows = spark.read.parquet(out)
+    rest = [c for c in rows.columns if c not in (*keys, "batch")]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("row"))
+    return newest.select(*keys, "row.*")
+
+
+def _newest(rows: DataFrame, time: str):
+    """One value: the newest time there is, or None."""
+    return rows.agg(F.max(time)).first()[0]
+
+
 def stream_perf_rollup(timings: DataFrame, *, delay: str = "1 minute", period: str = "60 seconds") -> DataFrame:
     """The rollup with histogram per tumbling period: one stateful aggregation, emitted when the
     watermark closes the period."""
@@ -42,55 +72,94 @@ def stream_change_dedupe(changes: DataFrame, *, delay: str = "1 day") -> DataFra
 
 def stream_trace_capture(
     spans: DataFrame,
-    roots: DataFrame,
+    out: str,
+    state: str,
+    checkpoint: str,
     *,
     threshold_ms: float = 1000.0,
-    longest: str = "1 hour",
-    delay: str = "10 minutes",
-) -> DataFrame:
-    """Holds spans until a slow root of their trace arrives, then releases them.
-
-    A stream-stream semi join. The time bound says how long before the end of its root a span
-    may have started, which lets the watermark discard spans whose root was fast or never came.
-    Both inputs: trace_id and ended_at for roots, started_at for spans.
+    expire: timedelta = timedelta(days=1),
+) -> StreamingQuery:
+    """Holds the spans of a trace until its root comes; a slow root releases all of them, however
+    long before it they started, and those that come after it; a fast one discards all.
+
+    Held spans and decided traces are tables, so a trace of any size is held. A trace whose newest
+    span is older than the newest span of all by ``expire`` is given up: without a root, its spans go
+    to ``<state>/expired``, and a root's verdict is forgotten. Input: trace_id, started_at, is_root,
+    duration_ms and whatever else a span has.
     """
-    slow = (
-        roots.filter(F.col("duration_ms") >= threshold_ms)
-        .select(F.col("trace_id").alias("root_trace_id"), F.col("ended_at").alias("root_ended_at"))
-        .withWatermark("root_ended_at", delay)
-    )
-    held = spans.withWatermark("started_at", delay)
-    return held.join(
-        slow,
-        F.expr(
-            "trace_id = root_trace_id AND started_at <= root_ended_at "
-            f"AND started_at >= root_ended_at - INTERVAL {longest}"
-        ),
-        "left_semi",
+    session, kinds = spans.sparkSession, spans.schema
+    held = CarriedState(session, f"{state}/held", ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds))
+    decided = CarriedState(session, f"{state}/decided", "trace_id STRING, is_slow BOOLEAN, at TIMESTAMP")
+
+    def judge(batch: DataFrame, batch_id: int) -> None:
+        roots = batch.filter("is_root").select(
+            "trace_id", (F.col("duration_ms") >= threshold_ms).alias("is_slow"), F.col("started_at").cast("timestamp").alias("at")
+        )
+        known = decided.before(batch_id).unionByName(roots)
+        known = known.groupBy("trace_id").agg(F.max("is_slow").alias("is_slow"), F.max("at").alias("at"))
+        pool = held.before(batch_id).unionByName(batch)
+        slow = known.filter("is_slow").select("trace_id")
+        pool.join(slow, "trace_id", "left_semi").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        waiting = pool.join(known.select("trace_id"), "trace_id", "left_anti")
+        newest = _newest(pool, "started_at")
+        newest = max((t for t in (newest, _newest(known, "at")) if t is not None), default=None)
+        end = F.lit(None if newest is None else newest - expire).cast("timestamp")
+        touched = waiting.groupBy("trace_id").agg(F.max("started_at").alias("touched"))
+        gone = touched.filter(F.col("touched").cast("timestamp") < end).select("trace_id")
+        waiting.join(gone, "trace_id", "left_semi").write.mode("overwrite").parquet(f"{state}/expired/batch={batch_id}")
+        held.save(batch_id, waiting.join(gone, "trace_id", "left_anti").select(*kinds.names))
+        decided.save(batch_id, known.filter(F.coalesce(F.col("at") >= end, F.lit(True))))
+
+    return (
+        spans.writeStream.foreachBatch(judge)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )
 
 
-def stream_retry_ledger(attempts: DataFrame, out: str, state: str, checkpoint: str) -> StreamingQuery:
-    """The ledger on a stream: each micro-batch runs the batch job and starts every queue from
-    the counts the last batch left. A hot queue is spread over segments as in batch."""
-    carried = CarriedState(
-        attempts.sparkSession, state, "queue STRING, failures LONG, resets LONG, failures_at_reset LONG"
+_COUNTS = "queue STRING, failures LONG, resets LONG, failures_at_reset LONG"
+
+
+def _judge(rows: DataFrame, before: DataFrame, folder: str) -> DataFrame:
+    """Writes the ledger of some attempts to a folder; the counts that come after them."""
+    delivery.retry_ledger(rows, carry_in=before).write.mode("overwrite").parquet(folder)
+    # All three only grow, so their largest value is the latest one.
+    reset_here = F.when(F.col("outcome") != "failed", F.col("failures"))
+    return (
+        rows.sparkSession.read.parquet(folder)
+        .select("queue", "failures", "resets", F.greatest(reset_here, "failures_at_reset").alias("failures_at_reset"))
+        .unionByName(before)
+        .groupBy("queue")
+        .agg(*[F.max(c).alias(c) for c in ("failures", "resets", "failures_at_reset")])
     )
 
+
+def stream_retry_ledger(
+    attempts: DataFrame, out: str, state: str, checkpoint: str, *, delay: timedelta = timedelta(minutes=10)
+) -> StreamingQuery:
+    """The ledger on a stream, in event time. Attempts are held until the newest one is ``delay``
+    later, then judged in order, from the counts that earlier ones left; a hot queue is spread over
+    segments as in batch. What comes after its time was judged goes to ``<state>/late``, unjudged.
+    :func:`finish_retry_ledger` judges what a stream that has ended still holds."""
+    session = attempts.sparkSession
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in attempts.schema)
+    counts = CarriedState(session, f"{state}/counts", _COUNTS)
+    held = CarriedState(session, f"{state}/held", fields)
+    upto = CarriedState(session, f"{state}/upto", "ts TIMESTAMP")
+
     def judge(batch: DataFrame, batch_id: int) -> None:
-        before = carried.before(batch_id)
-        folder = f"{out}/batch={batch_id}"
-        delivery.retry_ledger(batch, carry_in=before).write.mode("overwrite").parquet(folder)
-        # All three only grow, so their largest value is the latest one.
-        reset_here = F.when(F.col("outcome") != "failed", F.col("failures"))
-        after = (
-            batch.sparkSession.read.parquet(folder)
-            .select("queue", "failures", "resets", F.greatest(reset_here, "failures_at_reset").alias("failures_at_reset"))
-            .unionByName(before)
-            .groupBy("queue")
-            .agg(*[F.max(c).alias(c) for c in ("failures", "resets", "failures_at_reset")])
-        )
-        carried.save(batch_id, after)
+        spark, judged_upto = batch.sparkSession, _newest(upto.before(batch_id), "ts")
+        time = F.col("ts").cast("timestamp")
+        is_late = F.lit(False) if judged_upto is None else time <= F.lit(judged_upto)
+        batch.filter(is_late).write.mode("overwrite").parquet(f"{state}/late/batch={batch_id}")
+        pool = held.before(batch_id).unionByName(batch.filter(~is_late))
+        newest = _newest(pool, "ts")
+        end = judged_upto if newest is None else max(newest - delay, judged_upto or newest - delay)
+        ready = F.lit(False) if end is None else time <= F.lit(end)
+        counts.save(batch_id, _judge(pool.filter(ready), counts.before(batch_id), f"{out}/batch={batch_id}"))
+        held.save(batch_id, pool.filter(~ready))
+        upto.save(batch_id, spark.createDataFrame([(end,)] if end is not None else [], "ts TIMESTAMP"))
 
     return (
         attempts.writeStream.foreachBatch(judge)
@@ -100,6 +169,23 @@ def stream_retry_ledger(attempts: DataFrame, out: str, state: str, checkpoint: s
     )
 
 
+def finish_retry_ledger(spark: SparkSession, out: str, state: str) -> None:
+    """Judges the attempts that an ended stream still holds, as ``<out>/batch=<last + 1>``."""
+    try:
+        held = spark.read.parquet(f"{state}/held")
+    except AnalysisException:  # nothing ever came
+        return
+    last = held.agg(F.max("batch")).first()[0]
+    counts = spark.read.parquet(f"{state}/counts")
+    if last is None:  # the last batches held nothing
+        return
+    newest = counts.agg(F.max("batch")).first()[0]
+    if newest is not None and newest > last:
+        return
+    before = counts.filter(F.col("batch") == last).drop("batch")
+    _judge(held.filter(F.col("batch") == last).drop("batch"), before, f"{out}/batch={last + 1}")
+
+
 def stream_metric_batches(
     entries: DataFrame,
     out: str,
@@ -115,8 +201,9 @@ def stream_metric_batches(
     micro-batch kept and dropped (``<out>/entries``, ``<out>/counts``).
 
     What a batch has already taken is carried as one count per open batch; a new micro-batch
-    keeps at most what is left. Counts of batches older than the newest entry by more than the
-    delay are forgotten.
+    keeps at most what is left. A batch that ended before the newest batch began, by more than the
+    delay, is closed: its count is forgotten, and entries that come for it later are dropped and
+    counted.
     """
     keys = [*buffer, "batch_started_at"]
     ddl = ", ".join(f"{b} STRING" for b in buffer) + ", batch_started_at TIMESTAMP, taken LONG"
@@ -125,6 +212,9 @@ def stream_metric_batches(
     def place(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         before = carried.before(batch_id)
+        end = F.col("batch_started_at") + F.expr(f"INTERVAL {period}")
+        newest = _newest(before, "batch_started_at")
+        closed = F.lit(False) if newest is None else end < F.lit(newest - timedelta(seconds=delay_seconds))
         fresh = batch.withColumn("recorded_at", F.col("recorded_at").cast("timestamp"))
         seen = metrics.metric_batch_counts(fresh, buffer, period=period, cap=2**62).select(*keys, F.col("kept").alias("seen"))
         # At most cap rows per batch are left, so ranking them against what is taken is small.
@@ -133,7 +223,7 @@ def stream_metric_batches(
             kept["*"], F.coalesce(before["taken"], F.lit(0)).alias("taken")
         )
         position = F.row_number().over(Window.partitionBy(*keys).orderBy("recorded_at", "seq"))
-        fits = joined.withColumn("position", position).filter(F.col("position") + F.col("taken") <= cap)
+        fits = joined.withColumn("position", position).filter(~closed & (F.col("position") + F.col("taken") <= cap))
         entries_folder = f"{out}/entries/batch={batch_id}"
         fits.drop("position", "taken").write.mode("overwrite").parquet(entries_folder)
 
@@ -146,9 +236,9 @@ def stream_metric_batches(
         ).write.mode("overwrite").parquet(counts_folder)
 
         after = taken.unionByName(before).groupBy(*keys).agg(F.sum("taken").alias("taken"))
-        newest = after.agg(F.max("batch_started_at")).first()[0]
+        newest = max((t for t in (newest, _newest(taken, "batch_started_at")) if t is not None), default=None)
         if newest is not None:
-            after = after.filter(F.col("batch_started_at") >= newest - timedelta(seconds=delay_seconds))
+            after = after.filter(end >= F.lit(newest - timedelta(seconds=delay_seconds)))
         carried.save(batch_id, after)
 
     return (

@@ -47,16 +47,20 @@ def test_ledger_over_files_and_a_restart(spark, tmp_path):
     out, state, checkpoint = (str(tmp_path / n) for n in ("out", "state", "checkpoint"))
 
     def run():
-        jobs.stream_retry_ledger(inbox.stream(), out, state, checkpoint).awaitTermination()
+        jobs.stream_retry_ledger(inbox.stream(), out, state, checkpoint, delay=timedelta(minutes=5)).awaitTermination()
 
+    rows[80:100] = rows[99:79:-1]  # out of order, within the delay, over two files
     inbox.put(rows[:90])
     inbox.put(rows[90:200])
     run()
     inbox.put(rows[200:210])
     inbox.put(rows[210:])
+    inbox.put([("hot", 9999, at(8), "e", 0, 200)])  # long after its time was judged
     run()
+    jobs.finish_retry_ledger(spark, out, state)
     got = {r.seq: (r.streak, r.state) for r in spark.read.parquet(out).collect()}
     assert got == ledger_loop([(q, s, ts, status) for q, s, ts, _, _, status in rows])
+    assert [r.seq for r in spark.read.parquet(f"{state}/late").collect()] == [9999]
 
 
 def test_metric_batches_keep_their_cap_over_files(spark, tmp_path):
@@ -114,17 +118,41 @@ def test_changes_pass_once_per_id(spark, tmp_path):
     assert sorted(r.change_id for r in spark.read.parquet(out).collect()) == [1, 2, 4, 5]
 
 
-def test_spans_wait_for_a_slow_root(spark, tmp_path):
-    spans = Inbox(spark, tmp_path / "spans", "trace_id string, span_id string, started_at timestamp")
-    roots = Inbox(spark, tmp_path / "roots", "trace_id string, ended_at timestamp, duration_ms double")
-    spans.put([("slow", "s1", at(0)), ("fast", "f1", at(0)), ("never", "n1", at(0))])
-    spans.put([("slow", "s2", at(5))])
-    roots.put([("fast", at(10), 999.0)])
-    roots.put([("slow", at(10), 1000.0)])
+def test_counts_of_a_batch_outlive_the_start_of_the_next(spark, tmp_path):
+    day = 86_400
+    inbox = Inbox(spark, tmp_path / "in", SIGNALS["metrics"])
+    out, state, checkpoint = (str(tmp_path / n) for n in ("out", "state", "checkpoint"))
+    inbox.put([("m", 1.0, "p", None, at(i), i) for i in range(10)] + [("m", 1.0, "p", None, at(day), 50)])
+    inbox.put([("m", 1.0, "p", None, at(100 + i), 100 + i) for i in range(10)])
+    inbox.put([("m", 1.0, "p", None, at(4 * day), 200)])
+    inbox.put([("m", 1.0, "p", None, at(300), 300)])  # its batch is closed
+    jobs.stream_metric_batches(inbox.stream(), out, state, checkpoint, period="1 day", cap=15).awaitTermination()
+    counts = spark.read.parquet(f"{out}/counts").groupBy("batch_started_at").agg(F.sum("kept").alias("k"), F.sum("dropped").alias("d"))
+    assert sorted((r.k, r.d) for r in counts.collect()) == [(1, 0), (1, 0), (15, 6)]
+
+
+def test_whole_traces_are_released_or_discarded(spark, tmp_path):
+    schema = "trace_id string, span_id string, started_at timestamp, is_root boolean, duration_ms double"
+    spans = Inbox(spark, tmp_path / "spans", schema)
+    hour = 3600
+    spans.put([("slow", "s1", at(0), False, 1.0), ("fast", "f1", at(0), False, 1.0), ("never", "n1", at(0), False, 1.0)])
+    spans.put([("slow", "s2", at(2 * hour), False, 1.0), ("fast", "f0", at(0), True, 999.0)])
+    spans.put([("slow", "s0", at(1), True, 1000.0), ("fast", "f2", at(3), False, 1.0)])
+    spans.put([("slow", "s3", at(2 * hour), False, 1.0), ("other", "o1", at(9 * hour), False, 1.0)])
+    out, state, checkpoint = (str(tmp_path / n) for n in ("out", "state", "checkpoint"))
+    jobs.stream_trace_capture(spans.stream(), out, state, checkpoint, expire=timedelta(hours=6)).awaitTermination()
+    assert sorted(r.span_id for r in spark.read.parquet(out).collect()) == ["s0", "s1", "s2", "s3"]
+    assert [r.span_id for r in spark.read.parquet(f"{state}/expired").collect()] == ["n1"]
+
+
+def test_open_periods_are_there_as_they_stand(spark, tmp_path):
+    inbox = Inbox(spark, tmp_path / "in", SIGNALS["timings"])
+    inbox.put([("a", 10.0, at(1), "p", None)])
+    inbox.put([("a", 30.0, at(30), "p", None), ("a", 5.0, at(70), "p", None)])
     out = str(tmp_path / "out")
-    kept = jobs.stream_trace_capture(spans.stream(), roots.stream())
-    jobs.write_parquet(kept, out, str(tmp_path / "checkpoint")).awaitTermination()
-    assert sorted(r.span_id for r in spark.read.parquet(out).collect()) == ["s1", "s2"]
+    jobs.write_updates(jobs.stream_perf_rollup(inbox.stream()), out, str(tmp_path / "checkpoint")).awaitTermination()
+    rows = jobs.latest(spark, out, [*perf.DIMENSIONS, "period_started_at"]).collect()
+    assert sorted((r.request_count, r.max_duration_ms) for r in rows) == [(1, 5.0), (2, 30.0)]
 
 
 def test_state_lives_in_the_folder_the_session_names(spark, tmp_path):
