@@ -62,7 +62,8 @@ def breadcrumb_trail(
 
     Breadcrumbs are numbered along their thread. An error that has seen ``n`` of them asks for
     the numbers ``n - limit + 1 .. n``: an equality join on (thread, number), one row per key,
-    which a hot thread can't skew and which never forms more than ``limit`` pairs per error.
+    which never forms more than ``limit`` pairs per error. Errors of one thread with the same crumbs
+    before them ask for the same numbers; AQE splits that side where it is large.
 
     ``breadcrumbs``: thread_id, seq, ts, op (add or clear), category, message, level, data.
     """
