@@ -235,33 +235,46 @@ def repeated_places(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         return np.frombuffer(row["docs"], "<i8")[_unplaned(row["doc"], kind)], _unplaned(row["marks"], "<u8"), place
 
     def _places_of(found: list[tuple]) -> Iterator[pa.RecordBatch]:
+        """What is found, by the part that gathers a document's places: a row a part at most."""
         for doc, _, place in found:
-            if not len(doc):
-                continue
+            part = (doc.view(np.uint64) >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)
+            order = np.lexsort((doc, part))
+            cuts = np.searchsorted(part[order], np.arange(buckets + 1))
+            for t in np.flatnonzero(np.diff(cuts)).tolist():
+                own = order[cuts[t] : cuts[t + 1]]
+                columns = [([t], pa.int32()), ([_planes(doc[own])], pa.binary()), ([place[own].tobytes()], pa.binary())]
+                yield _batch(dict(zip(("part", "docs", "places"), columns, strict=True)))
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _by(batches, "part"):
+            doc = np.concatenate([_unplaned(r["docs"], "<i8") for r in rows])
+            place = np.concatenate([np.frombuffer(r["places"], "<u4") for r in rows])
             order = np.lexsort((place, doc))
             doc, place = doc[order], place[order]
             cuts = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1], [True])))
-            out = [place[a:b].astype("<u4").tobytes() for a, b in zip(cuts, cuts[1:])]
-            yield _batch({"digest": (doc[cuts[:-1]], pa.int64()), "places": (out, pa.binary())})
+            for i in range(0, len(cuts) - 1, 1000):
+                ends = cuts[i : i + 1001]
+                out = [np.unique(place[a:b]).tobytes() for a, b in zip(ends, ends[1:])]
+                yield _batch({"digest": (doc[ends[:-1]], pa.int64()), "places": (out, pa.binary())})
 
     sent = texts(docs).select("text").mapInArrow(draw, _DRAWN)
     # Rows with what a task knows already (bucket -1) are many and need nobody: they're dealt out freely.
     dealt = sent.repartition(buckets, F.when(F.col("bucket") < 0, F.xxhash64("docs")).otherwise(F.col("bucket")))
-    found = dealt.mapInArrow(compare, "digest long, places binary")
+    found = dealt.mapInArrow(compare, "part int, docs binary, places binary").repartition(buckets, "part")
     with few_rows(spark, 16):
-        return written(found, "repeated-places")
+        return written(found.mapInArrow(gather, "digest long, places binary"), "repeated-places")
 
 
-def _windows(n: int, places: list[bytes], length: int) -> np.ndarray:
+def _windows(n: int, places: bytes, length: int) -> np.ndarray:
     """Whether the string at each place of a text of n bytes holds one of the places' fingerprints."""
-    at = np.unique(np.frombuffer(b"".join(places), "<u4")).astype(np.int64)
+    at = np.frombuffer(places, "<u4").astype(np.int64)
     edge = np.zeros(n - length + 2, np.int32)
-    np.add.at(edge, np.maximum(at - (length - GRAM), 0), 1)
+    np.add.at(edge, np.clip(at - (length - GRAM), 0, n - length + 1), 1)
     np.add.at(edge, np.minimum(at + 1, n - length + 1), -1)
     return np.cumsum(edge)[:-1] > 0
 
 
-def _named(blob: bytes, sizes: np.ndarray, places: list[list[bytes]], length: int):
+def _named(blob: bytes, sizes: np.ndarray, places: list[bytes], length: int):
     """Of a slice of texts: places (in the joined bytes) that are sorted, and their names. Texts are
     named half a megabyte at a time, as names in the making take a hundred bytes for each of text."""
     starts = np.concatenate(([0], np.cumsum(sizes)))
@@ -299,13 +312,11 @@ def _sorted_names(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np
 _SLICED = "slice long, ids array<long>, shas array<binary>, sizes array<long>, places array<binary>, bytes binary"
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc_id, sha (of the text), spans (array of start and stop) and kept (the bytes left) of every
-    text that has a part to lose. Texts that are later copies of a whole text aren't among them."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    buckets = tasks(spark)
-    places = repeated_places(docs, length).groupBy("digest").agg(F.collect_list("places").alias("places"))
+def _sliced(docs: DataFrame, length: int) -> DataFrame:
+    """Slices of the texts that may repeat, in order of documents, so an earlier slice has the
+    earlier place. (One step to a function: a finished step's shuffle files may then be cleaned.)"""
+    buckets = tasks(docs.sparkSession)
+    places = repeated_places(docs, length)
     rows = texts(docs).select("doc_id", F.unhex(F.sha2("text", 256)).alias("sha"))
     firsts = rows.groupBy("sha").agg(F.min(F.coalesce("doc_id", F.lit(_LEAST))).alias("at"))
     digest = F.conv(F.substring(F.hex("sha"), 1, 16), 16, -10).cast("long")
@@ -324,7 +335,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 ids.append(row["at"])
                 shas.append(row["sha"])
                 data.append(row["text"].encode())
-                at.append(b"".join(row["places"]))
+                at.append(row["places"])
             if ids:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([number]), *(pa.array([v], pa.list_(k)) for v, k in ((ids, pa.int64()), (shas, pa.binary()), ([len(d) for d in data], pa.int64()), (at, pa.binary()))), pa.array([b"".join(data)], pa.binary())],
@@ -332,14 +343,18 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 )
                 number += 1
 
-    # Slices follow one another in the order of documents, so an earlier slice has the earlier place.
     ordered = held.repartitionByRange(buckets, "at", "sha").sortWithinPartitions("at", "sha")
-    sliced = written(ordered.mapInArrow(pack, _SLICED), "slices")
+    return written(ordered.mapInArrow(pack, _SLICED), "slices")
+
+
+def _judged(sliced: DataFrame, length: int) -> DataFrame:
+    """slice, bucket and, for its names of that bucket in order, whether an earlier slice has them."""
+    spark, buckets = sliced.sparkSession, tasks(sliced.sparkSession)
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                _, at, first, second = _named(row["bytes"], np.array(row["sizes"]), [[p] for p in row["places"]], length)
+                _, at, first, second = _named(row["bytes"], np.array(row["sizes"]), row["places"], length)
                 order, new = _sorted_names(first, second)
                 first, second = first[order[new]], second[order[new]]
                 bucket = (first >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)
@@ -362,12 +377,22 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     with few_rows(spark, 2):
         sent = sliced.mapInArrow(name, "bucket int, slice long, first binary, second binary")
         dealt = sent.repartition(buckets, "bucket")
-        judged = written(dealt.mapInArrow(compare, "slice long, bucket int, bits binary"), "later-names")
+        return written(dealt.mapInArrow(compare, "slice long, bucket int, bits binary"), "later-names")
+
+
+def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """doc_id, sha (of the text), spans (array of start and stop) and kept (the bytes left) of every
+    text that has a part to lose. Texts that are later copies of a whole text aren't among them."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    buckets = tasks(spark)
+    sliced = _sliced(docs, length)
+    judged = _judged(sliced, length)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                starts, at, first, second = _named(row["bytes"], np.array(row["sizes"]), [[p] for p in row["places"]], length)
+                starts, at, first, second = _named(row["bytes"], np.array(row["sizes"]), row["places"], length)
                 order, new = _sorted_names(first, second)
                 heads = order[new]
                 bucket = (first[heads] >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)
