@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsignals.sources.schemas import CORRUPT, schema, schema_with_corrupt
+from opsignals.sources.schemas import ANY_JSON, CORRUPT, schema, schema_with_corrupt
 
 # Fixed value.
 DEFAULT_ENVIRONMENTS = ("production", "staging")
@@ -22,7 +22,7 @@ def signal_scan(
     reader = (spark.readStream if streaming else spark.read).options(**options)
     if fmt == "json":
         reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-        return reader.schema(schema_with_corrupt(signal)).json(path)
+        return _as_text(reader.schema(schema_with_corrupt(signal)).json(path), signal)
     return reader.schema(schema(signal)).parquet(path)
 
 
@@ -33,9 +33,15 @@ def parse_lines(lines: DataFrame, column: str, signal: str) -> DataFrame:
         schema_with_corrupt(signal),
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
     )
-    return lines.select(*[c for c in lines.columns if c != column], parsed.alias("row")).select(
-        *[c for c in lines.columns if c != column], "row.*"
-    )
+    others = [c for c in lines.columns if c != column]
+    rows = lines.select(*others, parsed.alias("row"))
+    # A column of the line itself comes before one of the same name beside it.
+    own = set(rows.schema["row"].dataType.names)
+    return _as_text(rows.select(*[c for c in others if c not in own], "row.*"), signal)
+
+
+def _as_text(rows: DataFrame, signal: str) -> DataFrame:
+    return rows.withColumns({c: F.to_json(c) for c in ANY_JSON.get(signal, ())})
 
 
 def signal_gate(signals: DataFrame, projects: DataFrame) -> DataFrame:

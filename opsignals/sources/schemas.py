@@ -37,9 +37,28 @@ SIGNALS = {
 }
 
 
+SIGNALS["targets"] = "service STRING, host STRING, pattern STRING, is_exact BOOLEAN"
+
+# What the gate and the delivery jobs need beside a signal's own fields.
+_ALL = "project_id LONG"
+_MORE = {"perf_samples": ", queue STRING, seq LONG"}
+_WITHOUT_PROJECT = ("projects", "targets")
+# Columns that may hold any JSON value: scanned JSON keeps them as JSON text, so that a job can tell
+# 12 from "12" and from true.
+ANY_JSON = {"metrics": ("value",), "infra_metrics": ("value",)}
+
+
 def schema(signal: str) -> str:
-    return SIGNALS[signal]
+    """The columns of a signal's table. A table that lacks some of them has nulls there."""
+    own = SIGNALS[signal] + _MORE.get(signal, "")
+    if signal in _WITHOUT_PROJECT or "project_id" in own:
+        return own
+    return f"{own}, {_ALL}"
 
 
 def schema_with_corrupt(signal: str) -> str:
-    return f"{SIGNALS[signal]}, {CORRUPT} STRING"
+    """The same for JSON, with a column for lines that don't fit."""
+    own = schema(signal)
+    for column in ANY_JSON.get(signal, ()):
+        own = own.replace(f"{column} DOUBLE", f"{column} VARIANT")
+    return f"{own}, {CORRUPT} STRING"

@@ -467,6 +467,23 @@ def test_scans_keep_bad_lines(spark, tmp_path):
     assert scan.signal_scan(spark, "timings", out).filter("transaction_name = 'a'").first().duration_ms == 1.5
 
 
+def test_scanned_signals_pass_the_gate_and_the_jobs(spark, tmp_path):
+    """From files to the gate to a job, for every signal that the gate knows."""
+    projects = spark.createDataFrame([(1, True, True, ["production"])], SIGNALS["projects"])
+    for name in SIGNALS:
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "in.json").write_text('{"project_id":1,"environment":"production"}\n{"project_id":2}\n')
+        df = scan.signal_scan(spark, name, str(tmp_path / name), fmt="json")
+        if {"project_id", "environment"} <= set(df.columns):
+            assert scan.signal_gate(df, projects).count() == 1, name
+    lines = ['{"metric_name":"m","value":%s,"project_id":1,"environment":"production"}' % v for v in ("1.5", "true", '"12"', "null", "[1]")]
+    (tmp_path / "metrics" / "in.json").write_text("\n".join([*lines, '{"metric_name":"m","project_id":1,"environment":"production"}']))
+    df = scan.signal_gate(scan.signal_scan(spark, "metrics", str(tmp_path / "metrics"), fmt="json"), projects)
+    reasons = sorted(str(r.reason) for r in metrics.metric_validate(df).collect())
+    assert reasons == ["None", "missing", "missing", "not a number", "not a number", "not a number"]
+    assert [r.value for r in metrics.valid_metrics(df).collect()] == [1.5]
+
+
 @pytest.mark.parametrize("release", ["r1", None])
 def test_documents_show_explicit_nulls_and_leave_the_rest_out(spark, tmp_path, release):
     rows = [("m", float(i), "production", release, at(i), i) for i in range(5)]
