@@ -62,14 +62,17 @@ def token_counts(docs: DataFrame, path: str, cache: str, drops_space: bool = Tru
         .join(cached(spark, cache, version), "content", "left_anti")
         .select("first.doc_id", F.col("content").alias("wanted"))
     )
-    # A repeated id may carry several texts, so the digest decides; of equal rows one is encoded.
+    # A repeated id may carry several texts, so the digest decides; equal rows come one after the other.
     one = whole.join(missing, whole.doc_id.eqNullSafe(missing.doc_id)).filter(
         F.unhex(F.sha2(same, 256)) == F.col("wanted")
     )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = library_memo(path)
+        memo, last = library_memo(path), None
         for batch in slices(batches, "text"):
+            wanted = batch.column("wanted").to_pylist()
+            batch = batch.take(pa.array([i for i, w in enumerate(wanted) if w != (wanted[i - 1] if i else last)], pa.int64()))
+            last = wanted[-1]
             ends = memo.ids(batch.column("text"))[1]
             yield pa.RecordBatch.from_arrays([batch.column("wanted"), pa.array(np.diff(ends), pa.int64())], ["content", "n_tokens"])
 
