@@ -192,25 +192,38 @@ def outbound_calls(calls: DataFrame) -> DataFrame:
     )
 
 
+# Patterns are regexes tried on each distinct host, so their number is kept small.
+MAX_PATTERNS = 1000
+
+
 def propagation_audit(
-    calls: DataFrame, targets: list[str] | None = None, patterns: list[str] = (), *, enabled: bool = True
+    calls: DataFrame, targets: DataFrame | list[str] | None = None, patterns: list[str] = (), *, enabled: bool = True
 ) -> DataFrame:
     """Calls per host, and whether a trace header goes there.
 
-    No list means everywhere, an empty one nowhere. Hosts are counted first; a host then meets
-    the list as its own dot-boundary suffixes, so a subdomain test is a set lookup in the plan
-    and needs no join. Patterns are searched in the lowercased host.
+    No targets means everywhere, an empty list or table nowhere. Hosts are counted first; a host then
+    meets the targets as its own dot-boundary suffixes, an equality join on distinct hosts. A table
+    of targets has ``host`` and ``pattern``, one of them null; patterns are searched in the lowercased
+    host, and more than ``MAX_PATTERNS`` are an error.
     """
     counted = calls.groupBy(hosts.url_host(F.col("url")).alias("host")).agg(F.count(F.lit(1)).alias("calls"))
-    if not enabled:
-        sent = F.lit(False)
-    elif targets is None and not patterns:
-        sent = F.lit(True)
+    if not enabled or (targets is None and not patterns):
+        return counted.withColumn("sent", F.lit(enabled))
+    spark = calls.sparkSession
+    if isinstance(targets, DataFrame):
+        found = targets.filter(F.col("pattern").isNotNull()).select("pattern").distinct().limit(MAX_PATTERNS + 1).collect()
+        patterns = [*patterns, *(r.pattern for r in found)]
+        named = targets.select("host")
     else:
-        # An empty suffix or a bare dot names no domain.
-        domains = [d for d in {t.lower().removeprefix(".") for t in targets or []} if d]
-        sent = F.exists(hosts.domain_suffixes(F.col("host")), lambda s: s.isin(domains)) if domains else F.lit(False)
-        for pattern in patterns:
-            sent = sent | F.col("host").rlike(pattern)
-        sent = F.coalesce(sent, F.lit(False))
-    return counted.withColumn("sent", sent)
+        named = spark.range(1).select(F.explode(F.array(*[F.lit(t) for t in targets or []]).cast("array<string>")).alias("host"))
+    if len(patterns) > MAX_PATTERNS:
+        raise ValueError(f"more than {MAX_PATTERNS} patterns")
+    # An empty name or a bare dot names no domain.
+    domain = F.regexp_replace(F.lower("host"), r"\A\.", "")
+    domains = named.select(domain.alias("domain")).filter(F.col("domain") != "").distinct()
+    suffixes = counted.select("host", F.explode(hosts.domain_suffixes(F.col("host"))).alias("domain"))
+    hits = suffixes.join(domains, "domain").select("host", F.lit(True).alias("is_target")).distinct()
+    sent = F.coalesce("is_target", F.lit(False))
+    for pattern in patterns:
+        sent = sent | F.coalesce(F.col("host").rlike(pattern), F.lit(False))
+    return counted.join(hits, "host", "left").select("host", "calls", sent.alias("sent"))

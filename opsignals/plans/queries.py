@@ -696,7 +696,10 @@ def outbound_calls(spark, sf_dir):
     ("calls",),
 )
 def propagation_audit(spark, sf_dir):
-    return traces.propagation_audit(view(spark, sf_dir, "calls"), [".Example.net", "ample.com"], [r"^blog\."])
+    rows = [(".Example.net", None), ("ample.com", None), (None, r"^blog\."), ("", None)]
+    named = F.array(*[F.struct(F.lit(h).cast("string").alias("host"), F.lit(p).cast("string").alias("pattern")) for h, p in rows])
+    targets = spark.range(1).select(F.inline(named))
+    return traces.propagation_audit(view(spark, sf_dir, "calls"), targets)
 
 
 # ---------------------------------------------------------------- errors

@@ -279,6 +279,8 @@ def test_calls_are_named_by_host_and_headers_go_to_targets(spark):
     assert sent([""]) == sent([]) == set()
     assert sent([], [r"^\d+\."]) == {"1.2.3.4"}
     assert len(sent(None)) == 5 and sent(None, enabled=False) == set()
+    table = spark.createDataFrame([(".EXAMPLE.com", None), ("", None), (None, r"^\d+\.")], "host string, pattern string")
+    assert sent(table) == {"api.example.com", "example.com", "1.2.3.4"} and sent(table.filter("false")) == set()
 
 
 def user(i):
