@@ -309,6 +309,10 @@ def _sorted_names(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np
     return order, new
 
 
+def _text_of(row: dict) -> bytes:
+    return pa.decompress(row["bytes"], decompressed_size=sum(row["sizes"]), codec="zstd", asbytes=True)
+
+
 _SLICED = "slice long, ids array<long>, shas array<binary>, sizes array<long>, places array<binary>, bytes binary"
 
 
@@ -321,29 +325,43 @@ def _sliced(docs: DataFrame, length: int) -> DataFrame:
     firsts = rows.groupBy("sha").agg(F.min(F.coalesce("doc_id", F.lit(_LEAST))).alias("at"))
     digest = F.conv(F.substring(F.hex("sha"), 1, 16), 16, -10).cast("long")
     wanted = firsts.withColumn("digest", digest).join(places, "digest").select("at", "sha", "places")
-    whole = texts(docs).select(F.coalesce("doc_id", F.lit(_LEAST)).alias("at"), "text")
-    held = whole.join(wanted, "at").filter(F.unhex(F.sha2("text", 256)) == F.col("sha")).select("at", "sha", "text", "places")
+    whole = texts(docs).select(
+        F.coalesce("doc_id", F.lit(_LEAST)).alias("at"), F.unhex(F.sha2("text", 256)).alias("sha"), "text", F.lit(None).cast("binary").alias("places")
+    )
+    marked = wanted.select("at", "sha", F.lit(None).cast("string").alias("text"), "places")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, last = TaskContext.get().partitionId() << 32, None
-        for batch in slices(batches, "text", SLICE):
-            ids, shas, data, at = [], [], [], []
-            for row in batch.to_pylist():
-                if (row["at"], row["sha"]) == last:
-                    continue  # an equal row: not the first
-                last = row["at"], row["sha"]
-                ids.append(row["at"])
-                shas.append(row["sha"])
-                data.append(row["text"].encode())
-                at.append(row["places"])
-            if ids:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([number]), *(pa.array([v], pa.list_(k)) for v, k in ((ids, pa.int64()), (shas, pa.binary()), ([len(d) for d in data], pa.int64()), (at, pa.binary()))), pa.array([b"".join(data)], pa.binary())],
-                    ["slice", "ids", "shas", "sizes", "places", "bytes"],
-                )
-                number += 1
-
-    ordered = held.repartitionByRange(buckets, "at", "sha").sortWithinPartitions("at", "sha")
+        number, asked, held, size = TaskContext.get().partitionId() << 32, None, [], 0
+
+        def joined() -> pa.RecordBatch:
+            ids, shas, data, places = (list(column) for column in zip(*held, strict=True))
+            kinds = ((ids, pa.int64()), (shas, pa.binary()), ([len(d) for d in data], pa.int64()), (places, pa.binary()))
+            blob = pa.compress(b"".join(data), codec="zstd", asbytes=True)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([number]), *(pa.array([v], pa.list_(k)) for v, k in kinds), pa.array([blob], pa.binary())],
+                ["slice", "ids", "shas", "sizes", "places", "bytes"],
+            )
+
+        for batch in batches:
+            text = batch.column("text")
+            keys = zip(*(batch.column(c).to_pylist() for c in ("at", "sha", "places")), strict=True)
+            for i, (at, sha, places) in enumerate(keys):
+                if places is not None:
+                    asked = at, sha, places
+                elif asked and asked[:2] == (at, sha):
+                    held.append((at, sha, text[i].as_py().encode(), asked[2]))
+                    size += len(held[-1][2])
+                    asked = None  # rows equal to it aren't the first
+                    if size >= SLICE:
+                        yield joined()
+                        number, held, size = number + 1, [], 0
+        if held:
+            yield joined()
+
+    # One exchange brings texts into their order and to the places that are asked for: what is asked
+    # comes just before the text.
+    ordered = whole.unionByName(marked).repartitionByRange(buckets, "at", "sha")
+    ordered = ordered.sortWithinPartitions("at", "sha", F.col("places").isNull())
     return written(ordered.mapInArrow(pack, _SLICED), "slices")
 
 
@@ -354,7 +372,7 @@ def _judged(sliced: DataFrame, length: int) -> DataFrame:
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                _, at, first, second = _named(row["bytes"], np.array(row["sizes"]), row["places"], length)
+                _, at, first, second = _named(_text_of(row), np.array(row["sizes"]), row["places"], length)
                 order, new = _sorted_names(first, second)
                 first, second = first[order[new]], second[order[new]]
                 bucket = (first >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)
@@ -392,7 +410,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                starts, at, first, second = _named(row["bytes"], np.array(row["sizes"]), row["places"], length)
+                text = _text_of(row)
+                starts, at, first, second = _named(text, np.array(row["sizes"]), row["places"], length)
                 order, new = _sorted_names(first, second)
                 heads = order[new]
                 bucket = (first[heads] >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)
@@ -403,7 +422,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                     later[a:b] = np.unpackbits(np.frombuffer(part["bits"], np.uint8), count=b - a)
                 gone = np.ones(len(order), bool)
                 gone[heads] = later
-                edge = np.zeros(len(row["bytes"]) + 1, np.int32)
+                edge = np.zeros(len(text) + 1, np.int32)
                 edge[at[gone]] += 1
                 edge[at[gone] + np.uint32(length)] -= 1
                 covered = np.cumsum(edge[:-1]) > 0
@@ -415,7 +434,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                         out["doc_id"].append(None if doc == _LEAST else doc)
                         out["sha"].append(sha)
                         out["spans"].append([{"start": int(x), "stop": int(y)} for x, y in turns])
-                        out["kept"].append(np.frombuffer(row["bytes"], np.uint8)[a:b][~own].tobytes())
+                        out["kept"].append(np.frombuffer(text, np.uint8)[a:b][~own].tobytes())
                 kinds = {"doc_id": pa.int64(), "sha": pa.binary(), "spans": pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])), "kept": pa.binary()}
                 yield _batch({c: (out[c], k) for c, k in kinds.items()})
 
