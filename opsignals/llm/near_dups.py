@@ -11,7 +11,9 @@ one with a probability of 0.999.
 Texts of one digest are one node. In a band of up to ``PAIRED`` nodes all pairs are verified; in a
 larger one every node is verified against a leader, and in later rounds against some sixteen others
 and the node with most links, where these aren't in its component yet, until a round finds no more
-links. A verified pair has a weighted
+links. That joins groups of copies at little cost and finds no links for certain; the nodes of larger
+bands that still hold several components are then joined by prefixes of their weighted sets
+(``crowded_pairs``), which leaves out no pair that is alike. A verified pair has a weighted
 Jaccard similarity of ``threshold`` or more over the whole texts. Links give components.
 
 A null text is an empty one; texts without words are near-duplicates of equal texts only, and texts
@@ -22,6 +24,7 @@ null ids too, and a class takes its smallest id. Other columns are left behind.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +42,9 @@ RUN, THRESHOLD = 5, 0.8
 BANDS, ROWS = 10, 3
 WIDTH = 1 << 20
 PAIRED, ROUNDS = 16, 5
+# A run in more sets than FEW is joined by classes of the sets' weights, each wider than the last by
+# CLASS; a key of more rows than CELL is joined in several cells.
+FEW, CLASS, CELL = 64, 1.03, 256
 _DRAWS = 1 << 16
 
 
@@ -185,6 +191,100 @@ def verified(pairs: DataFrame, chosen: DataFrame, idf: np.ndarray, threshold: fl
     return pairs.join(one, "a").join(other, "b").select("a", "b", "text_a", "text_b").mapInArrow(verify, "a binary, b binary")
 
 
+def run_frequency(nodes: DataFrame, idf: np.ndarray) -> np.ndarray:
+    """In how many of the nodes' texts each of WIDTH cells of run hashes occurs."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = np.zeros(WIDTH, np.int64)
+        for batch in slices(batches, "text", 2 << 20):
+            keys, _, ends = weighted_runs(batch.column("text"), idf)
+            owner = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+            once = np.unique(owner << 20 | (keys % np.uint64(WIDTH)).astype(np.int64))
+            totals += np.bincount(once & (WIDTH - 1), minlength=WIDTH)
+        yield chunk_batch(totals)
+
+    return summed(nodes.select("text").mapInArrow(count, "chunk int, counts binary"), WIDTH)
+
+
+def prefixes(nodes: DataFrame, idf: np.ndarray, frequency: np.ndarray, threshold: float) -> DataFrame:
+    """The runs of each node (node, own, text) that a set of ``threshold`` or more may share first.
+
+    Runs are in order of their frequency, rare ones first. ``rest`` is the weight from a run on; two
+    sets alike overlap by t / (1 + t) of their weights' sum, so they have a run in common from which
+    on both have that much left. A run of up to FEW sets is a key; more frequent ones are a key for
+    each two classes of weights in which that can be true.
+    """
+    wide = math.ceil(math.log(1 / threshold) / math.log(CLASS)) + 1
+    share, slack = threshold / (1 + threshold), 1 - 1e-6
+    frequency = np.minimum(frequency, FEW + 1).astype(np.uint8)
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 1 << 20):
+            keys, weights, ends = weighted_runs(batch.column("text"), idf)
+            found = []
+            for i, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)):
+                often = frequency[(keys[a:b] % np.uint64(WIDTH)).astype(np.intp)]
+                order = np.lexsort((keys[a:b], often))
+                rest = np.cumsum(weights[a:b][order][::-1], dtype=np.float64)[::-1]
+                if not len(rest):
+                    continue
+                total = float(rest[0])
+                first = int((rest >= threshold * total * slack).sum())
+                run, rest, often = keys[a:b][order][:first], rest[:first], often[order][:first]
+                rare = (often > 1) & (often <= FEW)
+                found.append((i, run[rare], rest[rare], total, 0, False))
+                run, rest = run[often > FEW], rest[often > FEW]
+                own = math.floor(math.log(total) / math.log(CLASS))
+                for other in range(own - wide, own + wide + 1) if len(run) else ():
+                    may = rest >= share * (total + max(CLASS**other, threshold * total)) * slack
+                    two = np.uint64(min(own, other) + (1 << 20) << 24 | max(own, other) + (1 << 20))
+                    found.append((i, mixed(run[may] ^ mixed(np.array([two]))), rest[may], total, own, other != own))
+            found = [f for f in found if len(f[1])]
+            at, sizes = [f[0] for f in found], [len(f[1]) for f in found]
+            of = np.repeat(np.array(at, np.int64), sizes)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate([np.empty(0, np.uint64), *[f[1] for f in found]]).view(np.int64)),
+                    batch.column("node").take(pa.array(of)),
+                    batch.column("own").take(pa.array(of)),
+                    pa.array(np.concatenate([np.empty(0), *[f[2] for f in found]])),
+                    *[pa.array(np.repeat(np.array([f[c] for f in found], t), sizes)) for c, t in ((3, np.float64), (4, np.int32), (5, np.bool_))],
+                ],
+                ["run", "node", "own", "rest", "total", "class", "far"],
+            )
+
+    return nodes.select("node", "own", "text").mapInArrow(emit, "run long, node binary, own binary, rest double, total double, class int, far boolean")
+
+
+def crowded_pairs(many: DataFrame, roots: DataFrame, chosen: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
+    """All pairs (a, b) of two components among the nodes of large bands that may be alike."""
+    placed = many.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("own"))
+    apart = placed.groupBy("key").agg(F.min("own").alias("low"), F.max("own").alias("high")).filter("low != high")
+    nodes = placed.join(apart, "key").select("node", "own").distinct()
+    held = written(chosen.join(nodes, "node"), "crowded")
+    rows = written(prefixes(held, idf, run_frequency(held, idf), threshold), "prefixes")
+    sizes = rows.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.min("own").alias("low"), F.max("own").alias("high"))
+    rows = rows.join(sizes.filter("low != high").select("run", F.ceil(F.col("n") / CELL).cast("int").alias("cells")), "run")
+    rows = rows.withColumn("cell", F.pmod(F.xxhash64("node"), F.col("cells")).cast("int"))
+    # Of a key's cells each meets itself and every later one, so that no task holds a whole hot key.
+    one = rows.select(*[F.col(c).alias(f"{c}_a") for c in rows.columns], F.explode(F.sequence("cell", F.col("cells") - 1)).alias("to"))
+    other = rows.select(*[F.col(c).alias(f"{c}_b") for c in rows.columns], F.explode(F.sequence(F.lit(0), "cell")).alias("of"))
+    needed = (F.col("total_a") + F.col("total_b")) * (threshold / (1 + threshold) * (1 - 1e-6))
+    met = one.join(
+        other,
+        (F.col("run_a") == F.col("run_b"))
+        & (F.col("cell_a") == F.col("of"))
+        & (F.col("to") == F.col("cell_b"))
+        & (F.col("own_a") != F.col("own_b"))
+        & ((F.col("cell_a") != F.col("cell_b")) | (F.col("node_a") < F.col("node_b")))
+        & (F.col("far_a") == (F.col("class_a") != F.col("class_b")))
+        & (F.col("rest_a") >= needed)
+        & (F.col("rest_b") >= needed)
+        & (F.least("total_a", "total_b") >= F.greatest("total_a", "total_b") * (threshold * (1 - 1e-6))),
+    )
+    return met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, class_id (smallest doc_id of the class), node (digest of the text) and root (the class)
     of every document."""
@@ -232,6 +332,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             break
         links = links.union(more)
         roots = components(links)
+    # What the rounds left apart is held against one another without a limit.
+    fresh = written(crowded_pairs(many, roots, chosen, idf, threshold).join(tested, ["a", "b"], "left_anti"), "pairs")
+    more = written(verified(fresh, chosen, idf, threshold), "links")
+    if not more.isEmpty():
+        roots = components(links.union(more))
     classed = signed.select("doc_id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = classed.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     return classed.join(least, "root").select("doc_id", "class_id", "node", "root")

@@ -5,6 +5,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from opsignals.llm import near_dups, suffix_dedup
@@ -101,6 +102,38 @@ def test_near_duplicates_meet(documents, odd_rows):
     assert near_dups.near_duplicates(documents([])).count() == 0
 
 
+def test_pairs_of_one_template_meet(documents):
+    """Documents share a passage of 85% of their weight; planted pairs share more."""
+    rng = random.Random(11)
+    passage, texts = words(rng, 114), {}
+    for k in range(1200):
+        texts[k] = passage + [f"own{k}x{j}" for j in range(10)]
+    planted = [(2 * k, 2 * k + 1) for k in range(300)]
+    for a, b in planted:
+        texts[b] = passage + texts[a][114:121] + [f"own{b}y{j}" for j in range(3)]
+    found = near_dups.near_duplicates(documents([(i, " ".join(t)) for i, t in texts.items()])).collect()
+    cls = {r.doc_id: r.class_id for r in found}
+    assert [p for p in planted if cls[p[0]] != cls[p[1]]] == []
+    assert len(set(cls.values())) == 900
+
+
+def test_prefixes_leave_out_no_pair_alike(spark):
+    rng = random.Random(12)
+    base, texts = words(rng, 120), []
+    for k in range(90):  # of many lengths and degrees of likeness, with runs both rare and in most texts
+        texts.append(edited(rng, base[: rng.randint(60, 120)], rng.choice([0, 0.005, 0.01, 0.03])) + words(rng, rng.randint(0, 30)))
+    texts = [" ".join(t) for t in texts]
+    rows = [(i.to_bytes(2), t) for i, t in enumerate(texts)]
+    chosen = spark.createDataFrame(rows, "node binary, text string")
+    many = spark.createDataFrame([(n, 1) for n, _ in rows], "node binary, key long")
+    idf = np.ones(near_dups.WIDTH, np.float32)
+    pairs = near_dups.crowded_pairs(many, spark.createDataFrame([], "node binary, root binary"), chosen, idf, 0.8).collect()
+    sets = [near_dups.weighted_runs(pa.array([t]), idf)[:2] for t in texts]
+    alike = {(i, j) for i in range(90) for j in range(i + 1, 90) if near_dups.weighted_jaccard(sets[i], sets[j]) >= 0.8}
+    got = {(int.from_bytes(p.a), int.from_bytes(p.b)) for p in pairs}
+    assert len(alike) > 20 and alike <= got and len(got) < 90 * 89 / 4
+
+
 def test_draws_agree_as_often_as_sets_are_alike():
     rng = np.random.default_rng(4)
     keys = rng.integers(0, 1 << 63, 3000, np.uint64)
