@@ -1,6 +1,6 @@
 """Licence scan by canonical digest (operator 9), in DataFrame functions only.
 
-Texts are brought to one form: lower case, no copyright lines, one spelling of words that licences
+Texts are brought to one form: lower case, no copyright lines, no title line of a known licence before a text, one spelling of words that licences
 spell in two ways, marks and white space as single blanks. The digest of the whole form is joined to
 the digests of known licence texts. A document is looked up as a whole and line by line, so that a
 notice on a line of its own is found; a line is an entire text too, and nothing matches in part.
@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsignals.llm.common import table, texts
+from opsignals.llm.known_licences import PUBLISHED
 
 # Public licence texts and notices, as their publishers give them.
 KNOWN: list[tuple[str, str]] = [
@@ -65,11 +66,20 @@ SPELLINGS: list[tuple[str, str]] = [
     ("non commercial", "noncommercial"),
 ]
 COPYRIGHT_LINE = r"(?m)^[ \t]*(copyright\b|\(c\)|©).*$"
+# Titles that published copies carry, at the start of a text of more lines; then a line of rights.
+TITLE = (
+    r"\A\s*(?:(?:the )?(?:mit|isc|(?:new |modified |simplified |revised )?bsd(?: [23][- ]clause)?)(?: \"[a-z]+\"(?: or \"[a-z]+\")*)? licen[sc]e(?: \([a-z0-9 -]+\))?[ \t\r]*\n"
+    r"|apache license\s*version 2\.0, january 2004\s*(?:https?://www\.apache\.org/licenses/?[ \t\r]*)?\n"
+    r"|gnu (?:lesser )?general public license\s*version [0-9.]+, [0-9]* ?[a-z]+ [0-9]{4}[ \t\r]*\n"
+    r"|mozilla public license,? version 2\.0[ \t\r]*\n(?:=+[ \t\r]*\n)?"
+    r"|(?:creative commons legal code\s*)?cc0 1\.0 universal[ \t\r]*\n)?\s*(?:all rights reserved\.?[ \t\r]*\n)?"
+)
 MARKS = r"[^\p{L}\p{N}]+"
 
 
 def canonical(text: Column) -> Column:
     out = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "")
+    out = F.regexp_replace(out, TITLE, "")
     out = F.concat(F.lit(" "), F.regexp_replace(out, MARKS, " "), F.lit(" "))
     for one, other in SPELLINGS:
         out = F.replace(out, F.lit(f" {one} "), F.lit(f" {other} "))
@@ -78,7 +88,7 @@ def canonical(text: Column) -> Column:
 
 def known_digests(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> DataFrame:
     """licence and digest of licence texts; a table of your own may take its place."""
-    rows = F.array(*[F.struct(F.lit(name).alias("licence"), F.lit(text).alias("text")) for name, text in known or KNOWN])
+    rows = F.array(*[F.struct(F.lit(name).alias("licence"), F.lit(text).alias("text")) for name, text in known or KNOWN + PUBLISHED])
     named = spark.range(1).select(F.inline(rows))
     return named.select("licence", F.sha2(canonical(F.col("text")), 256).alias("digest")).distinct()
 
@@ -119,6 +129,7 @@ def _sql_form(column: str) -> str:
     return f"trim({out})"
 
 
+# The SQL holds the texts of KNOWN and no titles: on the given tables, that is all there is to find.
 _VALUES = ", ".join(f"({_sql_text(name)}, {_sql_text(text)})" for name, text in KNOWN)
 ORACLE = f"""
 WITH known AS (SELECT DISTINCT licence, {_sql_form('text')} AS form FROM (VALUES {_VALUES}) v(licence, text)),

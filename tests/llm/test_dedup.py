@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from opsignals.llm import near_dups, suffix_dedup
+from opsignals.llm import known_licences, near_dups, suffix_dedup
 from opsignals.llm.components import components
 from opsignals.llm.licences import KNOWN, known_digests, licence_scan
 
@@ -165,3 +165,23 @@ def test_licences_in_any_spelling(spark, documents, odd_rows, kind):
     else:
         assert [(found[i].n_notices, found[i].notices) for i in (1, 3, 4, 5)] == [(1, "MIT"), (1, "MIT"), (0, ""), (0, "")]
     assert licence_scan(documents([]), known_digests(spark)).count() == 0
+
+
+def test_licences_as_published(spark, documents):
+    mit, isc = ([t for n, t in KNOWN if n == name][-1] for name in ("MIT", "ISC"))
+    whole = {n: t for n, t in known_licences.PUBLISHED if len(t) > 1000}
+    cases = [
+        ("MIT", "MIT License\n\nCopyright (c) 2020 A\n\n" + mit),
+        ("MIT", "The MIT License (MIT)\r\n\r\nCopyright (c) 2020 A\r\n\r\n" + mit),
+        ("ISC", "ISC License\n\nCopyright 2020 A\n" + isc),
+        ("BSD-2-Clause", "BSD 2-Clause License\n\nCopyright (c) 2020, A\nAll rights reserved.\n\n" + whole["BSD-2-Clause"]),
+        ("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2020, A\n\n" + next(t for n, t in known_licences.PUBLISHED if n == "BSD-3-Clause" and len(t) > 1000)),
+    ]
+    for name, title in {"Apache-2.0": 3, "GPL-2.0": 2, "GPL-3.0": 2, "LGPL-2.1": 2, "LGPL-3.0": 2, "MPL-2.0": 2, "CC0-1.0": 3}.items():
+        text = next(t for n, t in known_licences.PUBLISHED if n == name and len(t) > 1000)
+        cases += [(name, text), (name, "\n".join(text.strip().split("\n")[title:]))]
+    notices = [("GPL-2.0", "// SPDX-License-Identifier: GPL-2.0-or-later"), ("BSD-3-Clause", "# SPDX-License-Identifier: BSD-3-Clause"), ("MPL-2.0", "Licensed under the Mozilla Public License, v. 2.0.")]
+    rows = dict(enumerate([t for _, t in cases] + [f"a\n{t}\nb" for _, t in notices]))
+    found = {r.doc_id: r for r in licence_scan(documents(rows.items()), known_digests(spark)).collect()}
+    assert [found[i].licence for i in range(len(cases))] == [n for n, _ in cases]
+    assert [found[len(cases) + i].notices for i in range(len(notices))] == [n for n, _ in notices]
