@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opsignals.llm import licences
+from opsignals.llm import exact_dups, licences
 from opsignals.llm.bpe import op4_bpe_codec
 from opsignals.llm.inner_product import op8_inner_products
 from opsignals.llm.near_dups import op6_near_duplicates
@@ -30,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_inner_products,
         licences.op9_licence_scan,
         op10_quality,
+        exact_dups.op12_exact_duplicates,
     )
 }
-ORACLES: dict[str, str] = {"op9_licence_scan": licences.ORACLE}
+ORACLES: dict[str, str] = {"op9_licence_scan": licences.ORACLE, "op12_exact_duplicates": exact_dups.ORACLE}
