@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opsignals.llm import exact_dups, licences
+from opsignals.llm import exact_dups, licences, turn_trie
 from opsignals.llm.bpe import op4_bpe_codec
 from opsignals.llm.inner_product import op8_inner_products
 from opsignals.llm.near_dups import op6_near_duplicates
@@ -31,6 +31,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         licences.op9_licence_scan,
         op10_quality,
         exact_dups.op12_exact_duplicates,
+        turn_trie.op13_turn_trie,
     )
 }
-ORACLES: dict[str, str] = {"op9_licence_scan": licences.ORACLE, "op12_exact_duplicates": exact_dups.ORACLE}
+ORACLES: dict[str, str] = {
+    "op9_licence_scan": licences.ORACLE,
+    "op12_exact_duplicates": exact_dups.ORACLE,
+    "op13_turn_trie": turn_trie.ORACLE,
+}
