@@ -12,6 +12,7 @@ from opsignals.llm.inner_product import op8_inner_products
 from opsignals.llm.near_dups import op6_near_duplicates
 from opsignals.llm.neighbours import op1_learned_partitions
 from opsignals.llm.packing import op5_packing
+from opsignals.llm.periodic_runs import op11_periodic_runs
 from opsignals.llm.quality import op10_quality
 from opsignals.llm.suffix_dedup import op2_suffix_dedup
 from opsignals.llm.token_counts import op7_token_counts
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_inner_products,
         licences.op9_licence_scan,
         op10_quality,
+        op11_periodic_runs,
         exact_dups.op12_exact_duplicates,
         turn_trie.op13_turn_trie,
     )
