@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opsignals.operators.running import running, time_segment
+from opsignals.operators.running import chained, time_segment
 
 # Fixed value: failed attempts in a row before a batch is dropped.
 MAX_FAILURES = 5
@@ -49,25 +49,35 @@ def retry_ledger(
 ) -> DataFrame:
     """Every attempt with its streak of failures in its queue, the state it leads to and why.
 
-    Gaps and islands on two running aggregates: failures so far, and their number at the latest
-    earlier attempt that did not fail. Every ``max_failures``-th failure of an island drops the
-    batch and starts the count again. ``carry_in`` (``queue, failures, resets,
-    failures_at_reset``) continues an earlier run.
+    Every ``max_failures``-th failure since the last attempt that did not fail drops the batch and
+    starts the count again. A stretch of attempts is summed up by its failures, its resets and the
+    failures before its last reset; these combine over stretches, so the ledger needs one pass.
+    ``carry_in`` (``queue, failures, resets, failures_at_reset``) continues an earlier run.
     """
     segment = time_segment(order[0]) if segment is None else segment
     judged = attempts.withColumn("outcome", outcome(F.col("status")))
     failed = F.col("outcome") == "failed"
-    counts = base = None
-    if carry_in is not None:
-        counts = carry_in.select("queue", "failures", "resets")
-        base = carry_in.select("queue", "failures_at_reset")
-    counted = running(
+    counted = chained(
         judged, ["queue"], order, segment,
-        {"failures": ("sum", failed.cast("long")), "resets": ("sum", (~failed).cast("long"))}, carry_in=counts,
-    )
-    counted = running(
-        counted, ["queue"], order, segment,
-        {"failures_at_reset": ("max", F.when(~failed, F.col("failures")))}, include_current=False, carry_in=base,
+        {"__failed": failed.cast("long"), "__reset": (~failed).cast("long"), "__base": F.lit(None).cast("long")},
+        local=[
+            {"__run": lambda upto, _: F.sum("__failed").over(upto)},
+            {"__at": lambda upto, _: F.max(F.when(F.col("__reset") == 1, F.col("__run"))).over(upto)},
+        ],
+        summary={"failures": F.sum("__failed"), "resets": F.sum("__reset"), "failures_at_reset": F.max("__at")},
+        carry=[
+            {"__failed": lambda w: F.sum("__of_failures").over(w), "__reset": lambda w: F.sum("__of_resets").over(w)},
+            {"__base": lambda w: F.max(F.coalesce("__failed", F.lit(0)) + F.col("__of_failures_at_reset")).over(w)},
+        ],
+        final=[
+            {"failures": lambda upto, _: F.sum("__failed").over(upto), "resets": lambda upto, _: F.sum("__reset").over(upto)},
+            {
+                "failures_at_reset": lambda _, before: F.max(
+                    F.when(F.col("is_carry"), F.col("__base")).when(F.col("__reset") == 1, F.col("failures"))
+                ).over(before)
+            },
+        ],
+        carry_in=carry_in,
     )
     run = F.col("failures") - F.coalesce("failures_at_reset", F.lit(0))
     streak = F.when(failed, (run - 1) % max_failures + 1).otherwise(0)

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsignals.functions import fingerprint, pii, sqltext
 from opsignals.functions.text import is_blank
 from opsignals.operators.privacy import redact_fields
-from opsignals.operators.running import running, time_segment
-from opsignals.operators.traces import mark_nested
+from opsignals.operators.running import SEGMENT, chained, running, time_segment
+from opsignals.operators.traces import outermost
 from opsignals.shipping import ship
 
 # Fixed value.
@@ -29,24 +29,23 @@ def user_asof(errors: DataFrame, set_user: DataFrame, *, segment: Column | None
     """Each error with its own user, else the one last set on its thread before it.
 
     A setting is wrapped in a struct, so setting an empty user (clearing it) is a value the
-    running ``last`` keeps. Both inputs: thread_id, seq, user; errors have occurred_at, set_user ts.
+    running ``last`` keeps. Both inputs: thread_id, seq, user; errors have occurred_at, set_user ts;
+    ``segment`` is of occurred_at.
     """
     segment = time_segment("occurred_at") if segment is None else segment
-    settings = set_user.select(
-        "thread_id", "seq", F.col("ts").alias("occurred_at"), F.struct("user").alias("setting")
-    )
-    timeline = errors.withColumn("is_error", F.lit(True)).unionByName(settings, allowMissingColumns=True)
+    rows = errors.select("thread_id", "seq", "occurred_at", F.struct("*").alias("error"))
+    settings = set_user.select("thread_id", "seq", F.col("ts").alias("occurred_at"), F.struct("user").alias("setting"))
+    timeline = rows.unionByName(settings, allowMissingColumns=True)
     seen = running(
         timeline, ["thread_id"], ["occurred_at", "seq"], segment, {"current": ("last", F.col("setting"))}
-    ).filter("is_error")
-    own, current = F.col("user"), F.col("current.user")
+    ).filter(F.col("error").isNotNull())
+    own, current = F.col("error.user"), F.col("current.user")
     user = F.when(~_is_empty_user(own), own).when(~_is_empty_user(current), current)
-    return seen.withColumn("user", user).drop("setting", "current", "is_error")
+    return seen.select(*[(user if c == "user" else F.col("error")[c]).alias(c) for c in errors.columns])
 
 
-def _by_number(trail: Column) -> Column:
-    # A map inside has no order of its own, so the comparison names the number.
-    return F.array_sort(trail, lambda a, b: F.when(a["number"] < b["number"], -1).otherwise(1))
+def _last(items: Column, n: int) -> Column:
+    return F.slice(items, F.greatest(F.size(items) - (n - 1), F.lit(1)), F.lit(n))
 
 
 def breadcrumb_trail(
@@ -60,75 +59,90 @@ def breadcrumb_trail(
     """Each error with the last ``limit`` breadcrumbs (clients keep 30) of its thread since the
     last clear, oldest first.
 
-    Breadcrumbs are numbered along their thread. An error that has seen ``n`` of them asks for
-    the numbers ``n - limit + 1 .. n``: an equality join on (thread, number), one row per key,
-    which never forms more than ``limit`` pairs per error. Errors of one thread with the same crumbs
-    before them ask for the same numbers; AQE splits that side where it is large.
+    A stretch of a thread is summed up by whether it clears and by its last ``limit`` crumbs since
+    its last clear; earlier stretches combine into what an error's stretch starts with, so an error
+    costs one list, however many others of its thread see the same crumbs. Only stretches with
+    errors are given that list.
 
-    ``breadcrumbs``: thread_id, seq, ts, op (add or clear), category, message, level, data.
+    ``breadcrumbs``: thread_id, seq, ts, op (add or clear), category, message, level, data;
+    ``segment`` is of ts.
     """
-    crumb_type = "array<struct<category:string,message:string,level:string,ts:string,data:map<string,string>>>"
+    crumb_type = "struct<category:string,message:string,level:string,ts:string,data:map<string,string>>"
+    columns = [c for c in errors.columns if c != "breadcrumbs"]
     if strict or limit <= 0:
-        return errors.withColumn("breadcrumbs", F.array().cast(crumb_type))
-    segment = time_segment("ts") if segment is None else segment
-    steps = breadcrumbs.select(
-        "thread_id", "seq", "ts", "op",
-        F.struct(
-            "category", "message", "level", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("ts"), "data"
-        ).alias("crumb"),
-    )
-    asked = errors.select("thread_id", "seq", F.col("occurred_at").alias("ts"), F.lit("error").alias("op"), "error_id")
-    op = F.col("op")
-    seen = running(
-        steps.unionByName(asked, allowMissingColumns=True), ["thread_id"], ["ts", "seq"], segment,
-        {
-            "number": ("sum", (op == "add").cast("long")),
-            "cleared_at": ("last", F.when(op == "clear", F.struct("ts", "seq"))),
-        },
-    )
-    crumbs = seen.filter(op == "add").select("thread_id", "number", F.struct("ts", "seq").alias("added_at"), "crumb")
-    wanted = seen.filter((op == "error") & (F.col("number") > 0)).select(
-        "error_id",
-        "thread_id",
-        "cleared_at",
-        F.explode(
-            F.sequence(F.greatest(F.lit(1).cast("long"), F.col("number") - (limit - 1)), F.col("number"))
-        ).alias("number"),
+        return errors.select(*columns, F.array().cast(f"array<{crumb_type}>").alias("breadcrumbs"))
+    crumb = F.struct(
+        "category", "message", "level", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("ts"), "data"
     )
-    trails = (
-        wanted.join(crumbs, ["thread_id", "number"])
-        .filter(F.col("cleared_at").isNull() | (F.col("added_at") > F.col("cleared_at")))
-        .groupBy("error_id")
-        .agg(F.collect_list(F.struct("number", "crumb")).alias("trail"))
-        .select("error_id", F.transform(_by_number(F.col("trail")), lambda t: t["crumb"]).alias("breadcrumbs"))
+    steps = breadcrumbs.select(
+        "thread_id", "seq", "ts", (F.col("op") == "clear").alias("clears"), F.when(F.col("op") == "add", crumb).alias("crumb")
     )
-    return errors.join(trails, "error_id", "left").withColumn(
-        "breadcrumbs", F.coalesce("breadcrumbs", F.array().cast(crumb_type))
+    asked = errors.select("thread_id", "seq", F.col("occurred_at").alias("ts"), F.struct("*").alias("error"))
+    adds = F.col("__crumb").isNotNull().cast("long")
+    clears = F.coalesce(F.col("__clears"), F.lit(False)).cast("long")
+
+    # Of a stretch: crumbs that no clear follows and fewer than ``limit`` crumbs do.
+    back = (
+        Window.partitionBy("thread_id", SEGMENT).orderBy(F.desc("ts"), F.desc("seq")).rowsBetween(Window.unboundedPreceding, 0)
     )
+    counts = adds.eqNullSafe(1) & (F.col("__clears_on") == 0) & (F.col("__adds_on") <= limit)
+    held = F.collect_list(F.when(counts, F.struct(F.col("__adds_on").alias("back"), F.col("__crumb").alias("crumb"))))
+    in_order = F.array_sort(held, lambda a, b: F.when(a["back"] > b["back"], -1).otherwise(1))
+    # Of stretches that add or clear, each adds a crumb or ends what came before, so ``limit`` are enough.
+    of_steps = Window.partitionBy("thread_id", "__steps").orderBy(SEGMENT).rowsBetween(-(limit - 1), 0)
+    to_here = Window.partitionBy("thread_id").orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, 0)
+    same_epoch = F.filter("__near", lambda x: x["epoch"] == F.col("__epoch"))
+    # Since the last clear within a stretch, by the number of a crumb: errors after one crumb share a frame.
+    epoch = Window.partitionBy("thread_id", SEGMENT, "__epoch").orderBy("__number")
+    none = F.array().cast(f"array<{crumb_type}>")
+    seen = chained(
+        steps.unionByName(asked, allowMissingColumns=True),
+        ["thread_id"], ["ts", "seq"], time_segment("ts") if segment is None else segment,
+        {
+            "__crumb": F.col("crumb"), "__clears": F.col("clears"), "__asks": F.col("error").isNotNull(),
+            "__before": F.lit(None).cast(f"array<{crumb_type}>"),
+        },
+        local=[{"__clears_on": lambda *_: F.sum(clears).over(back), "__adds_on": lambda *_: F.sum(adds).over(back)}],
+        summary={"clears": F.max(clears), "last": F.transform(in_order, lambda x: x["crumb"]), "asks": F.max("__asks")},
+        carry=[
+            {"__steps": lambda _: (F.col("__of_clears") > 0) | (F.size("__of_last") > 0)},
+            {"__epoch": lambda _: F.sum("__of_clears").over(to_here)},
+            {"__near": lambda _: F.collect_list(F.struct(F.col("__epoch").alias("epoch"), F.col("__of_last").alias("last"))).over(of_steps)},
+            {"__after": lambda _: F.when(F.col("__steps"), _last(F.flatten(F.transform(same_epoch, lambda x: x["last"])), limit))},
+            {"__passed": lambda w: F.last("__after", ignorenulls=True).over(w)},
+            {"__before": lambda _: F.when(F.col("__of_asks"), F.col("__passed"))},
+        ],
+        final=[
+            {"__epoch": lambda upto, _: F.coalesce(F.sum(clears).over(upto), F.lit(0)), "__number": lambda upto, _: F.sum(adds).over(upto)},
+            {
+                "__near": lambda *_: F.collect_list("__crumb").over(epoch.rangeBetween(-(limit - 1), 0)),
+                "__passed": lambda *_: F.first("__before", ignorenulls=True).over(epoch.rangeBetween(Window.unboundedPreceding, 0)),
+            },
+        ],
+    ).filter(F.col("error").isNotNull())
+    trail = _last(F.concat(F.coalesce("__passed", none), "__near"), limit)
+    return seen.select(*[F.col("error")[c].alias(c) for c in columns], trail.alias("breadcrumbs"))
 
 
 def error_trace_asof(errors: DataFrame, traces: DataFrame, *, segment_minutes: int = 1) -> DataFrame:
     """Each error with the id of the trace open on its thread at that moment, else null.
 
-    Without nested traces a thread has one trace open at a time, so the only
-    candidate is the last one started: an as-of, not a range join.
+    Without nested traces a thread has one trace open at a time, so the only candidate is the last
+    outermost one: one timeline of traces and errors, in one pass. A trace that starts with the error
+    is open for it.
     """
-    outer = mark_nested(traces, time_segment("started_at", segment_minutes)).filter(~F.col("is_nested"))
-    opens = outer.select(
-        "thread_id", "seq", F.col("started_at").alias("occurred_at"), F.struct("trace_id", "ended_at").alias("opened")
+    # The caller's row travels as one column, so none of its names can clash.
+    rows = errors.select(
+        "thread_id", F.col("occurred_at").alias("at"), F.lit(True).alias("after"), "seq", F.struct("*").alias("error")
     )
-    timeline = (
-        errors.drop("trace_id")
-        .withColumn("is_error", F.lit(True))
-        .unionByName(opens.withColumn("is_error", F.lit(False)), allowMissingColumns=True)
-    )
-    # A trace that starts with the error is open for it, so openings come first.
-    seen = running(
-        timeline, ["thread_id"], ["occurred_at", "is_error", "seq"], time_segment("occurred_at", segment_minutes),
-        {"latest": ("last", F.col("opened"))},
-    ).filter("is_error")
-    is_open = F.col("occurred_at") <= F.col("latest.ended_at")
-    return seen.withColumn("trace_id", F.when(is_open, F.col("latest.trace_id"))).drop("latest", "opened", "is_error")
+    opens = traces.select(
+        "thread_id", F.col("started_at").alias("at"), F.lit(False).alias("after"), "seq",
+        "started_at", "ended_at", F.struct("trace_id", "ended_at").alias("opened"),
+    )
+    timeline = opens.unionByName(rows, allowMissingColumns=True)
+    seen = outermost(timeline, ["at", "after", "seq"], time_segment("at", segment_minutes), F.col("opened")).filter("after")
+    found = F.when(F.col("at") <= F.col("outer.ended_at"), F.col("outer.trace_id")).alias("trace_id")
+    return seen.select(*[F.col("error")[c].alias(c) for c in errors.columns if c != "trace_id"], found)
 
 
 def error_trace_link(errors: DataFrame, spans: DataFrame) -> DataFrame:

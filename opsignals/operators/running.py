@@ -15,12 +15,13 @@ rows are shuffled once, and results are exact.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 SEGMENT = "__segment"
+_FIRST = -(2**62)  # of the segment that an earlier run left
 _IS_ROW = "__is_row"
 
 
@@ -85,7 +86,7 @@ def running(
     if carry_in is not None:
         # An earlier run is one more segment, before all others.
         first = carry_in.select(
-            *keys, F.lit(-(2**62)).cast("long").alias(SEGMENT), *[F.col(n).alias(inputs[n]) for n in names]
+            *keys, F.lit(_FIRST).cast("long").alias(SEGMENT), *[F.col(n).alias(inputs[n]) for n in names]
         )
         summaries = summaries.unionByName(first)
     earlier = Window.partitionBy(*keys).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
@@ -102,6 +103,70 @@ def running(
     return done.filter(F.col(_IS_ROW) == 1).drop(_IS_ROW, SEGMENT, *inputs.values())
 
 
+# Columns by name, each from the window it is taken over; a later step sees an earlier one's columns.
+Step = Mapping[str, Callable[[WindowSpec], Column]]
+
+
+def _steps(df: DataFrame, steps: Sequence[Step], *windows: WindowSpec) -> DataFrame:
+    for step in steps:
+        df = df.select("*", *[column(*windows).alias(name) for name, column in step.items()])
+    return df
+
+
+def segment_summaries(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], local: Sequence[Step], summary: Mapping[str, Column]
+) -> DataFrame:
+    """One row per (group, segment) of rows that have ``SEGMENT``. ``local`` are columns over the rows
+    of the segment up to the current one, or before it; ``summary`` aggregates them where they are."""
+    upto = Window.partitionBy(*keys, SEGMENT).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    before = upto.rowsBetween(Window.unboundedPreceding, -1)
+    return _steps(df, local, upto, before).groupBy(*keys, SEGMENT).agg(*[c.alias(n) for n, c in summary.items()])
+
+
+def chained(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    segment: Column,
+    inputs: Mapping[str, Column],
+    *,
+    local: Sequence[Step],
+    summary: Mapping[str, Column],
+    carry: Sequence[Step],
+    final: Sequence[Step],
+    carry_in: DataFrame | None = None,
+) -> DataFrame:
+    """``df`` with the columns of ``final``, where one running aggregate rests on another.
+
+    The parts of a group are summarised so that summaries combine: ``local`` and ``summary`` turn a
+    segment into one row, ``carry`` combines the rows of all earlier segments of the group, and what it
+    names like an input goes in as the first row of the segment (``is_carry`` tells it from others).
+    ``final`` then runs over that row and the segment's own. However long the chain, the narrow inputs
+    are shuffled once for the summaries and the rows once. ``carry_in`` has the keys and the columns of
+    ``summary``: one more segment, before all others. Steps are called with the window up to the
+    current row and the one before it; steps of ``carry`` with the window over all earlier segments.
+    """
+    keys, order = list(keys), list(order)
+    rows = df.select("*", segment.alias(SEGMENT), *[c.alias(n) for n, c in inputs.items()])
+    narrow = rows.select(*dict.fromkeys([*keys, SEGMENT, *order, *inputs]))
+    summaries = segment_summaries(narrow, keys, order, local, summary)
+    if carry_in is not None:
+        first = carry_in.select(*keys, F.lit(_FIRST).cast("long").alias(SEGMENT), *summary)
+        summaries = summaries.unionByName(first)
+    earlier = Window.partitionBy(*keys).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
+    combined = _steps(summaries.withColumnsRenamed({n: f"__of_{n}" for n in summary}), carry, earlier)
+    made = {name for step in carry for name in step}
+    carries = combined.select(*keys, SEGMENT, *[n for n in inputs if n in made], F.lit(True).alias("is_carry"))
+    laid_out = rows.withColumn("is_carry", F.lit(False)).unionByName(carries, allowMissingColumns=True)
+    upto = (
+        Window.partitionBy(*keys, SEGMENT)
+        .orderBy(F.desc("is_carry"), *order)
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    done = _steps(laid_out, final, upto, upto.rowsBetween(Window.unboundedPreceding, -1))
+    return done.filter(~F.col("is_carry")).drop("is_carry", SEGMENT, *inputs)
+
+
 def first_n(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, *, salts: int = 32) -> DataFrame:
     """The first ``n`` rows of every group.
 

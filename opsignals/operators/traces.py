@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsignals.functions import hosts, routes, sqltext, traceparent
 from opsignals.functions.text import ascii_lower, ascii_trim
-from opsignals.operators.running import first_n, running, sequence_segment, time_segment
+from opsignals.operators.running import SEGMENT, chained, first_n, sequence_segment, time_segment
 
 # Fixed values.
 KINDS = ("controller", "service", "database", "redis", "http", "job", "other")
@@ -17,68 +17,129 @@ STATEMENT, SYSTEM = "db.statement", "db.system"
 _BEFORE_ALL = -(2**62)
 
 
-def span_tree(events: DataFrame, roots: DataFrame, *, segment: Column | None = None) -> DataFrame:
-    """Recorded spans with their parents, from ``open``, ``close`` and ``leaf`` events.
+def _found_parents(events: DataFrame, roots: DataFrame, segment: Column, cap: int | None) -> DataFrame:
+    """Brackets matched in parallel: trace_id, span_id and what each event says about its span:
+    ``at_open`` (the parent of an opening), ``else_parent`` (of a leaf, or the root for a close) and,
+    of what records a span, whether it is among the first ``cap - 1``; with the trace's root columns.
 
-    A span's parent is the span open just beneath it when it started, else the root. Depth is a
-    running sum; the parent is then the latest span opened one level up, a second running
-    aggregate by (trace, level). The root takes part as the span open at level 0, so no join
-    brings in its id. Spans close in reverse order of opening; they are recorded at their close.
-
-    ``events``: trace_id, seq, op, span_id, name, kind, started_at, duration_ms.
-    ``roots``: trace_id, span_id, traceparent, name, started_at, duration_ms.
+    A trace is cut into segments. Within one, an event's parent is the last span opened one level up
+    before it. What a segment leaves open, asks of earlier ones, adds to the depth and records is a row
+    per level; along the trace these rows give each segment its depth, the spans open at the levels it
+    asks for, and how many were recorded before. Only ids and numbers are shuffled, once by segment.
     """
-    segment = sequence_segment("seq") if segment is None else segment
-    columns = ["trace_id", "seq", "op", "span_id", "name", "kind", "started_at", "duration_ms"]
+    op, own = F.col("op"), ["trace_id", SEGMENT]
+    before = Window.partitionBy(*own).orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    upto = before.rowsBetween(Window.unboundedPreceding, 0)
+    delta = F.when(op == "open", 1).when(op == "close", -1).otherwise(0).cast("long")
+    above = F.coalesce(F.sum(delta).over(before), F.lit(0))
+    records = op.isin("close", "leaf").cast("long")
+    steps = events.select("trace_id", segment.alias(SEGMENT), "seq", "op", "span_id").filter(op.isin("open", "close", "leaf"))
+    steps = steps.select("*", above.alias("above"), delta.alias("delta"), records.alias("records"), F.sum(records).over(upto).alias("recorded"))
+
+    def role(level: Column, offers: bool, counts: bool) -> Column:
+        return F.struct(level.cast("long").alias("level"), F.lit(offers).alias("offers"), F.lit(counts).alias("counts"))
+
+    # An opening offers itself on its level and looks one level up, as a leaf does.
+    level = F.col("above")
+    roles = F.when(op == "open", F.array(role(level + 1, True, True), role(level, False, False))).otherwise(F.array(role(level, False, True)))
+    on_level = Window.partitionBy(*own, "level").orderBy("seq", "offers").rowsBetween(Window.unboundedPreceding, 0)
+    offered = F.when(F.col("offers"), F.col("span_id"))
+    seen = steps.select("*", F.inline(roles)).withColumn("local", F.last(offered, ignorenulls=True).over(on_level))
+
+    once = F.col("counts").cast("long")
+    asks = ~F.col("offers") & (op != "close") & F.col("local").isNull()
+    levels = seen.groupBy(*own, "level").agg(
+        F.sum(F.col("delta") * once).alias("delta"),
+        F.sum(F.col("records") * once).alias("records"),
+        F.max_by("span_id", F.when(F.col("offers"), F.col("seq"))).alias("offered"),
+        F.max(asks).alias("asks"),
+    )
+    root_facts = F.struct("span_id", "duration_ms")
     root_rows = roots.select(
-        "trace_id", F.lit(_BEFORE_ALL).cast("long").alias("seq"), F.lit("root").alias("op"), "span_id", "name",
-        F.lit("controller").alias("kind"), "started_at", "duration_ms",
-        traceparent.parse(F.col("traceparent"))["parent_span_id"].alias("remote_parent"),
+        "trace_id", F.lit(_BEFORE_ALL).cast("long").alias(SEGMENT), F.lit(0).cast("long").alias("level"),
+        F.col("span_id").alias("offered"), root_facts.alias("root"),
     )
-    op = F.col("op")
-    laid_out = events.select(*columns, F.lit(None).cast("string").alias("remote_parent")).unionByName(root_rows)
-    delta = F.when(op == "open", 1).when(op == "close", -1).otherwise(0)
-    deep = running(
-        laid_out, ["trace_id"], ["seq"], segment, {"depth": ("sum", delta)}, include_current=False
-    ).withColumn("depth", F.coalesce("depth", F.lit(0)))
-
-    # Each open span and the root offers itself at its own level; open spans and leaves look one
-    # level up. A close looks up the root, which is its parent if its opening was lost.
-    def role(level: Column, offers: bool) -> Column:
-        return F.struct(level.cast("long").alias("level"), F.lit(offers).alias("offers"))
-
-    root_level, above, own = F.lit(0), F.col("depth"), F.col("depth") + 1
-    roles = (
-        F.when(op == "root", F.array(role(root_level, True)))
-        .when(op == "open", F.array(role(own, True), role(above, False)))
-        .when(op == "leaf", F.array(role(above, False)))
-        .otherwise(F.array(role(root_level, False)))
-    )
-    found = running(
-        deep.select("*", F.inline(roles)), ["trace_id", "level"], ["seq", "offers"], segment,
-        {"found": ("last", F.when(F.col("offers"), F.col("span_id")))},
+    whole = Window.partitionBy("trace_id")
+    earlier = whole.orderBy(SEGMENT).rangeBetween(Window.unboundedPreceding, -1)
+    higher = Window.partitionBy("trace_id", "absolute").orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
+    along = (
+        levels.unionByName(root_rows, allowMissingColumns=True)
+        .withColumns({"absolute": F.coalesce(F.sum("delta").over(earlier), F.lit(0)) + F.col("level"),
+                      "before": F.coalesce(F.sum("records").over(earlier), F.lit(0)), "root": F.max("root").over(whole)})
+        .withColumn("open", F.last("offered", ignorenulls=True).over(higher))
+        .groupBy(*own)
+        .agg(
+            F.map_from_entries(F.collect_list(F.when(F.col("asks") & F.col("open").isNotNull(), F.struct("level", "open")))).alias("open"),
+            F.max("before").alias("before"),
+            F.max("root").alias("root"),
+        )
+    )
+    placed = seen.filter(~F.col("offers")).join(along, own)
+    parent = F.coalesce("local", F.try_element_at("open", F.col("level")), "root.span_id")
+    first = F.lit(True) if cap is None else F.col("before") + F.col("recorded") < cap
+    return placed.select(
+        "trace_id", "span_id", "root",
+        F.when(op == "open", parent).alias("at_open"),
+        F.when(op == "leaf", parent).when(op == "close", F.col("root.span_id")).alias("else_parent"),
+        (first & (F.col("records") == 1)).alias("kept"),
     )
 
-    # A span is its closing row with the parent found at its opening.
-    parent_at_open = F.max(F.when((op == "open") & ~F.col("offers"), F.col("found")))
-    parent = F.when(op == "root", F.col("remote_parent")).otherwise(F.col("found"))
-    record = F.struct(
-        F.struct("name", "kind", "started_at", "duration_ms", "seq").alias("span"),
-        parent.alias("parent_span_id"),
-        (op == "root").alias("is_root"),
-    )
+
+def _trees(events: DataFrame, roots: DataFrame, segment: Column | None, cap: int | None, threshold_ms: float | None) -> DataFrame:
+    segment = sequence_segment("seq") if segment is None else segment
+    extra = [c for c in ("data",) if c in events.columns]
+    columns = ["name", "kind", "started_at", "duration_ms", "seq", *extra]
+    found = _found_parents(events, roots, segment, cap)
+    records = events.filter(F.col("op").isin("close", "leaf")).select("trace_id", "span_id", F.struct(*columns).alias("span"))
+    if threshold_ms is not None:
+        found = found.filter(F.col("root.duration_ms") >= threshold_ms)
+        roots = roots.filter(F.col("duration_ms") >= threshold_ms)
+    # A map can't be compared: of several records of one span, that of the latest number stays.
     spans = (
-        found.groupBy("trace_id", "span_id")
-        .agg(parent_at_open.alias("parent_at_open"), F.max(F.when(op != "open", record)).alias("record"))
-        .filter(F.col("record").isNotNull())
-    )
-    return spans.select(
-        "trace_id",
-        "span_id",
-        F.coalesce("parent_at_open", "record.parent_span_id").alias("parent_span_id"),
-        "record.span.*",
-        "record.is_root",
-    )
+        found.drop("root").unionByName(records, allowMissingColumns=True)
+        .groupBy("trace_id", "span_id")
+        .agg(
+            F.coalesce(F.max("at_open"), F.max("else_parent")).alias("parent_span_id"),
+            F.max("kept").alias("kept"),
+            F.max_by("span", F.col("span.seq")).alias("span"),
+        )
+        .filter(F.col("kept") & F.col("span").isNotNull())
+        .select("trace_id", "span_id", "parent_span_id", "span.*", F.lit(False).alias("is_root"))
+    )
+    root_spans = roots.select(
+        "trace_id", "span_id", traceparent.parse(F.col("traceparent"))["parent_span_id"].alias("parent_span_id"),
+        "name", F.lit("controller").alias("kind"), "started_at", "duration_ms", F.lit(_BEFORE_ALL).cast("long").alias("seq"),
+        *[F.create_map().cast("map<string,string>").alias(c) for c in extra], F.lit(True).alias("is_root"),
+    )
+    return spans.unionByName(root_spans)
+
+
+def span_tree(events: DataFrame, roots: DataFrame, *, segment: Column | None = None) -> DataFrame:
+    """Recorded spans with their parents, from ``open``, ``close`` and ``leaf`` events.
+
+    A span's parent is the span open just beneath it when it started, else the root; a close whose
+    opening was lost is a span under the root. Spans close in reverse order of opening; they are
+    recorded at their close. Segments of a trace are matched side by side, so a trace of any length is
+    spread over tasks; wide rows are shuffled once, to meet their parent. Rows without trace_id are left out.
+
+    ``events``: trace_id, seq, op, span_id, name, kind, started_at, duration_ms and, if there is, data.
+    ``roots``: trace_id, span_id, traceparent, name, started_at, duration_ms.
+    """
+    return _trees(events, roots, segment, None, None)
+
+
+def captured_traces(
+    events: DataFrame, roots: DataFrame, *, cap: int, threshold_ms: float = THRESHOLD_MS, strict: bool = False, segment: Column | None = None
+) -> DataFrame:
+    """:func:`span_tree`, :func:`trace_capture`, :func:`span_cap` and :func:`span_normalize` as one job.
+
+    Whether a trace's root is slow and how many spans were recorded before a segment come to the
+    segments with their depth, so all four rest on one exchange by trace, of a row per segment and
+    level. Names and statements are cleaned in what is left. Inputs as for :func:`span_tree`.
+    """
+    if "data" not in events.columns:
+        events = events.withColumn("data", F.create_map().cast("map<string,string>"))
+    return span_normalize(_trees(events, roots, segment, cap, threshold_ms), strict=strict)
 
 
 def _database_data(data: Column) -> Column:
@@ -134,14 +195,42 @@ def trace_breakdown(spans: DataFrame) -> DataFrame:
 _TRACE_ORDER = ["started_at", "seq"]
 
 
-def mark_nested(traces: DataFrame, segment: Column) -> DataFrame:
-    """Traces with ``is_nested``: whether an earlier one of the thread was still open."""
-    seen = running(
-        traces, ["thread_id"], _TRACE_ORDER, segment,
-        {"open_until": ("max", F.col("ended_at"))}, include_current=False,
+def outermost(timeline: DataFrame, order: list[str], segment: Column, what: Column) -> DataFrame:
+    """A thread's timeline with ``is_nested`` (an earlier trace was still open) and ``outer``, ``what``
+    of the last trace so far that isn't nested. Rows without ``started_at`` are no traces.
+
+    A stretch of traces is summed up by its latest end and its last trace that none of the stretch
+    encloses. That one is outermost if no earlier stretch reaches beyond its start, and if one does,
+    that one encloses all others of the stretch too, which started before.
+    """
+    started, end = F.col("__started"), F.col("__ended")
+
+    def nested(_, before) -> Column:
+        return F.coalesce(started < F.max(end).over(before), F.lit(False))
+
+    begun = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], started.alias("started"), F.col("__what").alias("what"))
+    return chained(
+        timeline, ["thread_id"], order, segment,
+        {"__started": F.col("started_at"), "__ended": F.col("ended_at"), "__what": what},
+        local=[
+            {"__nested": nested},
+            {"__begun": lambda *_: F.when(started.isNotNull() & ~F.col("__nested"), begun)},
+        ],
+        summary={"until": F.max("__ended"), "begun": F.max("__begun")},
+        carry=[
+            {"__ended": lambda w: F.max("__of_until").over(w)},
+            {"__at": lambda _: F.when(~F.coalesce(F.col("__of_begun.started") < end, F.lit(False)), F.col("__of_begun.what"))},
+            {"__what": lambda w: F.last("__at", ignorenulls=True).over(w)},
+        ],
+        final=[
+            {"is_nested": nested},
+            {
+                "outer": lambda upto, _: F.last(
+                    F.when(F.col("is_carry") | (started.isNotNull() & ~F.col("is_nested")), F.col("__what")), ignorenulls=True
+                ).over(upto)
+            },
+        ],
     )
-    nested = F.coalesce(F.col("started_at") < F.col("open_until"), F.lit(False))
-    return seen.withColumn("is_nested", nested).drop("open_until")
 
 
 def trace_collapse(traces: DataFrame, *, segment: Column | None = None) -> DataFrame:
@@ -151,9 +240,8 @@ def trace_collapse(traces: DataFrame, *, segment: Column | None = None) -> DataF
     ``traces``: thread_id, seq, trace_id, root_name, traceparent, started_at, ended_at.
     """
     segment = time_segment("started_at") if segment is None else segment
-    outer = F.when(~F.col("is_nested"), F.col("trace_id"))
     return (
-        running(mark_nested(traces, segment), ["thread_id"], _TRACE_ORDER, segment, {"outer": ("last", outer)})
+        outermost(traces, _TRACE_ORDER, segment, F.col("trace_id"))
         .withColumn("kind", F.when(F.col("is_nested"), "service").otherwise("controller"))
         .withColumn("traceparent", F.when(~F.col("is_nested"), F.col("traceparent")))
         .withColumnRenamed("trace_id", "own_trace_id")

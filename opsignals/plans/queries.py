@@ -634,6 +634,43 @@ def span_tree(spark, sf_dir):
     return tree.select("trace_id", "span_id", "parent_span_id", "name", "kind", "seq")
 
 
+_CLOSED = """, opens AS (
+         SELECT o.trace_id, o.span_id, o.op, o.name, o.kind, o.duration_ms, o.seq, coalesce(c.seq, o.seq) AS recorded, c.seq AS closed_seq
+         FROM span_events o LEFT JOIN span_events c
+           ON c.trace_id = o.trace_id AND c.span_id = o.span_id AND c.op = 'close'
+         WHERE o.op IN ('open', 'leaf'))"""
+
+
+@query(
+    "captured_traces",
+    _CLOSED
+    + """, slow AS (SELECT * FROM root_spans WHERE duration_ms >= 1000),
+       ranked AS (
+         SELECT *, row_number() OVER (PARTITION BY trace_id ORDER BY recorded) AS rn
+         FROM opens WHERE op = 'leaf' OR closed_seq IS NOT NULL),
+       parents AS (
+         SELECT i.trace_id, i.span_id, arg_max(p.span_id, p.seq) AS parent
+         FROM opens i JOIN opens p ON p.trace_id = i.trace_id AND p.op = 'open'
+          AND p.seq < i.seq AND p.closed_seq > i.seq
+         GROUP BY i.trace_id, i.span_id)
+       SELECT k.trace_id, k.span_id, coalesce(p.parent, r.span_id) AS parent_span_id, k.name,
+              CASE WHEN k.kind = 'db' THEN 'other' ELSE k.kind END AS kind, round(k.duration_ms * 100) / 100 AS duration_ms, false AS is_root
+       FROM ranked k JOIN slow r USING (trace_id) LEFT JOIN parents p ON p.trace_id = k.trace_id AND p.span_id = k.span_id
+       WHERE rn <= 3
+       UNION ALL
+       SELECT trace_id, span_id,
+              CASE WHEN CAST(trace_id AS BIGINT) % 6 IN (3, 4, 5) AND substring(trim(traceparent), 4, 32) <> repeat('0', 32)
+                   THEN regexp_extract(traceparent, '-([0-9]{16})-', 1) END,
+              name, 'controller', round(duration_ms * 100) / 100, true
+       FROM slow""",
+    ("span_events", "root_spans"),
+)
+def captured_traces(spark, sf_dir):
+    rows = view(spark, sf_dir, "span_events"), view(spark, sf_dir, "root_spans")
+    kept = traces.captured_traces(*rows, cap=4, segment=sequence_segment("seq", 10**18))
+    return kept.select("trace_id", "span_id", "parent_span_id", "name", "kind", "duration_ms", "is_root")
+
+
 @query(
     "trace_collapse",
     """, seen AS (

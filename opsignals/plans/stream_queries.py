@@ -19,17 +19,18 @@ _DISORDER = timedelta(days=2)
 
 def _events(spark, sf_dir) -> DataFrame:
     """The events table as a stream of four micro-batches. Their times overlap by a day, so rows come
-    out of order and carried state is used."""
+    out of order and carried state is used. Each quarter is written by as many tasks as the session
+    shuffles with and read as one micro-batch."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     day = F.unix_date(F.col("ts").cast("date")) + F.pmod(F.xxhash64("event_id"), F.lit(2))
     first, last = events.agg(F.min(day), F.max(day)).first()
-    folder = shared_folder(spark, "events")
+    folder, files = shared_folder(spark, "events"), int(spark.conf.get("spark.sql.shuffle.partitions"))
     for k in range(4):
         share = events.filter(F.lit(False)) if first is None else events.filter(
             F.floor((day - first) * 4 / (last - first + 1)) == k
         )
-        share.coalesce(1).write.mode("append").parquet(folder)
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        share.repartition(files).write.mode("append").parquet(folder)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(folder)
 
 
 def _stream_view(spark, sf_dir, name: str, time: str) -> DataFrame:
@@ -68,16 +69,17 @@ def stream_perf_rollup(spark, sf_dir):
 
 @query(
     "stream_change_dedupe",
-    """SELECT id, CAST(NULL AS BIGINT) AS change_id FROM changes WHERE id IS NOT NULL GROUP BY id
+    """SELECT id, arg_min(change_id, (occurred_at, change_id)) AS change_id FROM changes WHERE id IS NOT NULL GROUP BY id
        UNION ALL SELECT id, change_id FROM changes WHERE id IS NULL""",
     ("changes",),
 )
 def stream_change_dedupe(spark, sf_dir):
-    kept = jobs.stream_change_dedupe(_stream_view(spark, sf_dir, "changes", "occurred_at"), delay="3 days")
-    # Which copy of an id arrives first is up to the stream; that there is one of each is not.
-    return _written(spark, kept, "change-dedupe").select(
-        "id", F.when(F.col("id").isNull(), F.col("change_id")).alias("change_id")
-    )
+    rows = _stream_view(spark, sf_dir, "changes", "occurred_at")
+    folder = shared_folder(spark, "change-dedupe")
+    firsts = jobs.stream_first_changes(rows, delay="3 days")
+    jobs.write_updates(firsts, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    without = _written(spark, rows.filter(F.col("id").isNull()).select("id", "change_id"), "changes-without-id")
+    return jobs.first_changes(spark, f"{folder}/out").select("id", "change_id").unionByName(without)
 
 
 _TRACE_STEPS = """SELECT CAST(event_id AS STRING) AS trace_id, CAST(ts AS TIMESTAMP) AS ended_at, value * 60 AS duration_ms,
@@ -103,7 +105,7 @@ def stream_trace_capture(spark, sf_dir):
     )
     folder = shared_folder(spark, "trace-capture")
     jobs.stream_trace_capture(
-        spans, f"{folder}/out", f"{folder}/state", f"{folder}/checkpoint", expire=_DISORDER
+        spans, f"{folder}/out", f"{folder}/state", f"{folder}/checkpoint", expire=2 * _DISORDER
     ).awaitTermination()
     return spark.read.parquet(f"{folder}/out").select("trace_id", "minutes")
 

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from opsignals.operators import delivery, metrics, perf
-from opsignals.streaming.state import CarriedState
+from opsignals.streaming.state import CarriedState, GrowingState
 
 
 def write_parquet(df: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
@@ -61,7 +62,8 @@ def stream_perf_rollup(timings: DataFrame, *, delay: str = "1 minute", period: s
 
 
 def stream_change_dedupe(changes: DataFrame, *, delay: str = "1 day") -> DataFrame:
-    """One row per idempotency id within the watermark; rows without one pass through."""
+    """One row per idempotency id within the watermark, the first to arrive, at once; rows without
+    one pass through. :func:`stream_first_changes` takes the first in event time instead."""
     timed = changes.withWatermark("occurred_at", delay)
     return (
         timed.filter(F.col("id").isNotNull())
@@ -70,6 +72,34 @@ def stream_change_dedupe(changes: DataFrame, *, delay: str = "1 day") -> DataFra
     )
 
 
+def stream_first_changes(
+    changes: DataFrame, *, order=("change_id",), delay: str = "1 day", horizon: str = "30 days"
+) -> DataFrame:
+    """The first row of each idempotency id in event time, whichever copy arrives first: id, the
+    horizon it is known for and ``change``, for :func:`write_updates`; :func:`first_changes` reads it.
+
+    State is the smallest row seen per id and horizon, combined before the shuffle, so an id that a
+    third of all rows have is one row per task. It is kept until the watermark passes the horizon.
+    ``order`` decides between copies of one time. Rows without an id are left out: they are all kept.
+    """
+    first = F.min_by(F.struct(*changes.columns), F.struct("occurred_at", *order))
+    return (
+        changes.filter(F.col("id").isNotNull())
+        .withWatermark("occurred_at", delay)
+        .groupBy("id", F.window("occurred_at", horizon).alias("horizon"))
+        .agg(first.alias("change"))
+        .select("id", F.col("horizon.start").alias("known_from"), "change")
+    )
+
+
+def first_changes(spark: SparkSession, out: str, *, order=("change_id",)) -> DataFrame:
+    """One row per id of what :func:`stream_first_changes` wrote: copies on both sides of the end of
+    a horizon count as one as well."""
+    known = latest(spark, out, ["id", "known_from"])
+    place = F.struct("change.occurred_at", *[f"change.{c}" for c in order])
+    return known.groupBy("id").agg(F.min_by("change", place).alias("change")).select("change.*")
+
+
 def stream_trace_capture(
     spans: DataFrame,
     out: str,
@@ -78,41 +108,61 @@ def stream_trace_capture(
     *,
     threshold_ms: float = 1000.0,
     expire: timedelta = timedelta(days=1),
+    salts: int = 8,
 ) -> StreamingQuery:
-    """Holds the spans of a trace until its root comes; a slow root releases all of them, however
-    long before it they started, and those that come after it; a fast one discards all.
-
-    Held spans and decided traces are tables, so a trace of any size is held. A trace whose newest
-    span is older than the newest span of all by ``expire`` is given up: without a root, its spans go
-    to ``<state>/expired``, and a root's verdict is forgotten. Input: trace_id, started_at, is_root,
-    duration_ms and whatever else a span has.
+    """Holds the spans of a trace until its root comes; a slow root releases all of them and those
+    that come after it, a fast one discards all.
+
+    A join of two streams, spans and roots, on the trace: Spark keeps either side by key in its state
+    store, a micro-batch touches the traces it has rows of, and what a watermark has passed is dropped
+    from the state. A span and its root may start half of ``expire`` apart, and rows may come out of
+    order by the other half. A span that no root came for is given up when the newest span of all is
+    ``expire`` newer and goes to ``<state>/expired``. Spans are dealt out by trace and one of ``salts``
+    numbers, and a root goes to each of them, so a trace of a third of all spans is held in ``salts``
+    parts. Of several roots of a trace the first decides.
+
+    Input: trace_id, started_at, is_root, duration_ms and whatever else a span has.
     """
-    session, kinds = spans.sparkSession, spans.schema
-    held = CarriedState(session, f"{state}/held", ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds))
-    decided = CarriedState(session, f"{state}/decided", "trace_id STRING, is_slow BOOLEAN, at TIMESTAMP")
-
-    def judge(batch: DataFrame, batch_id: int) -> None:
-        roots = batch.filter("is_root").select(
-            "trace_id", (F.col("duration_ms") >= threshold_ms).alias("is_slow"), F.col("started_at").cast("timestamp").alias("at")
+    half = int(expire.total_seconds() * 500)
+    plain = [f.name for f in spans.schema if f.dataType.simpleString()[:3] != "map"]
+    timed = spans.select(
+        F.struct("*").alias("span"),
+        "trace_id",
+        F.col("started_at").cast("timestamp").alias("at"),
+        F.pmod(F.xxhash64(*plain), F.lit(salts)).alias("salt"),
+    ).withWatermark("at", f"{half} milliseconds")
+    roots = (
+        spans.filter("is_root")
+        .select(
+            F.col("trace_id").alias("root_of"),
+            F.col("started_at").cast("timestamp").alias("root_at"),
+            (F.col("duration_ms") >= threshold_ms).alias("is_slow"),
         )
-        known = decided.before(batch_id).unionByName(roots)
-        known = known.groupBy("trace_id").agg(F.max("is_slow").alias("is_slow"), F.max("at").alias("at"))
-        pool = held.before(batch_id).unionByName(batch)
-        slow = known.filter("is_slow").select("trace_id")
-        pool.join(slow, "trace_id", "left_semi").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        waiting = pool.join(known.select("trace_id"), "trace_id", "left_anti")
-        newest = _newest(pool, "started_at")
-        newest = max((t for t in (newest, _newest(known, "at")) if t is not None), default=None)
-        end = F.lit(None if newest is None else newest - expire).cast("timestamp")
-        touched = waiting.groupBy("trace_id").agg(F.max("started_at").alias("touched"))
-        gone = touched.filter(F.col("touched").cast("timestamp") < end).select("trace_id")
-        waiting.join(gone, "trace_id", "left_semi").write.mode("overwrite").parquet(f"{state}/expired/batch={batch_id}")
-        held.save(batch_id, waiting.join(gone, "trace_id", "left_anti").select(*kinds.names))
-        decided.save(batch_id, known.filter(F.coalesce(F.col("at") >= end, F.lit(True))))
+        .withWatermark("root_at", f"{half} milliseconds")
+        .dropDuplicatesWithinWatermark(["root_of"])
+        .select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("root_salt"))
+    )
+    apart = F.expr(f"make_dt_interval(0, 0, 0, {half / 1000})")
+    judged = timed.join(
+        roots,
+        (F.col("trace_id") == F.col("root_of"))
+        & (F.col("salt") == F.col("root_salt"))
+        & (F.col("root_at") >= F.col("at") - apart)
+        & (F.col("root_at") <= F.col("at") + apart),
+        "left_outer",
+    ).select("span", "is_slow")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        # The join is evaluated once, for both outputs.
+        batch.persist()
+        batch.filter("is_slow").select("span.*").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        batch.filter("is_slow IS NULL").select("span.*").write.mode("overwrite").parquet(f"{state}/expired/batch={batch_id}")
+        batch.unpersist()
 
     return (
-        spans.writeStream.foreachBatch(judge)
+        judged.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
+        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
@@ -121,18 +171,43 @@ def stream_trace_capture(
 _COUNTS = "queue STRING, failures LONG, resets LONG, failures_at_reset LONG"
 
 
-def _judge(rows: DataFrame, before: DataFrame, folder: str) -> DataFrame:
-    """Writes the ledger of some attempts to a folder; the counts that come after them."""
-    delivery.retry_ledger(rows, carry_in=before).write.mode("overwrite").parquet(folder)
-    # All three only grow, so their largest value is the latest one.
-    reset_here = F.when(F.col("outcome") != "failed", F.col("failures"))
-    return (
-        rows.sparkSession.read.parquet(folder)
-        .select("queue", "failures", "resets", F.greatest(reset_here, "failures_at_reset").alias("failures_at_reset"))
-        .unionByName(before)
-        .groupBy("queue")
-        .agg(*[F.max(c).alias(c) for c in ("failures", "resets", "failures_at_reset")])
-    )
+class _Ledger:
+    """What the ledger of a stream keeps: the counts of each queue, the attempts that wait for their
+    time, and up to when attempts were judged.
+
+    Waiting attempts stay in the folder of the micro-batch that brought them and are never written
+    again: those judged are the ones up to the time judged, so a later micro-batch reads the stretch
+    between two times from the folders that reach into it.
+    """
+
+    def __init__(self, spark: SparkSession, out: str, state: str, schema: StructType):
+        self.spark, self.out, self.state, self.schema = spark, out, state, schema
+        self.counts = GrowingState(spark, f"{state}/counts", _COUNTS, ["queue"])
+        self.progress = CarriedState(spark, f"{state}/progress", "brought_by LONG, newest TIMESTAMP, judged_upto TIMESTAMP")
+
+    def before(self, batch_id: int) -> tuple[datetime | None, dict[int, datetime]]:
+        """The time judged up to, and the newest time of each folder that reaches beyond it."""
+        rows = self.progress.before(batch_id).collect()
+        return (rows[0].judged_upto if rows else None), {r.brought_by: r.newest for r in rows if r.brought_by is not None}
+
+    def waiting(self, folders: dict[int, datetime], after: datetime | None, upto: datetime | None) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], self.schema)
+        rows = self.spark.read.schema(self.schema).parquet(*[f"{self.state}/held/batch={n}" for n in sorted(folders)])
+        time = F.col("ts").cast("timestamp")
+        rows = rows if after is None else rows.filter(time > F.lit(after))
+        return rows if upto is None else rows.filter(time <= F.lit(upto))
+
+    def judge(self, rows: DataFrame, batch_id: int) -> None:
+        folder = f"{self.out}/batch={batch_id}"
+        delivery.retry_ledger(rows, carry_in=self.counts.before(batch_id)).write.mode("overwrite").parquet(folder)
+        # All three only grow, so their largest value is the latest one.
+        reset_here = F.when(F.col("outcome") != "failed", F.col("failures"))
+        judged = self.spark.read.parquet(folder).select(
+            "queue", "failures", "resets", F.greatest(reset_here, "failures_at_reset").alias("failures_at_reset")
+        )
+        touched = judged.groupBy("queue").agg(*[F.max(c).alias(c) for c in ("failures", "resets", "failures_at_reset")])
+        self.counts.save(batch_id, touched)
 
 
 def stream_retry_ledger(
@@ -142,24 +217,24 @@ def stream_retry_ledger(
     later, then judged in order, from the counts that earlier ones left; a hot queue is spread over
     segments as in batch. What comes after its time was judged goes to ``<state>/late``, unjudged.
     :func:`finish_retry_ledger` judges what a stream that has ended still holds."""
-    session = attempts.sparkSession
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in attempts.schema)
-    counts = CarriedState(session, f"{state}/counts", _COUNTS)
-    held = CarriedState(session, f"{state}/held", fields)
-    upto = CarriedState(session, f"{state}/upto", "ts TIMESTAMP")
+    kept = _Ledger(attempts.sparkSession, out, state, attempts.schema)
 
     def judge(batch: DataFrame, batch_id: int) -> None:
-        spark, judged_upto = batch.sparkSession, _newest(upto.before(batch_id), "ts")
+        batch.persist()
+        upto, folders = kept.before(batch_id)
         time = F.col("ts").cast("timestamp")
-        is_late = F.lit(False) if judged_upto is None else time <= F.lit(judged_upto)
-        batch.filter(is_late).write.mode("overwrite").parquet(f"{state}/late/batch={batch_id}")
-        pool = held.before(batch_id).unionByName(batch.filter(~is_late))
-        newest = _newest(pool, "ts")
-        end = judged_upto if newest is None else max(newest - delay, judged_upto or newest - delay)
+        in_time = F.lit(True) if upto is None else F.coalesce(time > F.lit(upto), F.lit(True))
+        newest = _newest(batch.filter(in_time).select(time.alias("ts")), "ts")
+        latest_of_all = max((t for t in (newest, *folders.values()) if t is not None), default=None)
+        end = upto if latest_of_all is None else max(latest_of_all - delay, upto or latest_of_all - delay)
         ready = F.lit(False) if end is None else time <= F.lit(end)
-        counts.save(batch_id, _judge(pool.filter(ready), counts.before(batch_id), f"{out}/batch={batch_id}"))
-        held.save(batch_id, pool.filter(~ready))
-        upto.save(batch_id, spark.createDataFrame([(end,)] if end is not None else [], "ts TIMESTAMP"))
+        batch.filter(~in_time).write.mode("overwrite").parquet(f"{state}/late/batch={batch_id}")
+        batch.filter(in_time & ~F.coalesce(ready, F.lit(False))).write.mode("overwrite").parquet(f"{state}/held/batch={batch_id}")
+        kept.judge(kept.waiting(folders, upto, end).unionByName(batch.filter(in_time & ready)), batch_id)
+        folders = {n: t for n, t in (folders | ({batch_id: newest} if newest else {})).items() if t > end}
+        rows = [(n, t, end) for n, t in folders.items()] or [(None, None, end)]
+        kept.progress.save(batch_id, batch.sparkSession.createDataFrame(rows, kept.progress.schema).coalesce(1))
+        batch.unpersist()
 
     return (
         attempts.writeStream.foreachBatch(judge)
@@ -170,20 +245,17 @@ def stream_retry_ledger(
 
 
 def finish_retry_ledger(spark: SparkSession, out: str, state: str) -> None:
-    """Judges the attempts that an ended stream still holds, as ``<out>/batch=<last + 1>``."""
+    """Judges the attempts that an ended stream still holds, as ``<out>/batch=<last + 1>``. Called
+    again, it does the same again."""
     try:
-        held = spark.read.parquet(f"{state}/held")
+        schema = spark.read.parquet(f"{state}/held").drop("batch").schema
     except AnalysisException:  # nothing ever came
         return
-    last = held.agg(F.max("batch")).first()[0]
-    counts = spark.read.parquet(f"{state}/counts")
-    if last is None:  # the last batches held nothing
-        return
-    newest = counts.agg(F.max("batch")).first()[0]
-    if newest is not None and newest > last:
-        return
-    before = counts.filter(F.col("batch") == last).drop("batch")
-    _judge(held.filter(F.col("batch") == last).drop("batch"), before, f"{out}/batch={last + 1}")
+    last = spark.read.parquet(f"{state}/progress").agg(F.max("batch")).first()[0]
+    kept = _Ledger(spark, out, state, schema)
+    upto, folders = kept.before(last + 1)
+    if folders:
+        kept.judge(kept.waiting(folders, upto, None), last + 1)
 
 
 def stream_metric_batches(
@@ -211,12 +283,11 @@ def stream_metric_batches(
 
     def place(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        before = carried.before(batch_id)
+        before = carried.before(batch_id).persist()
         end = F.col("batch_started_at") + F.expr(f"INTERVAL {period}")
         newest = _newest(before, "batch_started_at")
         closed = F.lit(False) if newest is None else end < F.lit(newest - timedelta(seconds=delay_seconds))
-        fresh = batch.withColumn("recorded_at", F.col("recorded_at").cast("timestamp"))
-        seen = metrics.metric_batch_counts(fresh, buffer, period=period, cap=2**62).select(*keys, F.col("kept").alias("seen"))
+        fresh = batch.withColumn("recorded_at", F.col("recorded_at").cast("timestamp")).persist()
         # At most cap rows per batch are left, so ranking them against what is taken is small.
         kept = metrics.metric_batches(fresh, buffer, period=period, cap=cap)
         joined = kept.join(before, [kept[k].eqNullSafe(before[k]) for k in keys], "left").select(
@@ -227,19 +298,24 @@ def stream_metric_batches(
         entries_folder = f"{out}/entries/batch={batch_id}"
         fits.drop("position", "taken").write.mode("overwrite").parquet(entries_folder)
 
-        taken = spark.read.parquet(entries_folder).groupBy(*keys).agg(F.count(F.lit(1)).alias("taken"))
+        # What came is counted once and what was kept read back; both are a row per batch then.
+        seen = metrics.metric_batch_counts(fresh, buffer, period=period, cap=2**62).select(*keys, F.col("kept").alias("seen"))
+        taken = spark.read.schema(fits.schema).parquet(entries_folder).groupBy(*keys).agg(F.count(F.lit(1)).alias("taken"))
         counts_folder = f"{out}/counts/batch={batch_id}"
-        seen.join(taken, [seen[k].eqNullSafe(taken[k]) for k in keys], "left").select(
+        counted = seen.join(taken, [seen[k].eqNullSafe(taken[k]) for k in keys], "left").select(
             *[seen[k] for k in keys],
             F.coalesce("taken", F.lit(0)).alias("kept"),
             (F.col("seen") - F.coalesce("taken", F.lit(0))).alias("dropped"),
-        ).write.mode("overwrite").parquet(counts_folder)
-
-        after = taken.unionByName(before).groupBy(*keys).agg(F.sum("taken").alias("taken"))
-        newest = max((t for t in (newest, _newest(taken, "batch_started_at")) if t is not None), default=None)
-        if newest is not None:
-            after = after.filter(end >= F.lit(newest - timedelta(seconds=delay_seconds)))
-        carried.save(batch_id, after)
+        )
+        counted.write.mode("overwrite").parquet(counts_folder)
+
+        counted = spark.read.schema(counted.schema).parquet(counts_folder).filter("kept > 0").select(*keys, F.col("kept").alias("taken"))
+        after = counted.unionByName(before).groupBy(*keys).agg(F.sum("taken").alias("taken")).persist()
+        newest = _newest(after, "batch_started_at")
+        open_still = after if newest is None else after.filter(end >= F.lit(newest - timedelta(seconds=delay_seconds)))
+        carried.save(batch_id, open_still)
+        for df in (after, fresh, before):
+            df.unpersist()
 
     return (
         entries.writeStream.foreachBatch(place)

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -37,3 +38,27 @@ class CarriedState:
 
     def save(self, batch_id: int, state: DataFrame) -> None:
         state.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+
+
+class GrowingState(CarriedState):
+    """One row per key whose values only grow. A batch writes the keys it touched, every ``whole``-th
+    one all of them, so what is written follows the batch and what is read stays a few folders."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, keys: list[str], whole: int = 16):
+        super().__init__(spark, path, schema)
+        self.keys, self.whole = keys, whole
+
+    def _largest(self, rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*self.keys).agg(*[F.max(c).alias(c) for c in rows.columns if c not in self.keys])
+
+    def before(self, batch_id: int) -> DataFrame:
+        if batch_id == 0:
+            return self.spark.createDataFrame([], self.schema)
+        first = (batch_id - 1) // self.whole * self.whole
+        folders = [f"{self.path}/batch={n}" for n in range(first, batch_id)]
+        return self._largest(self.spark.read.schema(self.schema).parquet(*folders))
+
+    def save(self, batch_id: int, state: DataFrame) -> None:
+        if batch_id % self.whole == 0:
+            state = self._largest(state.unionByName(self.before(batch_id)))
+        super().save(batch_id, state)
