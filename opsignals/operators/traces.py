@@ -17,95 +17,90 @@ STATEMENT, SYSTEM = "db.statement", "db.system"
 _BEFORE_ALL = -(2**62)
 
 
-def _found_parents(events: DataFrame, roots: DataFrame, segment: Column, cap: int | None) -> DataFrame:
-    """Brackets matched in parallel: trace_id, span_id and what each event says about its span:
-    ``at_open`` (the parent of an opening), ``else_parent`` (of a leaf, or the root for a close) and,
-    of what records a span, whether it is among the first ``cap - 1``; with the trace's root columns.
-
-    A trace is cut into segments. Within one, an event's parent is the last span opened one level up
-    before it. What a segment leaves open, asks of earlier ones, adds to the depth and records is a row
-    per level; along the trace these rows give each segment its depth, the spans open at the levels it
-    asks for, and how many were recorded before. Only ids and numbers are shuffled, once by segment.
-    """
-    op, own = F.col("op"), ["trace_id", SEGMENT]
-    before = Window.partitionBy(*own).orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    upto = before.rowsBetween(Window.unboundedPreceding, 0)
+_TRACE_SEGMENT = ["trace_id", SEGMENT]
+
+
+def _stepped(events: DataFrame, segment: Column, columns: list[str]) -> DataFrame:
+    """Events by segment, with the depth before them and after them as the segment alone tells, the level
+    they stand on (an opening) or ask about (a leaf, a close: that of their parent), how many spans the
+    segment recorded up to them, and the span last opened on that level before them, if it was here."""
+    op = F.col("op")
+    before = Window.partitionBy(*_TRACE_SEGMENT).orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     delta = F.when(op == "open", 1).when(op == "close", -1).otherwise(0).cast("long")
-    above = F.coalesce(F.sum(delta).over(before), F.lit(0))
     records = op.isin("close", "leaf").cast("long")
-    steps = events.select("trace_id", segment.alias(SEGMENT), "seq", "op", "span_id").filter(op.isin("open", "close", "leaf"))
-    steps = steps.select("*", above.alias("above"), delta.alias("delta"), records.alias("records"), F.sum(records).over(upto).alias("recorded"))
-
-    def role(level: Column, offers: bool, counts: bool) -> Column:
-        return F.struct(level.cast("long").alias("level"), F.lit(offers).alias("offers"), F.lit(counts).alias("counts"))
-
-    # An opening offers itself on its level and looks one level up, as a leaf does.
-    level = F.col("above")
-    roles = F.when(op == "open", F.array(role(level + 1, True, True), role(level, False, False))).otherwise(F.array(role(level, False, True)))
-    on_level = Window.partitionBy(*own, "level").orderBy("seq", "offers").rowsBetween(Window.unboundedPreceding, 0)
-    offered = F.when(F.col("offers"), F.col("span_id"))
-    seen = steps.select("*", F.inline(roles)).withColumn("local", F.last(offered, ignorenulls=True).over(on_level))
-
-    once = F.col("counts").cast("long")
-    asks = ~F.col("offers") & (op != "close") & F.col("local").isNull()
-    levels = seen.groupBy(*own, "level").agg(
-        F.sum(F.col("delta") * once).alias("delta"),
-        F.sum(F.col("records") * once).alias("records"),
-        F.max_by("span_id", F.when(F.col("offers"), F.col("seq"))).alias("offered"),
-        F.max(asks).alias("asks"),
+    rows = events.filter(op.isin("open", "close", "leaf")).select(*columns, segment.alias(SEGMENT), delta.alias("delta"))
+    depth = F.coalesce(F.sum("delta").over(before), F.lit(0))
+    recorded = F.sum(records).over(before.rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.select("*", depth.alias("depth"), recorded.alias("recorded"))
+    # An opening raises the level it stands on; a close asks about the level under the one it leaves.
+    rows = rows.withColumn("level", F.col("depth") + F.col("delta"))
+    on_level = Window.partitionBy(*_TRACE_SEGMENT, "level").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    opened = F.when(op == "open", F.col("span_id"))
+    return rows.withColumn("local", F.last(opened, ignorenulls=True).over(on_level))
+
+
+def _along_traces(events: DataFrame, roots: DataFrame, segment: Column) -> DataFrame:
+    """For each segment of a trace: the depth and the spans recorded before it, the spans that earlier
+    segments left open on the levels it asks about, and the trace's root.
+
+    A segment is summed up by the change of depth, what it records, the spans it leaves open and the
+    levels it asks earlier ones about: a row per segment, which is all that is shuffled by trace.
+    """
+    op = F.col("op")
+    rest = Window.partitionBy(*_TRACE_SEGMENT).orderBy("seq").rowsBetween(0, Window.unboundedFollowing)
+    steps = _stepped(events, segment, ["trace_id", "seq", "op", "span_id"])
+    left_open = (op == "open") & (F.min(F.col("depth") + F.col("delta")).over(rest) >= F.col("level"))
+    summaries = (
+        steps.withColumn("left_open", left_open)
+        .groupBy(*_TRACE_SEGMENT)
+        .agg(
+            F.sum("delta").alias("delta"),
+            F.max("recorded").alias("records"),
+            F.collect_list(F.when(F.col("left_open"), F.struct("level", "span_id"))).alias("offers"),
+            F.collect_set(F.when((op != "open") & F.col("local").isNull(), F.struct("level", F.lit(None).cast("string").alias("span_id")))).alias("asks"),
+        )
     )
-    root_facts = F.struct("span_id", "duration_ms")
     root_rows = roots.select(
-        "trace_id", F.lit(_BEFORE_ALL).cast("long").alias(SEGMENT), F.lit(0).cast("long").alias("level"),
-        F.col("span_id").alias("offered"), root_facts.alias("root"),
+        "trace_id", F.lit(_BEFORE_ALL).cast("long").alias(SEGMENT), F.struct("span_id", "duration_ms").alias("root")
+    )
+    earlier = Window.partitionBy("trace_id").orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
+    placed = summaries.unionByName(root_rows, allowMissingColumns=True).select(
+        *_TRACE_SEGMENT, "offers", "asks",
+        F.coalesce(F.sum("delta").over(earlier), F.lit(0)).alias("before"),
+        F.coalesce(F.sum("records").over(earlier), F.lit(0)).alias("recorded_before"),
+        F.max("root").over(earlier).alias("root"),
     )
-    whole = Window.partitionBy("trace_id")
-    earlier = whole.orderBy(SEGMENT).rangeBetween(Window.unboundedPreceding, -1)
-    higher = Window.partitionBy("trace_id", "absolute").orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
-    along = (
-        levels.unionByName(root_rows, allowMissingColumns=True)
-        .withColumns({"absolute": F.coalesce(F.sum("delta").over(earlier), F.lit(0)) + F.col("level"),
-                      "before": F.coalesce(F.sum("records").over(earlier), F.lit(0)), "root": F.max("root").over(whole)})
-        .withColumn("open", F.last("offered", ignorenulls=True).over(higher))
-        .groupBy(*own)
+    # Level 0 is the root's; most traces have one segment, which asks about no other.
+    asked = F.filter(F.concat("offers", "asks"), lambda x: F.col("before") + x["level"] > 0)
+    levels = placed.filter("offers IS NOT NULL").select(
+        *_TRACE_SEGMENT, "before", "recorded_before", "root", F.inline_outer(asked)
+    )
+    on_level = Window.partitionBy("trace_id", F.col("before") + F.col("level")).orderBy(SEGMENT, F.col("span_id").isNotNull())
+    open_there = F.last("span_id", ignorenulls=True).over(on_level.rowsBetween(Window.unboundedPreceding, -1))
+    answer = F.when(F.col("span_id").isNull() & F.col("open").isNotNull(), F.struct("level", "open"))
+    return (
+        levels.withColumn("open", open_there)
+        .groupBy(*_TRACE_SEGMENT)
         .agg(
-            F.map_from_entries(F.collect_list(F.when(F.col("asks") & F.col("open").isNotNull(), F.struct("level", "open")))).alias("open"),
-            F.max("before").alias("before"),
-            F.max("root").alias("root"),
+            F.map_from_entries(F.collect_list(answer)).alias("open"),
+            *[F.first(c).alias(c) for c in ("recorded_before", "root")],
         )
-    )
-    placed = seen.filter(~F.col("offers")).join(along, own)
-    parent = F.coalesce("local", F.try_element_at("open", F.col("level")), "root.span_id")
-    first = F.lit(True) if cap is None else F.col("before") + F.col("recorded") < cap
-    return placed.select(
-        "trace_id", "span_id", "root",
-        F.when(op == "open", parent).alias("at_open"),
-        F.when(op == "leaf", parent).when(op == "close", F.col("root.span_id")).alias("else_parent"),
-        (first & (F.col("records") == 1)).alias("kept"),
-    )
+    )
 
 
 def _trees(events: DataFrame, roots: DataFrame, segment: Column | None, cap: int | None, threshold_ms: float | None) -> DataFrame:
     segment = sequence_segment("seq") if segment is None else segment
     extra = [c for c in ("data",) if c in events.columns]
-    columns = ["name", "kind", "started_at", "duration_ms", "seq", *extra]
-    found = _found_parents(events, roots, segment, cap)
-    records = events.filter(F.col("op").isin("close", "leaf")).select("trace_id", "span_id", F.struct(*columns).alias("span"))
+    facts = ["name", "kind", "started_at", "duration_ms", "seq", *extra]
+    rows = _stepped(events, segment, ["trace_id", "op", "span_id", *facts]).filter("op <> 'open'")
+    spans = rows.join(_along_traces(events, roots, segment), _TRACE_SEGMENT)
     if threshold_ms is not None:
-        found = found.filter(F.col("root.duration_ms") >= threshold_ms)
+        spans = spans.filter(F.col("root.duration_ms") >= threshold_ms)
         roots = roots.filter(F.col("duration_ms") >= threshold_ms)
-    # A map can't be compared: of several records of one span, that of the latest number stays.
-    spans = (
-        found.drop("root").unionByName(records, allowMissingColumns=True)
-        .groupBy("trace_id", "span_id")
-        .agg(
-            F.coalesce(F.max("at_open"), F.max("else_parent")).alias("parent_span_id"),
-            F.max("kept").alias("kept"),
-            F.max_by("span", F.col("span.seq")).alias("span"),
-        )
-        .filter(F.col("kept") & F.col("span").isNotNull())
-        .select("trace_id", "span_id", "parent_span_id", "span.*", F.lit(False).alias("is_root"))
-    )
+    if cap is not None:
+        spans = spans.filter(F.col("recorded_before") + F.col("recorded") < cap)
+    parent = F.coalesce("local", F.try_element_at("open", F.col("level")), "root.span_id")
+    spans = spans.select("trace_id", "span_id", parent.alias("parent_span_id"), *facts, F.lit(False).alias("is_root"))
     root_spans = roots.select(
         "trace_id", "span_id", traceparent.parse(F.col("traceparent"))["parent_span_id"].alias("parent_span_id"),
         "name", F.lit("controller").alias("kind"), "started_at", "duration_ms", F.lit(_BEFORE_ALL).cast("long").alias("seq"),
@@ -117,10 +112,11 @@ def _trees(events: DataFrame, roots: DataFrame, segment: Column | None, cap: int
 def span_tree(events: DataFrame, roots: DataFrame, *, segment: Column | None = None) -> DataFrame:
     """Recorded spans with their parents, from ``open``, ``close`` and ``leaf`` events.
 
-    A span's parent is the span open just beneath it when it started, else the root; a close whose
-    opening was lost is a span under the root. Spans close in reverse order of opening; they are
-    recorded at their close. Segments of a trace are matched side by side, so a trace of any length is
-    spread over tasks; wide rows are shuffled once, to meet their parent. Rows without trace_id are left out.
+    A leaf's parent is the span open when it came, else the root. Spans close in reverse order of
+    opening, so a close's parent is the span that is open beneath the one it closes. A span that never
+    closes is none; a close whose opening was lost counts as closing the innermost open span. Segments of
+    a trace are matched side by side, so a trace of any length is spread over tasks; wide rows are
+    shuffled once. Rows without trace_id are left out.
 
     ``events``: trace_id, seq, op, span_id, name, kind, started_at, duration_ms and, if there is, data.
     ``roots``: trace_id, span_id, traceparent, name, started_at, duration_ms.
