@@ -158,12 +158,25 @@ def error_trace_link(errors: DataFrame, spans: DataFrame) -> DataFrame:
     return per_trace.join(totals, "trace_id", "left")
 
 
-def issue_groups(errors: DataFrame, *, user: str = "user.id") -> DataFrame:
+def issue_groups(errors: DataFrame, *, user: str = "user.id", lg_k: int | None = None) -> DataFrame:
     """Errors grouped by class and message fingerprint: events, distinct users, first and last
-    seen, and the normalized message they share."""
+    seen, and the normalized message they share.
+
+    ``lg_k`` counts users by a sketch of 2**lg_k cells, kept in ``users_sketch``: one aggregate and no
+    row per user. Its standard error is 0.83 / sqrt(2**lg_k), 1.3 % for 12; small numbers are exact but
+    for rare collisions. Groups of parts of the errors are added up by :func:`merge_issue_groups`.
+    """
     normalized = errors.select(
         "exception_class", fingerprint.normalize(F.col("message")).alias("sample"), F.col(user).alias("user_id"), "occurred_at"
     )
+    if lg_k is not None:
+        grouped = normalized.groupBy("exception_class", "sample").agg(
+            F.count(F.lit(1)).alias("events"),
+            F.hll_sketch_agg(F.col("user_id").cast("string"), lg_k).alias("users_sketch"),
+            F.min("occurred_at").alias("first_seen"),
+            F.max("occurred_at").alias("last_seen"),
+        )
+        return _with_fingerprint(grouped.withColumn("users", F.hll_sketch_estimate("users_sketch")))
     # Grouped by the text itself, which is what the fingerprint stands for: one hash per issue, and
     # only fixed-width sums, so the aggregate stays in its hash map. Per user first: the distinct
     # count then works on one row per user, and a hot issue is spread over its users.
@@ -176,9 +189,26 @@ def issue_groups(errors: DataFrame, *, user: str = "user.id") -> DataFrame:
         F.min("first").alias("first_seen"),
         F.max("last").alias("last_seen"),
     )
+    return _with_fingerprint(grouped)
+
+
+def _with_fingerprint(grouped: DataFrame) -> DataFrame:
     return grouped.withColumn("message_fingerprint", fingerprint.hash_normalized(F.col("sample")))
 
 
+def merge_issue_groups(groups: DataFrame) -> DataFrame:
+    """Groups with sketches (of days, hosts or regions) added up: the same as grouping all their
+    errors at once with a sketch of that size. Messages are met by their fingerprints."""
+    merged = groups.groupBy("exception_class", "message_fingerprint").agg(
+        F.sum("events").alias("events"),
+        F.hll_union_agg("users_sketch").alias("users_sketch"),
+        F.min("first_seen").alias("first_seen"),
+        F.max("last_seen").alias("last_seen"),
+        F.min("sample").alias("sample"),
+    )
+    return merged.withColumn("users", F.hll_sketch_estimate("users_sketch"))
+
+
 def frame_rollup(
     errors: DataFrame, *, executable: str, text: str = "backtrace_text", max_lines: int | None = None
 ) -> DataFrame:

@@ -276,8 +276,83 @@ def outbound_calls(calls: DataFrame) -> DataFrame:
     )
 
 
-# Patterns are regexes tried on each distinct host, so their number is kept small.
-MAX_PATTERNS = 1000
+_GRAM = 3
+# Patterns that no text is known to be needed for are tried on every host, so many to a row.
+_TOGETHER, _BLOCKS = 64, 16
+_CUT = "\u0001"
+
+
+def _needed_grams(pattern: Column) -> Column:
+    """Three-character texts that whatever a regex finds must hold; empty where none is sure.
+
+    What may be absent or stands for several texts is cut out: character classes, groups, and every
+    character that a quantifier other than + follows. A regex that still has alternatives, nested
+    groups, flags, lookarounds or unusual escapes then has none.
+    """
+    quantified = r"(?:[?*]|\{[0-9,]*\})[?+]?"
+    text = pattern
+    for find, put in (
+        (r"\\[dDwWsS]", "."),  # stands for one character of several
+        (r"\[\^?[^\[\]\\]+\](?:" + quantified + r"|\+[?+]?)?", _CUT),
+        (r"\((?:\?:)?[^()?\[\]\\]*\)(?:" + quantified + r"|\+[?+]?)?", _CUT),
+        (r"(?:\\[.\-/]|[^\\])" + quantified, _CUT),
+        (r"\+[?+]?", _CUT),
+        (r"\\\.", "\u0002"),
+        (r"\\([\-/])", "$1"),
+        (r"[.^$]", _CUT),
+        ("\u0002", "."),
+    ):
+        text = F.regexp_replace(text, find, put)
+    grams = F.flatten(
+        F.transform(
+            F.filter(F.split(text, _CUT), lambda run: F.length(run) >= _GRAM),
+            lambda run: F.transform(F.sequence(F.lit(1), F.length(run) - (_GRAM - 1)), lambda i: F.substr(run, i, F.lit(_GRAM))),
+        )
+    )
+    # Uppercase text is in no lowercased host; flags could make it match, and they are left over then.
+    odd = text.rlike(r"[\\()\[\]{}|?*+]") | F.contains(pattern, F.lit("\\\\"))
+    return F.when(odd, F.array().cast("array<string>")).otherwise(grams)
+
+
+def _host_grams(host: Column) -> Column:
+    last = F.length(host) - (_GRAM - 1)
+    return F.when(last >= 1, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.substr(host, i, F.lit(_GRAM)))))
+
+
+def _matched_hosts(hosts_: DataFrame, patterns: DataFrame) -> DataFrame:
+    """The hosts (host) that any of the patterns (pattern) is found in.
+
+    A pattern is filed under the rarest of the texts it needs, so it meets only hosts that hold that
+    text, in an equality join, and one whose texts no host holds meets none. Patterns that need
+    no text are joined to regexes of several alternatives and tried on every host, in blocks.
+    """
+    keyed = patterns.distinct().withColumn("grams", _needed_grams(F.col("pattern")))
+    held = hosts_.select("host", F.explode(_host_grams(F.col("host"))).alias("gram"))
+    often = held.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    needed = keyed.filter(F.size("grams") > 0).select("pattern", F.size(F.array_distinct("grams")).alias("needs"), F.explode(F.array_distinct("grams")).alias("gram"))
+    # A text that no host holds leaves its pattern with fewer than it needs.
+    filed = (
+        needed.join(often, "gram")
+        .groupBy("pattern")
+        .agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"), F.count(F.lit(1)).alias("found"), F.max("needs").alias("needs"))
+        .filter("found = needs")
+    )
+    indexed = held.join(filed.select("gram", "pattern"), "gram").filter(F.rlike("host", F.col("pattern"))).select("host")
+
+    free = keyed.filter(F.size("grams") == 0)
+    # A reference to a group, or a named one, would change its meaning inside another regex.
+    alone = F.col("pattern").rlike(r"\\[1-9kQ]|\(\?<[a-zA-Z]")
+    block = F.pmod(F.xxhash64("pattern"), F.lit(_BLOCKS))
+    number = F.row_number().over(Window.partitionBy(block).orderBy("pattern"))
+    at = F.when(alone, -number).otherwise(F.floor(number / _TOGETHER))
+    grouped = (
+        free.select("pattern", block.alias("block"), at.alias("at"))
+        .groupBy("block", "at")
+        .agg(F.array_join(F.transform(F.collect_list("pattern"), lambda p: F.concat(F.lit("(?:"), p, F.lit(")"))), "|").alias("pattern"))
+    )
+    blocks = hosts_.select("host", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(_BLOCKS - 1).cast("long"))).alias("block"))
+    tried = blocks.join(grouped, "block").filter(F.rlike("host", F.col("pattern"))).select("host")
+    return indexed.unionByName(tried).distinct()
 
 
 def propagation_audit(
@@ -288,26 +363,30 @@ def propagation_audit(
     No targets means everywhere, an empty list or table nowhere. Hosts are counted first; a host then
     meets the targets as its own dot-boundary suffixes, an equality join on distinct hosts. A table
     of targets has ``host`` and ``pattern``, one of them null; patterns are searched in the lowercased
-    host, and more than ``MAX_PATTERNS`` are an error.
+    host. There may be any number of either: nothing is collected, and a pattern meets the hosts that
+    hold the text it needs.
     """
     counted = calls.groupBy(hosts.url_host(F.col("url")).alias("host")).agg(F.count(F.lit(1)).alias("calls"))
     if not enabled or (targets is None and not patterns):
         return counted.withColumn("sent", F.lit(enabled))
     spark = calls.sparkSession
+
+    def listed(values, name: str) -> DataFrame:
+        return spark.range(1).select(F.explode(F.array(*[F.lit(v) for v in values]).cast("array<string>")).alias(name))
+
+    regexes = listed(patterns, "pattern") if patterns else None
     if isinstance(targets, DataFrame):
-        found = targets.filter(F.col("pattern").isNotNull()).select("pattern").distinct().limit(MAX_PATTERNS + 1).collect()
-        patterns = [*patterns, *(r.pattern for r in found)]
         named = targets.select("host")
+        in_table = targets.filter(F.col("pattern").isNotNull()).select("pattern")
+        regexes = in_table if regexes is None else in_table.unionByName(regexes)
     else:
-        named = spark.range(1).select(F.explode(F.array(*[F.lit(t) for t in targets or []]).cast("array<string>")).alias("host"))
-    if len(patterns) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} patterns")
+        named = listed(targets or [], "host")
     # An empty name or a bare dot names no domain.
     domain = F.regexp_replace(F.lower("host"), r"\A\.", "")
     domains = named.select(domain.alias("domain")).filter(F.col("domain") != "").distinct()
     suffixes = counted.select("host", F.explode(hosts.domain_suffixes(F.col("host"))).alias("domain"))
-    hits = suffixes.join(domains, "domain").select("host", F.lit(True).alias("is_target")).distinct()
-    sent = F.coalesce("is_target", F.lit(False))
-    for pattern in patterns:
-        sent = sent | F.coalesce(F.col("host").rlike(pattern), F.lit(False))
-    return counted.join(hits, "host", "left").select("host", "calls", sent.alias("sent"))
+    hits = suffixes.join(domains, "domain").select("host")
+    if regexes is not None:
+        hits = hits.unionByName(_matched_hosts(counted.filter(F.col("host").isNotNull()).select("host"), regexes))
+    hits = hits.distinct().withColumn("sent", F.lit(True))
+    return counted.join(hits, "host", "left").select("host", "calls", F.coalesce("sent", F.lit(False)).alias("sent"))

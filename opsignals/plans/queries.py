@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsignals.functions import latency
 from opsignals.operators import changes, delivery, errors, metrics, perf, privacy, statements, traces
-from opsignals.operators.running import sequence_segment
+from opsignals.operators.running import sequence_segment, time_segment
 from opsignals.plans import pii_sql
 from opsignals.plans.views import table, view, with_views
 from opsignals.sources import export, scan
+from opsignals.streaming import jobs
+from opsignals.streaming.state import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,17 +59,41 @@ def _histogram_sql(keys: str, source: str) -> str:
 
 @query(
     "signal_scan",
-    """SELECT event_type, count(*) AS lines,
-              CAST(sum(CASE WHEN json_valid(line) THEN 0 ELSE 1 END) AS BIGINT) AS corrupt,
-              round(sum(CASE WHEN json_valid(line) THEN CAST(json_extract_string(line, '$.duration_ms') AS DOUBLE) END), 2)
-                  AS duration_sum
-       FROM timing_lines GROUP BY event_type""",
+    """, counted AS (
+         SELECT event_type, count(*) AS lines,
+                CAST(sum(CASE WHEN json_valid(line) THEN 0 ELSE 1 END) AS BIGINT) AS corrupt,
+                round(sum(CASE WHEN json_valid(line) THEN CAST(json_extract_string(line, '$.duration_ms') AS DOUBLE) END), 2)
+                    AS duration_sum
+         FROM timing_lines GROUP BY event_type)
+       SELECT 'json' AS source, * FROM counted
+       UNION ALL SELECT 'stream', * FROM counted
+       UNION ALL SELECT 'parquet', event_type, lines - corrupt, 0, duration_sum FROM counted""",
     ("timing_lines",),
 )
 def signal_scan(spark, sf_dir):
-    parsed = scan.parse_lines(view(spark, sf_dir, "timing_lines"), "line", "timings")
+    folder = shared_folder(spark, "scan")
+    lines = view(spark, sf_dir, "timing_lines")
+    lines.select("event_type", F.col("line").alias("value")).write.partitionBy("event_type").text(f"{folder}/lines")
+
+    def landed(rows: DataFrame, source: str) -> DataFrame:
+        kind = F.regexp_extract("file", "event_type=([^/]+)", 1).alias("event_type")
+        return rows.select(F.lit(source).alias("source"), kind, "_corrupt_record", "duration_ms")
+
+    # The same files as a table, as a stream, and what was sound of them as Parquet.
+    files = f"{folder}/lines/event_type=*"
+    table_ = scan.signal_scan(spark, "timings", files, fmt="json").withColumn("file", F.input_file_name())
+    stream = scan.signal_scan(spark, "timings", files, fmt="json", streaming=True).withColumn("file", F.input_file_name())
+    stream = stream.select("file", "_corrupt_record", "duration_ms")
+    jobs.write_parquet(stream, f"{folder}/stream", f"{folder}/checkpoint").awaitTermination()
+    sound = table_.filter("_corrupt_record IS NULL").withColumn("event_type", F.regexp_extract("file", "event_type=([^/]+)", 1))
+    sound.drop("file", "_corrupt_record").write.partitionBy("event_type").parquet(f"{folder}/parquet")
+    typed = scan.signal_scan(spark, "timings", f"{folder}/parquet/event_type=*").select(
+        F.input_file_name().alias("file"), F.lit(None).cast("string").alias("_corrupt_record"), "duration_ms"
+    )
+    streamed = spark.read.schema(stream.schema).parquet(f"{folder}/stream")
+    rows = landed(table_, "json").unionByName(landed(streamed, "stream")).unionByName(landed(typed, "parquet"))
     bad = F.col("_corrupt_record").isNotNull()
-    return parsed.groupBy("event_type").agg(
+    return rows.groupBy("source", "event_type").agg(
         F.count(F.lit(1)).alias("lines"),
         F.sum(bad.cast("long")).alias("corrupt"),
         _money(F.sum(F.when(~bad, F.col("duration_ms")))).alias("duration_sum"),
@@ -121,14 +148,40 @@ def signal_gate(spark, sf_dir):
                UNION ALL SELECT trace_id, span_id, name, kind, started_at FROM child_spans)),
        trace_docs AS (SELECT trace_id, count(*) AS items,
                              length(trace_id) + length('{"trace_id":"","spans":[]}') + sum(n) + count(*) - 1 AS n
-                      FROM span_items GROUP BY trace_id)
+                      FROM span_items GROUP BY trace_id),
+       infra_items AS (
+         SELECT host, length('{"metric_name":"' || metric_name || '","value":' || CAST(value AS VARCHAR) || ',"hostname":"' || host
+                || '","recorded_at":"' || strftime(recorded_at, '%Y-%m-%dT%H:%M:%SZ') || '"}') AS n
+         FROM (SELECT *, coalesce(nullif(hostname, ''), server_name, '') AS host FROM infra_metrics) WHERE value IS NOT NULL),
+       infra_docs AS (SELECT count(*) AS items, ceil(count(*) / 50.0) AS documents, sum(n) AS body FROM infra_items GROUP BY host),
+       buckets AS (
+         SELECT route, environment, release, date_trunc('day', ts) AS d, BUCKET AS bucket, count(*) AS c, sum(duration_ms) AS s
+         FROM timings GROUP BY ALL),
+       sample_items AS (
+         SELECT environment, length('{"transaction_name":"' || route || '","environment":"' || environment || '","release":'
+                || coalesce('"' || release || '"', 'null') || ',"period_started_at":"' || strftime(d, '%Y-%m-%dT%H:%M:%SZ')
+                || '","period_ended_at":"' || strftime(d + INTERVAL 1 DAY, '%Y-%m-%dT%H:%M:%SZ')
+                || '","request_count":' || CAST(sum(c) AS VARCHAR) || ',"histogram":{'
+                || string_agg('"' || bucket || '":' || CAST(c AS VARCHAR), ',') || '}}') AS n
+         FROM buckets GROUP BY route, environment, release, d),
+       sample_docs AS (SELECT count(*) AS items, ceil(count(*) / 50.0) AS documents, sum(n) AS body FROM sample_items GROUP BY environment),
+       error_docs AS (
+         SELECT length('{"exception_class":"' || exception_class || '","message":' || CAST(to_json(message) AS VARCHAR)
+                || ',"occurred_at":"' || strftime(occurred_at, '%Y-%m-%dT%H:%M:%SZ') || '","environment":"' || environment
+                || '","release":' || coalesce('"' || release || '"', 'null') || ',"server_name":null}') AS n
+         FROM errors)
        SELECT 'custom_metrics' AS endpoint, CAST(sum(documents) AS BIGINT) AS documents,
               CAST(sum(items) AS BIGINT) AS items,
               CAST(sum(body + documents * length('{"metrics":[]}') + items - documents) AS BIGINT) AS characters
        FROM per_batch
+       UNION ALL SELECT 'infrastructure_metrics', CAST(sum(documents) AS BIGINT), CAST(sum(items) AS BIGINT),
+              CAST(sum(body + documents * length('{"metrics":[]}') + items - documents) AS BIGINT) FROM infra_docs
+       UNION ALL SELECT 'performance_samples', CAST(sum(documents) AS BIGINT), CAST(sum(items) AS BIGINT),
+              CAST(sum(body + documents * length('{"samples":[]}') + items - documents) AS BIGINT) FROM sample_docs
        UNION ALL SELECT endpoint, count(*), count(*), CAST(sum(n) AS BIGINT) FROM singles GROUP BY endpoint
-       UNION ALL SELECT 'spans', count(*), CAST(sum(items) AS BIGINT), CAST(sum(n) AS BIGINT) FROM trace_docs""",
-    ("metrics", "changes", "root_spans", "child_spans"),
+       UNION ALL SELECT 'events', count(*), count(*), CAST(sum(n) AS BIGINT) FROM error_docs
+       UNION ALL SELECT 'spans', count(*), CAST(sum(items) AS BIGINT), CAST(sum(n) AS BIGINT) FROM trace_docs""".replace("BUCKET", _BUCKET),
+    ("metrics", "changes", "root_spans", "child_spans", "infra_metrics", "timings", "errors"),
 )
 def wire_export(spark, sf_dir):
     entries = metrics.valid_metrics(view(spark, sf_dir, "metrics")).withColumn("h", F.date_trunc("hour", "recorded_at"))
@@ -136,16 +189,39 @@ def wire_export(spark, sf_dir):
         entries, "metrics", ["metric_name", "value", "environment", "release", "recorded_at"],
         ["environment", "release", "h"], ["recorded_at", "seq"], wrapper="metrics", max_items=5,
     )
-    change_docs = export.single_documents(
-        view(spark, sf_dir, "changes"), "changes", ["kind", "title", "environment", "occurred_at", "id"]
-    )
+    host = F.coalesce(F.nullif("hostname", F.lit("")), F.col("server_name"), F.lit(""))
+    readings = view(spark, sf_dir, "infra_metrics").filter("value IS NOT NULL").withColumn("hostname", host)
+    infra_docs = export.batched_documents(
+        readings, "infra_metrics", ["metric_name", "value", "hostname", "recorded_at"], ["hostname"], ["recorded_at", "seq"],
+        wrapper="metrics", segment=time_segment("recorded_at", 1440), max_items=50,
+    )
+    rolled = view(spark, sf_dir, "timings").withColumn("transaction_name", F.col("route"))
+    samples = perf.perf_rollup(rolled, "1 day")
+    sample_docs = export.batched_documents(
+        samples, "perf_samples",
+        ["transaction_name", "environment", "release", "period_started_at", "period_ended_at", "request_count", "histogram"],
+        ["environment"], ["period_started_at", "transaction_name", "release"],
+        wrapper="samples", segment=time_segment("period_started_at", 1440), max_items=50,
+    )
+    singles = {
+        "changes": ["kind", "title", "environment", "occurred_at", "id"],
+        "errors": ["exception_class", "message", "occurred_at", "environment", "release", "server_name"],
+    }
+    failed = view(spark, sf_dir, "errors").withColumn("server_name", F.lit(None).cast("string"))
+    rows = {"changes": view(spark, sf_dir, "changes"), "errors": failed}
     spans = _spans(spark, sf_dir).withColumn("parent_span_id", F.lit(None).cast("string"))
-    span_docs = export.trace_documents(spans, ["span_id", "name", "kind", "started_at", "parent_span_id"])
-    documents = metric_docs.unionByName(change_docs).unionByName(span_docs)
-    return documents.groupBy("endpoint").agg(
-        F.count(F.lit(1)).alias("documents"),
-        F.sum("items").alias("items"),
-        F.sum(F.length("document")).alias("characters"),
+    documents = export.trace_documents(spans, ["span_id", "name", "kind", "started_at", "parent_span_id"])
+    for more in (metric_docs, infra_docs, sample_docs, *[export.single_documents(rows[s], s, c) for s, c in singles.items()]):
+        documents = documents.unionByName(more)
+    # Written, committed and read again; the same batch a second time changes nothing.
+    folder = shared_folder(spark, "export")
+    for _ in range(2):
+        export.export_batch(documents, folder, "1")
+    lines = export.exported(spark, folder).groupBy("endpoint").agg(
+        F.count(F.lit(1)).alias("documents"), F.sum(F.length("value")).alias("characters")
+    )
+    return lines.join(export.committed(spark, folder).select("endpoint", "items"), "endpoint").select(
+        "endpoint", "documents", "items", "characters"
     )
 
 
@@ -888,6 +964,23 @@ def issue_groups(spark, sf_dir):
     return grouped.withColumns({"first_seen": _stamp("first_seen"), "last_seen": _stamp("last_seen")})
 
 
+@query(
+    "issue_groups_merged",
+    f""", normalized AS (SELECT *, {_normalize_sql("message")} AS sample FROM errors)
+       SELECT exception_class, substring(sha256(sample), 1, 32) AS message_fingerprint, count(*) AS events,
+              count(DISTINCT own_user) AS users, strftime(min(occurred_at), '%Y-%m-%d %H:%M:%S') AS first_seen,
+              strftime(max(occurred_at), '%Y-%m-%d %H:%M:%S') AS last_seen, min(sample) AS sample
+       FROM normalized GROUP BY 1, 2""",
+    ("errors",),
+)
+def issue_groups_merged(spark, sf_dir):
+    # Groups of each weekday, as daily tables would be, merged by their sketches.
+    raised = view(spark, sf_dir, "errors").withColumn("day", F.dayofweek("occurred_at"))
+    parts = [errors.issue_groups(raised.filter(F.col("day") == d), user="own_user", lg_k=16) for d in range(1, 8)]
+    merged = errors.merge_issue_groups(reduce(DataFrame.unionByName, parts)).drop("users_sketch")
+    return merged.withColumns({"first_seen": _stamp("first_seen"), "last_seen": _stamp("last_seen")})
+
+
 @query(
     "frame_rollup",
     r""", lines AS (SELECT error_id, unnest(string_split(backtrace_text, chr(10))) AS line FROM backtraces),

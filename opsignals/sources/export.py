@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -109,3 +110,47 @@ def trace_documents(spans: DataFrame, columns: Sequence[str], *, max_items: int
 def wire_export(documents: DataFrame, path: str, *, mode: str = "append") -> None:
     """Writes documents as JSON lines, one folder per endpoint."""
     documents.select("endpoint", F.col("document").alias("value")).write.mode(mode).partitionBy("endpoint").text(path)
+
+
+_MANIFEST = "endpoint string, documents long, items long, characters long, batch string"
+
+
+def export_batch(documents: DataFrame, path: str, batch: str) -> bool:
+    """Writes a batch of documents once: JSON lines by endpoint in ``<path>/documents/batch=<batch>``, and
+    then what it holds in ``<path>/manifest/batch=<batch>``, which is what makes it part of the export.
+
+    A batch that is in the manifest is left as it is, and False returned. One that failed half-way
+    has no manifest, isn't read, and is replaced when it is written again.
+    """
+    spark = documents.sparkSession
+    if not committed(spark, path).filter(F.col("batch") == batch).isEmpty():
+        return False
+    folder = f"{path}/documents/batch={batch}"
+    # Items are counted while the documents are written, not by evaluating them again.
+    seen = Observation()
+    totals = [F.sum(F.when(F.col("endpoint") == e, F.col("items"))).alias(e) for e in sorted({v[0] for v in ENDPOINTS.values()})]
+    lines = documents.observe(seen, *totals).select("endpoint", F.col("document").alias("value"))
+    lines.write.mode("overwrite").partitionBy("endpoint").text(folder)
+    items = F.create_map(*[F.lit(x) for e, n in seen.get.items() for x in (e, n or 0)])
+    written = spark.read.schema("value string, endpoint string").text(folder).groupBy("endpoint").agg(
+        F.count(F.lit(1)).alias("documents"), F.sum(F.length("value")).alias("characters")
+    )
+    held = written.select("endpoint", "documents", items[F.col("endpoint")].alias("items"), "characters")
+    held.coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest/batch={batch}")
+    return True
+
+
+def committed(spark: SparkSession, path: str) -> DataFrame:
+    """The manifest: endpoint, documents, items, characters and batch of what was exported."""
+    try:
+        return spark.read.schema(_MANIFEST).parquet(f"{path}/manifest")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _MANIFEST)
+
+
+def exported(spark: SparkSession, path: str) -> DataFrame:
+    """endpoint, batch and value (a JSON document) of all batches that the manifest holds."""
+    lines = spark.read.schema("value string, batch string, endpoint string").text(f"{path}/documents")
+    return lines.join(committed(spark, path).select("batch").distinct(), "batch", "left_semi")

@@ -1,6 +1,8 @@
 """Each job on a few rows whose result is worked out by hand."""
 
 import json
+import random
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -283,6 +285,24 @@ def test_calls_are_named_by_host_and_headers_go_to_targets(spark):
     assert sent(table) == {"api.example.com", "example.com", "1.2.3.4"} and sent(table.filter("false")) == set()
 
 
+def test_thousands_of_patterns_meet_the_hosts_they_may_match(spark):
+    rng = random.Random(7)
+    names = [f"{rng.choice(['api', 'www', 'cdn', 'x'])}{rng.randint(0, 400)}.{rng.choice(['shop', 'example', 'a-b'])}.{rng.choice(['com', 'org', 'io'])}" for _ in range(400)]
+    df = spark.createDataFrame([("GET", f"https://{n}/p", 1.0) for n in names], "method string, url string, duration_ms double")
+    patterns = [rf"^api{i}\.example\.com$" for i in range(9900)] + [rf"never{i}" for i in range(100)]
+    odd = [
+        r"^\d", r"[xw]\d{2,3}\.shop", r"(shop|example)\.io", r"cdn7?1\.", r"www1+\.a-b", r"a\-b\.(?:com)?org", r"(?i)WWW3.\.", r"x[0-4]{3}\.(ex)ample",
+        r"(.)\1\.io$", r"api\d+\.shop\.com|zzz", r"^x(?=9)", r"\bwww99\b", r"shopp*\.c.m$", r"Upper", r"ww{2}40", r"cdn\d\.", r"\\dx", r"a.*b\.io",
+    ]
+    for chosen in (patterns, odd, patterns + odd, odd[8:9], [r"cdn7?1\."], [r"www1+\.a-b"], [r"shopp*\.c.m$"], [r"ww{2}40"]):
+        table = spark.createDataFrame([(None, p) for p in chosen], "host string, pattern string")
+        audit = traces.propagation_audit(df, table)
+        want = {n for p in map(re.compile, chosen) for n in set(names) if p.search(n)}
+        assert {r.host for r in audit.filter("sent").collect()} == want, chosen[:5]
+    plan = audit._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 def user(i):
     return Row(id=i, email=None, username=None)
 
@@ -504,3 +524,104 @@ def test_documents_show_explicit_nulls_and_leave_the_rest_out(spark, tmp_path, r
 def test_histogram_text_is_in_bucket_order(spark):
     df = spark.createDataFrame([({"inf": 1, "50": 2, "2500": 3},)], "h map<string,long>")
     assert df.select(histogram_text(F.col("h")).alias("t")).first().t == "50:2,2500:3,inf:1"
+
+
+def test_a_batch_of_documents_is_exported_once(spark, tmp_path):
+    path = str(tmp_path / "export")
+    rows = [("m", float(i), "production", "r", at(i), i) for i in range(5)]
+    df = spark.createDataFrame(rows, SIGNALS["metrics"])
+    docs = export.batched_documents(df, "metrics", ["metric_name", "value"], ["environment"], ["recorded_at", "seq"], wrapper="metrics", max_items=2)
+    assert export.committed(spark, path).isEmpty()
+    # A batch that failed before its manifest is neither read nor added to.
+    docs.select("endpoint", F.col("document").alias("value")).write.partitionBy("endpoint").text(f"{path}/documents/batch=a")
+    assert export.export_batch(docs, path, "b") and export.exported(spark, path).count() == 3
+    assert export.export_batch(docs, path, "a") and not export.export_batch(docs, path, "a")
+    assert sorted(map(tuple, export.committed(spark, path).select("batch", "endpoint", "documents", "items").collect())) == [
+        ("a", "custom_metrics", 3, 5), ("b", "custom_metrics", 3, 5),
+    ]
+    read = [json.loads(r.value)["metrics"] for r in export.exported(spark, path).filter("batch = 'a'").collect()]
+    assert sorted(e["value"] for m in read for e in m) == [0.0, 1.0, 2.0, 3.0, 4.0]
+
+
+def test_sketches_of_parts_add_up_to_the_whole(spark):
+    rng = random.Random(3)
+    rows = [("E", f"code {rng.randint(0, 9)} at 0xff{i:04x}" if i % 3 else "plain", f"u{rng.randint(0, 4000)}", at(i)) for i in range(9000)]
+    df = spark.createDataFrame(rows, "exception_class string, message string, u string, occurred_at timestamp")
+    whole = {r.message_fingerprint: r for r in errors.issue_groups(df, user="u", lg_k=12).collect()}
+    parts = [errors.issue_groups(df.filter(F.pmod(F.hash("u", "message"), F.lit(3)) == k), user="u", lg_k=12) for k in range(3)]
+    merged = {r.message_fingerprint: r for r in errors.merge_issue_groups(parts[0].union(parts[1]).union(parts[2])).collect()}
+    exact = {r.message_fingerprint: r for r in errors.issue_groups(df, user="u").collect()}
+    for key, row in exact.items():
+        for other in (whole[key], merged[key]):
+            assert (other.events, other.first_seen, other.last_seen, other.sample) == (row.events, row.first_seen, row.last_seen, row.sample)
+            assert abs(other.users - row.users) <= 0.05 * row.users  # four standard errors
+        assert abs(merged[key].users - whole[key].users) <= 0.02 * row.users
+
+
+def test_a_thousand_errors_of_one_thread_cost_a_list_each(spark):
+    er = error(spark, *[{"error_id": i, "thread_id": "a", "seq": 2000 + i, "occurred_at": at(400 + i % 200)} for i in range(1000)])
+    steps = [("a", s, "clear" if s == 150 else "add") for s in range(0, 300, 2)]
+    trail = errors.breadcrumb_trail(er, crumbs(spark, *steps), limit=30)
+    kept = [f"m{i}" for i, (_, s, _) in enumerate(steps) if s > 150][-30:]
+    assert {tuple(b.message for b in r.breadcrumbs) for r in trail.collect()} == {tuple(kept)} and trail.count() == 1000
+    plan = trail._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and trail.columns == [*[c for c in er.columns if c != "breadcrumbs"], "breadcrumbs"]
+
+
+def test_whole_trails_equal_a_loop(spark):
+    rng = random.Random(12)
+    steps = [(rng.choice("abc"), i * 7 % 400 + i, rng.choice(["add"] * 9 + ["clear"])) for i in range(400)]
+    er = error(spark, *[{"error_id": i, "thread_id": rng.choice("abcd"), "seq": 1000 + i, "occurred_at": at(rng.randint(0, 800))} for i in range(200)])
+    for limit in (1, 3, 50):
+        got = {r.error_id: [b.message for b in r.breadcrumbs] for r in errors.breadcrumb_trail(er, crumbs(spark, *steps), limit=limit).collect()}
+        want = {}
+        for e in er.select("error_id", "thread_id", "seq", "occurred_at").collect():
+            mine = []
+            for i, (thread, s, op) in sorted(enumerate(steps), key=lambda x: (x[1][1], x[0])):
+                if thread == e.thread_id and (at(s), i) < (e.occurred_at, e.seq):
+                    mine = [] if op == "clear" else [*mine, f"m{i}"]
+            want[e.error_id] = mine[-limit:]
+        assert got == want
+
+
+def test_captured_traces_equal_the_four_jobs_one_after_another(spark):
+    rng = random.Random(6)
+    header = f"00-{'a' * 32}-{'b' * 16}-01"
+    events, roots = [], []
+    for t in range(60):
+        trace, seq, stack = f"t{t}", 0, []
+        roots.append((trace, f"{trace}-root", header, "GET /", at(t), rng.choice([10.0, 1000.0, 5000.0])))
+        for i in range(300 if t == 7 else rng.randint(0, 25)):
+            seq += rng.randint(1, 9)
+            kind = rng.choice(["service", "http", "odd"])
+            if stack and rng.random() < 0.4:
+                sid = stack.pop()
+                events.append((trace, None, seq, "close", sid, sid, kind, at(seq), rng.random(), {}))
+            else:
+                sid = f"{trace}-{i}"
+                op = rng.choice(["open", "leaf"])
+                stack += [sid] if op == "open" else []
+                events.append((trace, None, seq, op, sid, sid, kind, at(seq), rng.random(), {}))
+    ev = spark.createDataFrame(events, SIGNALS["span_events"])
+    ro = spark.createDataFrame(roots, "trace_id string, span_id string, traceparent string, name string, started_at timestamp, duration_ms double")
+    parent = {}
+    for trace in {e[0] for e in events}:
+        stack = [f"{trace}-root"]
+        for _, _, _, op, sid, *_ in sorted((e for e in events if e[0] == trace), key=lambda e: e[2]):
+            if op == "close":
+                stack.pop()
+            else:
+                parent[sid] = stack[-1]
+                stack += [sid] if op == "open" else []
+    from opsignals.operators.running import sequence_segment
+
+    for length in (3, 40, 10**6):
+        segment = sequence_segment("seq", length)
+        tree = traces.span_tree(ev, ro, segment=segment)
+        found = {r.span_id: r.parent_span_id for r in tree.filter("NOT is_root").collect()}
+        assert found == {s: p for s, p in parent.items() if s in {e[4] for e in events if e[3] != "open"}}
+        want = traces.span_normalize(traces.span_cap(traces.trace_capture(tree), cap=8))
+        got = traces.captured_traces(ev, ro, cap=8, segment=segment)
+        assert sorted(map(str, got.select(sorted(got.columns)).collect())) == sorted(map(str, want.select(sorted(got.columns)).collect()))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall(r"\bExchange hashpartitioning\(trace_id#\d+, \d+\)", plan)) == 1

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from opsignals.operators import metrics, perf
 from opsignals.sources.schemas import SIGNALS
 from opsignals.streaming import jobs
-from opsignals.streaming.state import CarriedState, shared_folder
+from opsignals.streaming.state import CarriedState, GrowingState, shared_folder
 from test_running import ledger_loop
 
 T0 = datetime(2024, 5, 1, 12, 0, 0)
@@ -171,3 +171,52 @@ def test_state_lives_in_the_folder_the_session_names(spark, tmp_path):
     assert shared_folder(Session("/shared/x/", "yarn"), "n").startswith("/shared/x/n-")
     with pytest.raises(ValueError):
         shared_folder(Session(None, "yarn"), "n")
+
+
+def test_the_first_change_in_event_time_wins(spark, tmp_path):
+    schema = "change_id long, id string, occurred_at timestamp, details map<string,string>"
+    inbox = Inbox(spark, tmp_path / "in", schema)
+    inbox.put([(1, "a", at(600), {}), (2, None, at(1), {}), (9, "c", at(50), {}), (8, "c", at(50), {})])
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+
+    def run():
+        firsts = jobs.stream_first_changes(inbox.stream(), delay="1 hour", horizon="1 day")
+        jobs.write_updates(firsts, out, checkpoint).awaitTermination()
+
+    run()
+    inbox.put([(3, "a", at(60), {"k": "v"}), (5, "b", at(2), {})])
+    inbox.put([(4, "a", at(700), {}), (6, "b", at(90_000), {})])  # the next horizon
+    run()
+    got = {r.id: (r.change_id, r.details) for r in jobs.first_changes(spark, out).collect()}
+    assert got == {"a": (3, {"k": "v"}), "b": (5, {}), "c": (8, {})}
+
+
+def test_growing_state_is_written_as_it_is_touched(spark, tmp_path):
+    state = GrowingState(spark, str(tmp_path / "s"), "queue STRING, n LONG", ["queue"], whole=3)
+    want = {}
+    for batch in range(8):
+        for _ in range(2):  # run again after a failure
+            assert {r.queue: r.n for r in state.before(batch).collect()} == want
+            touched = {f"q{batch % 3}": batch}
+            state.save(batch, spark.createDataFrame(list(touched.items()), "queue STRING, n LONG"))
+        want |= touched
+    sizes = [spark.read.parquet(f"{tmp_path}/s/batch={n}").count() for n in range(8)]
+    assert sizes == [1, 1, 1, 3, 1, 1, 3, 1]
+
+
+def test_traces_survive_a_restart_and_a_hot_one_is_spread(spark, tmp_path):
+    schema = "trace_id string, span_id string, started_at timestamp, is_root boolean, duration_ms double, data map<string,string>"
+    spans = Inbox(spark, tmp_path / "spans", schema)
+    out, state, checkpoint = (str(tmp_path / n) for n in ("out", "state", "checkpoint"))
+
+    def run():
+        jobs.stream_trace_capture(spans.stream(), out, state, checkpoint, expire=timedelta(hours=6), salts=4).awaitTermination()
+
+    spans.put([("hot", f"h{i}", at(i), False, 1.0, {"k": "v"}) for i in range(100)] + [("b", "b1", at(5), False, 1.0, {})])
+    run()
+    spans.put([("hot", "root", at(0), True, 2000.0, {}), ("b", "b0", at(0), True, 1.0, {})])
+    spans.put([("hot", "late", at(9), False, 1.0, None), ("hot", "root", at(0), True, 2000.0, {})])
+    run()
+    got = sorted(r.span_id for r in spark.read.parquet(out).collect())
+    assert got == sorted([*[f"h{i}" for i in range(100)], "late", "root", "root"])
+    assert spark.read.parquet(f"{state}/expired").count() == 0
