@@ -28,3 +28,16 @@ def components(links: DataFrame) -> DataFrame:
         state = fresh.select("node", "root")
         if fresh.filter("moved").isEmpty():
             return state
+
+
+def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The components of earlier ``links`` (node, root) with more links: only those between two
+    components count, one for each pair of them, so a link is walked once."""
+    a, b = (roots.select(F.col("node").alias(c), F.col("root").alias(f"of_{c}")) for c in ("a", "b"))
+    placed = links.select("a", "b").join(a, "a", "left").join(b, "b", "left")
+    ends = placed.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")).filter("a <> b").distinct()
+    more = components(ends)
+    known = roots.join(more.select(F.col("node").alias("root"), F.col("root").alias("now")), "root", "left")
+    known = known.select("node", F.coalesce("now", "root").alias("root"))
+    fresh = more.join(roots.select("node"), "node", "left_anti").select("node", "root")
+    return written(known.unionByName(fresh), "roots")

@@ -8,13 +8,13 @@ two documents agree in a draw with a probability equal to their weighted Jaccard
 draws make a band, and documents that share one of ten bands are candidates: 0.8 alike, they share
 one with a probability of 0.999.
 
-Texts of one digest are one node. In a band of up to ``PAIRED`` nodes all pairs are verified; in a
-larger one every node is verified against a leader, and in later rounds against some sixteen others
-and the node with most links, where these aren't in its component yet, until a round finds no more
-links. That joins groups of copies at little cost and finds no links for certain; the nodes of larger
-bands that still hold several components are then joined by prefixes of their weighted sets
-(``crowded_pairs``), which leaves out no pair that is alike. A verified pair has a weighted
-Jaccard similarity of ``threshold`` or more over the whole texts. Links give components.
+Texts of one digest are one node. A pair of a band is verified if its sets agree in enough of the 30
+draws, as they do but for one pair in a million that is alike. Bands of up to ``PAIRED`` nodes are
+compared as they are. In a larger one every node is compared with a leader, and then with the most
+likely of a few others that aren't in its component, as long as one pair in ten turns out alike. That joins groups of copies at little cost and finds no links for certain; the nodes of larger
+bands that hold several components are then joined by prefixes of their weighted sets
+(``crowded_pairs``), which leaves out no pair of two components that is alike. A verified pair has a weighted Jaccard similarity of
+``threshold`` or more over the whole texts. Links give components.
 
 A null text is an empty one; texts without words are near-duplicates of equal texts only, and texts
 of fewer than five words have one run of all. Repeated rows and repeated ids stay in the result;
@@ -34,14 +34,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from opsignals.llm.common import slices, small_batches, table, texts, written
-from opsignals.llm.components import components
+from opsignals.llm.components import components, merged
 from opsignals.llm.counting import chunk_batch, summed
 from opsignals.llm.words import hashed, mixed, runs, split_words
 
 RUN, THRESHOLD = 5, 0.8
 BANDS, ROWS = 10, 3
 WIDTH = 1 << 20
-PAIRED, ROUNDS = 16, 5
+PAIRED, LEADERS = 16, 8
 # A run in more sets than FEW is joined by classes of the sets' weights, each wider than the last by
 # CLASS; a key of more rows than CELL is joined in several cells.
 FEW, CLASS, CELL = 64, 1.03, 256
@@ -135,8 +135,25 @@ def weighted_jaccard(one: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray
     return shared / (total - shared) if total > shared else 1.0
 
 
+def least_agreement(threshold: float, draws: int = BANDS * ROWS, lost: float = 1e-6) -> int:
+    """In how many draws a pair must agree so that at most ``lost`` of the pairs that are alike do not."""
+    below = 0.0
+    for k in range(draws):
+        below += math.comb(draws, k) * threshold**k * (1 - threshold) ** (draws - k)
+        if below > lost:
+            return k
+    return draws
+
+
+def agreement(one: Column, other: Column) -> Column:
+    """In how many draws two sketches agree."""
+    same = F.zip_with(one, other, lambda x, y: (x == y).cast("int"))
+    return F.aggregate(same, F.lit(0), lambda n, x: n + x)
+
+
 def signatures(docs: DataFrame, idf: np.ndarray) -> DataFrame:
-    """doc_id, node (digest of the text) and bands of every document; no bands without words."""
+    """doc_id, node (digest of the text), bands and sketch (16 bits of each draw) of every document;
+    no bands without words."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler()
@@ -144,17 +161,20 @@ def signatures(docs: DataFrame, idf: np.ndarray) -> DataFrame:
             keys, weights, ends = weighted_runs(batch.column("text"), idf)
             filled = np.flatnonzero(np.diff(ends))
             bands: list = [[] for _ in range(batch.num_rows)]
+            sketch: list = [[] for _ in range(batch.num_rows)]
             if len(filled):
                 drawn = sampler.draw(keys, weights, np.append(ends[filled], ends[-1]))
                 band = runs_of_rows(drawn)
-                for i, row in zip(filled.tolist(), band.view(np.int64).tolist(), strict=True):
-                    bands[i] = row
+                short = (drawn >> np.uint64(48)).astype(np.uint16).view(np.int16)
+                for i, row, marks in zip(filled.tolist(), band.view(np.int64).tolist(), short.tolist(), strict=True):
+                    bands[i], sketch[i] = row, marks
             nodes = [hashlib.sha256(t.encode()).digest()[:16] for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(nodes, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "node", "bands"]
+                [batch.column("doc_id"), pa.array(nodes, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int16()))],
+                ["doc_id", "node", "bands", "sketch"],
             )
 
-    return texts(docs).mapInArrow(sign, "doc_id long, node binary, bands array<long>")
+    return texts(docs).mapInArrow(sign, "doc_id long, node binary, bands array<long>, sketch array<short>")
 
 
 def runs_of_rows(drawn: np.ndarray) -> np.ndarray:
@@ -263,20 +283,24 @@ def crowded_pairs(many: DataFrame, roots: DataFrame, chosen: DataFrame, idf: np.
     nodes = placed.join(apart, "key").select("node", "own").distinct()
     held = written(chosen.join(nodes, "node"), "crowded")
     rows = written(prefixes(held, idf, run_frequency(held, idf), threshold), "prefixes")
-    sizes = rows.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.min("own").alias("low"), F.max("own").alias("high"))
-    rows = rows.join(sizes.filter("low != high").select("run", F.ceil(F.col("n") / CELL).cast("int").alias("cells")), "run")
-    rows = rows.withColumn("cell", F.pmod(F.xxhash64("node"), F.col("cells")).cast("int"))
-    # Of a key's cells each meets itself and every later one, so that no task holds a whole hot key.
-    one = rows.select(*[F.col(c).alias(f"{c}_a") for c in rows.columns], F.explode(F.sequence("cell", F.col("cells") - 1)).alias("to"))
-    other = rows.select(*[F.col(c).alias(f"{c}_b") for c in rows.columns], F.explode(F.sequence(F.lit(0), "cell")).alias("of"))
+    # A key's pairs are of a row outside its most frequent component and any other row: a component
+    # of thousands never meets itself.
+    per_own = rows.groupBy("run", "own").agg(F.count(F.lit(1)).alias("n"))
+    sizes = per_own.groupBy("run").agg(F.sum("n").alias("n"), F.max_by("own", F.struct("n", "own")).alias("main"), F.count(F.lit(1)).alias("owns"))
+    sizes = sizes.filter("owns > 1").select("run", "main", F.ceil(F.col("n") / CELL).cast("int").alias("cells"))
+    rows = rows.join(sizes, "run").withColumn("minor", F.col("own") != F.col("main")).drop("main")
+    # Each row is in one cell of its key and a row outside the main component goes to all of them, so
+    # that no task holds a whole hot key.
+    every = F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell")
+    one = rows.filter("minor").select(*[F.col(c).alias(f"{c}_a") for c in rows.columns], every)
+    other = rows.select(*[F.col(c).alias(f"{c}_b") for c in rows.columns], F.pmod(F.xxhash64("node"), F.col("cells")).cast("int").alias("cell_b"))
     needed = (F.col("total_a") + F.col("total_b")) * (threshold / (1 + threshold) * (1 - 1e-6))
     met = one.join(
         other,
         (F.col("run_a") == F.col("run_b"))
-        & (F.col("cell_a") == F.col("of"))
-        & (F.col("to") == F.col("cell_b"))
+        & (F.col("cell") == F.col("cell_b"))
         & (F.col("own_a") != F.col("own_b"))
-        & ((F.col("cell_a") != F.col("cell_b")) | (F.col("node_a") < F.col("node_b")))
+        & (~F.col("minor_b") | (F.col("node_a") < F.col("node_b")))
         & (F.col("far_a") == (F.col("class_a") != F.col("class_b")))
         & (F.col("rest_a") >= needed)
         & (F.col("rest_b") >= needed)
@@ -292,51 +316,57 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     small_batches(spark)
     idf = scaled_idf(*document_frequency(docs))
     signed = written(signatures(docs, idf), "signatures")
-    nodes = signed.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
-    keyed = nodes.select("node", F.posexplode("bands").alias("band", "hash")).select(
-        "node", F.xxhash64("band", "hash").alias("key")
+    nodes = signed.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    keyed = nodes.select("node", "sketch", F.posexplode("bands").alias("band", "hash")).select(
+        "node", "sketch", F.xxhash64("band", "hash").alias("key")
     )
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     shared = written(keyed.join(sizes, "key"), "bands")
-    # Every node that any round may verify, fetched once.
+    # Every node that may be verified, fetched once.
     members = shared.select("node").distinct().join(nodes.select("node", "doc_id"), "node")
     chosen = written(texts_of(members, docs), "candidates")
+    least = least_agreement(threshold)
 
-    # Bounded: a band of PAIRED nodes at most.
-    few = shared.filter(F.col("size") <= PAIRED).groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("n"))
-    later = F.transform("n", lambda x, i: F.transform(F.slice("n", i + 2, PAIRED), lambda y: F.struct(x.alias("a"), y.alias("b"))))
-    pairs = few.select(F.inline(F.flatten(later)))
-    many = shared.filter(F.col("size") > PAIRED)
-    leaders = many.groupBy("key").agg(F.min("node").alias("a"))
-    pairs = pairs.union(many.join(leaders, "key").filter(F.col("node") != F.col("a")).select("a", F.col("node").alias("b")))
+    few, many = shared.filter(F.col("size") <= PAIRED), shared.filter(F.col("size") > PAIRED)
+    leaders = many.groupBy("key").agg(F.min(F.struct("node", "sketch")).alias("lead")).select("key", "lead.*")
+    first = few.select("key", "node", "sketch").unionByName(leaders)
+    pairs = first.select("key", F.col("node").alias("a"), F.col("sketch").alias("sketch_a")).join(
+        shared.select("key", F.col("node").alias("b"), "sketch"), "key"
+    )
+    pairs = pairs.filter((F.col("a") < F.col("b")) & (agreement(F.col("sketch_a"), F.col("sketch")) >= least)).select("a", "b")
     tested = written(pairs.distinct(), "pairs")
     links = written(verified(tested, chosen, idf, threshold), "links")
     roots = components(links)
-    for turn in range(1, ROUNDS):
+
+    # A few nodes of each large band and the one with most links meet the nodes of other components; each
+    # of these is compared with the one whose draws agree most, as long as one pair in ten is alike.
+    turn, found = 0, 1.0
+    while found >= 0.1:
+        turn += 1
         degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
-        placed = many.join(degree, "node", "left").join(roots, "node", "left")
-        placed = placed.select("key", "node", "size", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "node").alias("own"))
-        # About PAIRED nodes of each band, others each time, and the one with most links.
-        some = F.pmod(F.xxhash64("node", "key", F.lit(turn)), F.col("size")) < PAIRED
-        drawn = placed.filter(some).select("key", F.col("node").alias("lead"), F.col("own").alias("there"))
-        hub = placed.groupBy("key").agg(F.max(F.struct("links", "node", "own")).alias("top"))
-        leaders = drawn.union(hub.select("key", "top.node", "top.own"))
-        apart = placed.join(leaders, "key").filter(F.col("own") != F.col("there"))
-        pairs = apart.select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct()
-        fresh = written(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        if fresh.isEmpty():
-            break
-        tested = tested.union(fresh)
+        placed = many.join(degree, "node", "left").join(roots, "node", "left").select(
+            "key", "node", "sketch", "size", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "node").alias("own")
+        )
+        some = F.pmod(F.xxhash64("node", "key", F.lit(turn)), F.col("size")) < LEADERS
+        hub = placed.groupBy("key").agg(F.max(F.struct("links", "node", "own", "sketch")).alias("top")).select("key", "top.node", "top.own", "top.sketch")
+        lead = placed.filter(some).select("key", "node", "own", "sketch").union(hub)
+        lead = lead.select("key", F.col("node").alias("lead"), F.col("own").alias("there"), F.col("sketch").alias("sketch_of"))
+        apart = placed.join(lead, "key").filter((F.col("own") != F.col("there")) & (agreement(F.col("sketch"), F.col("sketch_of")) >= least))
+        likely = apart.groupBy("node").agg(F.max(F.struct(agreement(F.col("sketch"), F.col("sketch_of")).alias("times"), "lead")).alias("best"))
+        fresh = likely.select(F.least("best.lead", "node").alias("a"), F.greatest("best.lead", "node").alias("b")).distinct()
+        fresh = written(fresh, "pairs")
         more = written(verified(fresh, chosen, idf, threshold), "links")
-        if more.isEmpty():
-            break
-        links = links.union(more)
-        roots = components(links)
-    # What the rounds left apart is held against one another without a limit.
-    fresh = written(crowded_pairs(many, roots, chosen, idf, threshold).join(tested, ["a", "b"], "left_anti"), "pairs")
-    more = written(verified(fresh, chosen, idf, threshold), "links")
+        n_fresh, n_more = fresh.count(), more.count()
+        found = n_more / n_fresh if n_fresh else 0.0
+        tested, links = tested.union(fresh), links.union(more)
+        if n_more:
+            roots = merged(roots, more)
+    # What is apart still is held against one another without a limit.
+    crowded = crowded_pairs(many, roots, chosen, idf, threshold).join(tested, ["a", "b"], "left_anti")
+    left = written(crowded, "pairs")
+    more = written(verified(left, chosen, idf, threshold), "links")
     if not more.isEmpty():
-        roots = components(links.union(more))
+        roots = merged(roots, more)
     classed = signed.select("doc_id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = classed.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     return classed.join(least, "root").select("doc_id", "class_id", "node", "root")
@@ -347,11 +377,12 @@ def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     id counts as the smallest), and of equal rows one."""
     at = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     classed = near_duplicates(docs, threshold)
-    first = classed.groupBy("root").agg(F.min(F.struct(at.alias("_at"), "node")).alias("k")).select("k._at", F.col("k.node").alias("_kept"))
-    kept = docs.withColumn("_at", at).join(first, "_at").withColumn("_node", node_of(F.coalesce("text", F.lit(""))))
-    number = F.row_number().over(W.partitionBy("_at", "_kept").orderBy(F.lit(0)))
-    kept = kept.filter(F.col("_node") == F.col("_kept")).withColumn("_number", number).filter("_number = 1")
-    return kept.select(docs.columns)
+    first = classed.groupBy("root").agg(F.min(F.struct(at.alias("at"), "node")).alias("k")).select("k.at", F.col("k.node").alias("kept"))
+    # The caller's row travels as one column, so none of its names can clash.
+    rows = docs.select(F.struct("*").alias("row"), at.alias("at"), node_of(F.coalesce("text", F.lit(""))).alias("node"))
+    number = F.row_number().over(W.partitionBy("at", "node").orderBy(F.lit(0)))
+    kept = rows.join(first, "at").filter(F.col("node") == F.col("kept")).withColumn("number", number).filter("number = 1")
+    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
