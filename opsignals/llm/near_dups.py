@@ -45,6 +45,8 @@ PAIRED, LEADERS = 16, 8
 # A run in more sets than FEW is joined by classes of the sets' weights, each wider than the last by
 # CLASS; a key of more rows than CELL is joined in several cells.
 FEW, CLASS, CELL = 64, 1.03, 256
+# How many of the keys before it a row carries, to pass over pairs that met at one of them.
+EARLY = 64
 _DRAWS = 1 << 16
 
 
@@ -232,7 +234,7 @@ def prefixes(nodes: DataFrame, idf: np.ndarray, frequency: np.ndarray, threshold
     Runs are in order of their frequency, rare ones first. ``rest`` is the weight from a run on; two
     sets alike overlap by t / (1 + t) of their weights' sum, so they have a run in common from which
     on both have that much left. A run of up to FEW sets is a key; more frequent ones are a key for
-    each two classes of weights in which that can be true.
+    each two classes of weights in which that can be true. ``early`` are the first ``EARLY`` keys before it.
     """
     wide = math.ceil(math.log(1 / threshold) / math.log(CLASS)) + 1
     share, slack = threshold / (1 + threshold), 1 - 1e-6
@@ -252,16 +254,23 @@ def prefixes(nodes: DataFrame, idf: np.ndarray, frequency: np.ndarray, threshold
                 first = int((rest >= threshold * total * slack).sum())
                 run, rest, often = keys[a:b][order][:first], rest[:first], often[order][:first]
                 rare = (often > 1) & (often <= FEW)
-                found.append((i, run[rare], rest[rare], total, 0, False))
+                early = run[rare]
+                found.append((i, early, rest[rare], total, 0, False, early, 0))
                 run, rest = run[often > FEW], rest[often > FEW]
                 own = math.floor(math.log(total) / math.log(CLASS))
                 for other in range(own - wide, own + wide + 1) if len(run) else ():
                     may = rest >= share * (total + max(CLASS**other, threshold * total)) * slack
                     two = np.uint64(min(own, other) + (1 << 20) << 24 | max(own, other) + (1 << 20))
-                    found.append((i, mixed(run[may] ^ mixed(np.array([two]))), rest[may], total, own, other != own))
+                    own_keys = mixed(run[may] ^ mixed(np.array([two])))
+                    found.append((i, own_keys, rest[may], total, own, other != own, np.concatenate((early, own_keys)), len(early)))
             found = [f for f in found if len(f[1])]
             at, sizes = [f[0] for f in found], [len(f[1]) for f in found]
             of = np.repeat(np.array(at, np.int64), sizes)
+            # Two sets meet at each key they share; what came before tells the first of these.
+            n_early = np.concatenate([np.empty(0, np.int64), *[np.minimum(f[7] + np.arange(len(f[1])), EARLY) for f in found]])
+            before = [f[6][:k] for f in found for k in np.minimum(f[7] + np.arange(len(f[1])), EARLY).tolist()]
+            offsets = np.concatenate(([0], np.cumsum(n_early))).astype(np.int32)
+            earlier = np.concatenate([np.empty(0, np.uint64), *before]).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate([np.empty(0, np.uint64), *[f[1] for f in found]]).view(np.int64)),
@@ -269,11 +278,12 @@ def prefixes(nodes: DataFrame, idf: np.ndarray, frequency: np.ndarray, threshold
                     batch.column("own").take(pa.array(of)),
                     pa.array(np.concatenate([np.empty(0), *[f[2] for f in found]])),
                     *[pa.array(np.repeat(np.array([f[c] for f in found], t), sizes)) for c, t in ((3, np.float64), (4, np.int32), (5, np.bool_))],
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(earlier)),
                 ],
-                ["run", "node", "own", "rest", "total", "class", "far"],
+                ["run", "node", "own", "rest", "total", "class", "far", "early"],
             )
 
-    return nodes.select("node", "own", "text").mapInArrow(emit, "run long, node binary, own binary, rest double, total double, class int, far boolean")
+    return nodes.select("node", "own", "text").mapInArrow(emit, "run long, node binary, own binary, rest double, total double, class int, far boolean, early array<long>")
 
 
 def crowded_pairs(many: DataFrame, roots: DataFrame, chosen: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
@@ -304,7 +314,8 @@ def crowded_pairs(many: DataFrame, roots: DataFrame, chosen: DataFrame, idf: np.
         & (F.col("far_a") == (F.col("class_a") != F.col("class_b")))
         & (F.col("rest_a") >= needed)
         & (F.col("rest_b") >= needed)
-        & (F.least("total_a", "total_b") >= F.greatest("total_a", "total_b") * (threshold * (1 - 1e-6))),
+        & (F.least("total_a", "total_b") >= F.greatest("total_a", "total_b") * (threshold * (1 - 1e-6)))
+        & ~F.arrays_overlap("early_a", "early_b"),
     )
     return met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
@@ -353,7 +364,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         lead = lead.select("key", F.col("node").alias("lead"), F.col("own").alias("there"), F.col("sketch").alias("sketch_of"))
         apart = placed.join(lead, "key").filter((F.col("own") != F.col("there")) & (agreement(F.col("sketch"), F.col("sketch_of")) >= least))
         likely = apart.groupBy("node").agg(F.max(F.struct(agreement(F.col("sketch"), F.col("sketch_of")).alias("times"), "lead")).alias("best"))
-        fresh = likely.select(F.least("best.lead", "node").alias("a"), F.greatest("best.lead", "node").alias("b")).distinct()
+        fresh = likely.filter(F.col("best.times") >= math.ceil(BANDS * ROWS * threshold) - 2)
+        fresh = fresh.select(F.least("best.lead", "node").alias("a"), F.greatest("best.lead", "node").alias("b")).distinct()
         fresh = written(fresh, "pairs")
         more = written(verified(fresh, chosen, idf, threshold), "links")
         n_fresh, n_more = fresh.count(), more.count()
