@@ -59,6 +59,7 @@ class ChunkMemo:
     def __init__(self, encode: Callable[[list[str]], Iterable[bytes]]):
         self.encode = encode
         self.kept: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids as little-endian unsigned 32-bit, and where each text's ids begin (one more at the end)."""
@@ -80,14 +81,18 @@ class ChunkMemo:
     def _of_chunks(self, chunks: list[str]) -> list[bytes]:
         kept = self.kept
         found = list(map(kept.get, chunks))
-        missing = [c for c, ids in zip(chunks, found, strict=True) if ids is None]
-        if not missing:
+        lacking = [i for i, ids in enumerate(found) if ids is None]
+        if not lacking:
             return found
-        fresh = dict(zip(missing, self.encode(missing), strict=True))
-        found = [fresh[c] if ids is None else ids for c, ids in zip(chunks, found, strict=True)]
-        if len(kept) + len(fresh) > KEPT_CHUNKS:
-            kept.clear()
-        kept.update((c, ids) for c, ids in fresh.items() if len(c) <= KEPT_LENGTH)
+        older = [self.before.get(chunks[i]) for i in lacking]
+        missing = [chunks[i] for i, ids in zip(lacking, older, strict=True) if ids is None]
+        fresh = dict(zip(missing, self.encode(missing), strict=True)) if missing else {}
+        for i, ids in zip(lacking, older, strict=True):
+            found[i] = fresh[chunks[i]] if ids is None else ids
+        kept.update((chunks[i], found[i]) for i in lacking if len(chunks[i]) <= KEPT_LENGTH)
+        if len(kept) > KEPT_CHUNKS // 2:
+            # What isn't met again while the next half fills is forgotten; frequent chunks stay.
+            self.before, self.kept = kept, {}
         return found
 
 
