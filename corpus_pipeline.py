@@ -1,8 +1,9 @@
 """From raw documents to packed training sequences, in four stages of the training-data operators.
 
 Each stage takes the table that the one before it wrote. The first three keep the columns of
-``documents``; the last returns a row for each piece of a packed sequence. Null texts count as
-empty, repeated rows are near-duplicates of one another, further columns are carried along.
+``documents``; the last returns a row for each piece of a packed sequence, with its token ids. Null
+texts count as empty, repeated rows are near-duplicates of one another, further columns are carried
+along whatever their names, and an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -14,18 +15,23 @@ from pyspark.sql import functions as F
 
 from opsignals.llm.common import table, written
 from opsignals.llm.near_dups import one_of_each
-from opsignals.llm.packing import packed_rows
+from opsignals.llm.packing import packed_ids
 from opsignals.llm.quality import ACCEPT, fit_quality, held_out, score_quality
 from opsignals.llm.suffix_dedup import without_repeats
 from opsignals.llm.tokens import tokenizer_file
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier, learnt from the labels of three quarters, accepts."""
+    """Documents that the quality classifier, learnt from the labels of three quarters, accepts. With no
+    labels, or labels of one kind only, there is nothing to tell documents apart by: all stay."""
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     learn = labels.filter(~held_out(F.col("doc_id")))
     fitted = fit_quality(docs.filter(~held_out(F.col("doc_id"))), learn)
-    return score_quality(docs, fitted, "_score").filter(F.col("_score") >= ACCEPT).select(docs.columns)
+    if not fitted.learnt:
+        return docs
+    rows = docs.select(F.struct("*").alias("row"), F.col("text").alias("text"))
+    kept = score_quality(rows, fitted, "score").filter(F.col("score") >= ACCEPT)
+    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +46,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences of 4096, a row for each piece of a document."""
-    return packed_rows(docs, tokenizer_file("word_bpe_49k.json"), end_id=2)
+    """Token sequences of 4096: a row for each piece of a document, with its ids and its place."""
+    return packed_ids(docs, tokenizer_file("word_bpe_49k.json"), end_id=2)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

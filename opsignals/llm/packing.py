@@ -108,7 +108,8 @@ def token_pieces(docs: DataFrame, path: str, end_id: int, window: int = WINDOW)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo, part, seen = library_memo(path), TaskContext.get().partitionId(), Counter()
-        for batch in slices(batches, "text"):
+        # The larger a slice, the fewer of its chunks are looked up.
+        for batch in slices(batches, "text", 12 << 20):
             flat, ends = memo.ids(batch.column("text"))
             rows = []
             for doc, a, b in zip(batch.column("doc_id").to_pylist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
@@ -159,5 +160,13 @@ def packed_rows(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     return joined.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def packed_ids(docs: DataFrame, path: str, end_id: int) -> DataFrame:
+    """:func:`packed_rows` with the ids themselves, as little-endian unsigned 32-bit integers: a sequence
+    is its pieces in order of ``offset``."""
+    pieces, places = pack(docs, path, end_id)
+    joined = pieces.withColumn("ids_crc32", F.crc32("ids")).join(places, ["part", "length", "ord"])
+    return joined.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_rows(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=2)

@@ -131,8 +131,11 @@ def margins_of(weights: np.ndarray, length: np.ndarray, features: np.ndarray, en
 
 
 class Fitted(NamedTuple):
+    """``learnt`` is False where labels of one kind, or none, leave nothing but a constant score."""
+
     model: Model
     ratios: np.ndarray
+    learnt: bool = True
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Fitted:
@@ -174,7 +177,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
     rows = [np.frombuffer(bytes(r.counts), "<i4") for r in sample]
     positive = np.array([r.label == 1 for r in sample], bool)
     if not len(rows) or positive.all() or not positive.any():
-        return Fitted(flat, ratios)
+        return Fitted(flat, ratios, False)
     back = np.arange(len(rows)) % 4 == 3
     if positive[~back].all() or not positive[~back].any():
         back[:] = False

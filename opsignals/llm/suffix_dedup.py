@@ -457,19 +457,22 @@ def later_copies(docs: DataFrame) -> DataFrame:
 def without_repeats(docs: DataFrame) -> DataFrame:
     """The rows of docs with ``text`` less its repeated bytes; a character cut in two goes whole. A
     later copy of a whole text keeps its row, with an empty text if it had ``LENGTH`` bytes."""
-    at = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST))
-    text = F.coalesce("text", F.lit(""))
-    lost = repeated_spans(docs).select(F.coalesce("doc_id", F.lit(_LEAST)).alias("_at"), F.col("sha").alias("_sha"), F.col("kept").alias("_kept"))
+    lost = repeated_spans(docs).select(F.coalesce("doc_id", F.lit(_LEAST)).alias("at"), "sha", "kept")
     rows = later_copies(docs)
     later = rows.filter((~F.col("is_first") | (F.col("copies") > 1)) & (F.col("n_bytes") >= LENGTH))
-    later = later.select(F.coalesce("doc_id", F.lit(_LEAST)).alias("_at"), F.col("sha").alias("_sha"), "is_first")
-    keyed = docs.withColumns({"_at": at, "_sha": F.unhex(F.sha2(text, 256))})
-    joined = keyed.join(lost, ["_at", "_sha"], "left").join(later, ["_at", "_sha"], "left")
-    copy = F.row_number().over(W.partitionBy("_at", "_sha").orderBy(F.lit(0)))
-    left = F.replace(F.make_valid_utf8(F.col("_kept").cast("string")), F.lit("\ufffd"), F.lit(""))
-    gone = F.col("is_first").isNotNull() & ~(F.col("is_first") & (F.col("_copy") == 1))
-    new = F.when(gone, F.lit("")).when(F.col("_kept").isNotNull(), left).otherwise(F.col("text"))
-    return joined.withColumn("_copy", copy).withColumn("text", new).select(docs.columns)
+    later = later.select(F.coalesce("doc_id", F.lit(_LEAST)).alias("at"), "sha", "is_first")
+    # The caller's row travels as one column, so none of its names can clash.
+    keyed = docs.select(
+        F.struct("*").alias("row"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST)).alias("at"),
+        F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("sha"),
+    )
+    joined = keyed.join(lost, ["at", "sha"], "left").join(later, ["at", "sha"], "left")
+    copy = F.row_number().over(W.partitionBy("at", "sha").orderBy(F.lit(0)))
+    left = F.replace(F.make_valid_utf8(F.col("kept").cast("string")), F.lit("\ufffd"), F.lit(""))
+    gone = F.col("is_first").isNotNull() & ~(F.col("is_first") & (F.col("copy") == 1))
+    new = F.when(gone, F.lit("")).when(F.col("kept").isNotNull(), left).otherwise(F.col("row.text"))
+    return joined.withColumn("copy", copy).select(*[(new if c == "text" else F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

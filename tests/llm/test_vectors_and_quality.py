@@ -136,5 +136,5 @@ def test_pipeline_stages_follow_one_another(spark):
 
 
 def test_every_operator_has_its_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
