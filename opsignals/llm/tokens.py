@@ -1,7 +1,8 @@
 """Token ids of the tokenizers library, each distinct chunk of text encoded once per worker.
 
 Both kinds of file split a text before they merge, and never between a letter and a mark that is
-neither letter, apostrophe nor digit, nor between a visible mark and a space or newline. Texts of
+neither letter, apostrophe nor digit, nor between a visible mark and a space or newline, nor between a
+single newline and a visible mark. Texts of
 plain Latin letters are cut at some of these borders; other texts only at a single space between ASCII
 letters or digits, which is a border for any such splitter. What lies between borders is encoded by
 the library itself and remembered, up to a bound. Arrow cuts and counts the chunks, so Python
@@ -12,6 +13,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Callable, Iterable
 
 import numpy as np
@@ -39,7 +41,7 @@ def chunks_of(texts: pa.Array) -> pa.Array:
     uncommon = pc.match_substring_regex(texts, _UNCOMMON)
     irregular = pc.or_(uncommon, pc.match_substring_regex(texts, _IRREGULAR))
     marked = texts.filter(pc.invert(irregular))
-    for plain, cut in ((" ", f"{_MARK} "), ("\n", f"{_MARK}\n"), (f".{_MARK}", f"{_MARK}.{_MARK}"), (f",{_MARK}", f"{_MARK},{_MARK}")):
+    for plain, cut in ((" ", f"{_MARK} "), ("\n", f"{_MARK}\n{_MARK}"), (f".{_MARK}", f"{_MARK}.{_MARK}"), (f",{_MARK}", f"{_MARK},{_MARK}")):
         marked = pc.replace_substring(marked, plain, cut)
     if len(marked) == len(texts):
         return pc.split_pattern(marked, _MARK)
@@ -99,27 +101,42 @@ class ChunkMemo:
 _MEMOS: dict[str, ChunkMemo] = {}
 
 
+def _spelling(library) -> dict[int, str] | None:
+    """What the library's normaliser and splitter make of each plain letter and of a space before a
+    word, as a table for ``str.translate``; None where a word isn't spelled letter by letter."""
+
+    def shown(text: str) -> list[str]:
+        text = library.normalizer.normalize_str(text) if library.normalizer else text
+        return [part for part, _ in library.pre_tokenizer.pre_tokenize_str(text)]
+
+    letters = [chr(c) for c in range(0x100) if re.fullmatch(f"[{_LETTERS}]", chr(c))]
+    table = {ord(c): "".join(shown(c)) for c in letters}
+    alone, after_space = shown("a"), shown(" a")
+    if len(alone) != 1 or len(after_space) != 1 or not after_space[0].endswith(alone[0]):
+        return None
+    table[ord(" ")] = after_space[0].removesuffix(alone[0])
+    probe = ["".join(letters[i::7]) for i in range(7)]
+    probe += [f" {word}" for word in probe]
+    return table if all(shown(word) == [word.translate(table)] for word in probe) else None
+
+
 def library_memo(path: str) -> ChunkMemo:
-    """One memo for each file and worker. Plain words go to the library many at a time, one to a
-    line: a line end is a word of its own or none, and the library numbers the words."""
+    """One memo for each file and worker. A plain word is one stretch for the library's splitter: it is
+    spelled as the library spells it and goes straight to the library's merges. All else goes
+    through the whole library."""
     if path not in _MEMOS:
         from tokenizers import Tokenizer
 
         library = Tokenizer.from_file(path)
         library.no_truncation()
         library.no_padding()
+        spelling, merges = _spelling(library), library.model
 
         def encode(chunks: list[str]) -> Iterable[bytes]:
             out: dict[str, bytes] = {}
-            words = [c for c in chunks if _WORD.fullmatch(c) and c[0] != "\n"]
-            for i in range(0, len(words), 1000):
-                part = words[i : i + 1000]
-                encoding = library.encode("\n".join(part), add_special_tokens=False)
-                ids, word = np.array(encoding.ids, dtype="<u4"), np.array(encoding.word_ids)
-                step = word[-1] // (len(part) - 1) if len(part) > 1 else 1
-                if step * (len(part) - 1) == word[-1]:
-                    cut = np.searchsorted(word, step * np.arange(len(part))), np.searchsorted(word, step * np.arange(len(part)), side="right")
-                    out.update((c, ids[i:j].tobytes()) for c, i, j in zip(part, *(x.tolist() for x in cut), strict=True))
+            if spelling is not None:
+                for c in filter(_WORD.fullmatch, chunks):
+                    out[c] = array("I", [token.id for token in merges.tokenize(c.translate(spelling))]).tobytes()
             others = [c for c in chunks if c not in out]
             for i in range(0, len(others), 1000):
                 part = others[i : i + 1000]
