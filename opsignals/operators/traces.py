@@ -20,36 +20,62 @@ _BEFORE_ALL = -(2**62)
 _TRACE_SEGMENT = ["trace_id", SEGMENT]
 
 
+def _early_closes(events: DataFrame, segment: Column) -> DataFrame:
+    """For each segment of a trace: the spans opened or closed in it whose only close comes before their
+    only opening, each with the segment of its close. Only ids and numbers are shuffled for it."""
+    op = F.col("op")
+    ends = events.filter(op.isin("open", "close")).select("trace_id", "span_id", "seq", segment.alias(SEGMENT), (op == "open").alias("opens"))
+    opened, closed = (F.when(c, F.col("seq")) for c in (F.col("opens"), ~F.col("opens")))
+    early = (
+        ends.groupBy("trace_id", "span_id")
+        .agg(
+            F.count(opened).alias("openings"), F.count(closed).alias("closes"), F.min(opened).alias("opened"), F.max(closed).alias("closed"),
+            F.min(F.when(F.col("opens"), F.col(SEGMENT))).alias("there"), F.max(F.when(~F.col("opens"), F.col(SEGMENT))).alias("home"),
+        )
+        .filter("openings = 1 AND closes = 1 AND closed < opened")
+    )
+    placed = early.select("trace_id", "span_id", "home", F.explode(F.array_distinct(F.array("there", "home"))).alias(SEGMENT))
+    return placed.groupBy(*_TRACE_SEGMENT).agg(F.map_from_entries(F.collect_list(F.struct("span_id", "home"))).alias("early"))
+
+
 def _stepped(events: DataFrame, segment: Column, columns: list[str]) -> DataFrame:
     """Events by segment, with the depth before them and after them as the segment alone tells, the level
     they stand on (an opening) or ask about (a leaf, a close: that of their parent), how many spans the
-    segment recorded up to them, and the span last opened on that level before them, if it was here."""
-    op = F.col("op")
+    segment recorded up to them, and the span last opened on that level before them, if it was here.
+
+    ``home`` is the segment of the close of a span that was closed before it was opened: neither end
+    changes the depth, and the opening asks for the close.
+    """
+    op, home = F.col("op"), F.col("home")
     before = Window.partitionBy(*_TRACE_SEGMENT).orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    delta = F.when(op == "open", 1).when(op == "close", -1).otherwise(0).cast("long")
+    delta = F.when(home.isNotNull(), 0).when(op == "open", 1).when(op == "close", -1).otherwise(0).cast("long")
     records = op.isin("close", "leaf").cast("long")
-    rows = events.filter(op.isin("open", "close", "leaf")).select(*columns, segment.alias(SEGMENT), delta.alias("delta"))
+    rows = events.filter(op.isin("open", "close", "leaf")).select(*columns, segment.alias(SEGMENT))
+    rows = rows.join(_early_closes(events, segment), _TRACE_SEGMENT, "left")
+    rows = rows.withColumn("home", F.when(op != "leaf", F.try_element_at("early", F.col("span_id")))).drop("early")
+    rows = rows.withColumn("delta", delta)
     depth = F.coalesce(F.sum("delta").over(before), F.lit(0))
     recorded = F.sum(records).over(before.rowsBetween(Window.unboundedPreceding, 0))
     rows = rows.select("*", depth.alias("depth"), recorded.alias("recorded"))
     # An opening raises the level it stands on; a close asks about the level under the one it leaves.
     rows = rows.withColumn("level", F.col("depth") + F.col("delta"))
     on_level = Window.partitionBy(*_TRACE_SEGMENT, "level").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    opened = F.when(op == "open", F.col("span_id"))
+    opened = F.when(F.col("delta") == 1, F.col("span_id"))
     return rows.withColumn("local", F.last(opened, ignorenulls=True).over(on_level))
 
 
 def _along_traces(events: DataFrame, roots: DataFrame, segment: Column) -> DataFrame:
-    """For each segment of a trace: the depth and the spans recorded before it, the spans that earlier
-    segments left open on the levels it asks about, and the trace's root.
+    """For each segment of a trace: the spans recorded before it, the spans that earlier segments left
+    open on the levels it asks about, the parents of spans it closed before they were opened, and the
+    trace's root.
 
     A segment is summed up by the change of depth, what it records, the spans it leaves open and the
     levels it asks earlier ones about: a row per segment, which is all that is shuffled by trace.
     """
-    op = F.col("op")
+    op, home, nobody = F.col("op"), F.col("home"), F.lit(None).cast("string")
     rest = Window.partitionBy(*_TRACE_SEGMENT).orderBy("seq").rowsBetween(0, Window.unboundedFollowing)
     steps = _stepped(events, segment, ["trace_id", "seq", "op", "span_id"])
-    left_open = (op == "open") & (F.min(F.col("depth") + F.col("delta")).over(rest) >= F.col("level"))
+    left_open = (F.col("delta") == 1) & (F.min(F.col("depth") + F.col("delta")).over(rest) >= F.col("level"))
     summaries = (
         steps.withColumn("left_open", left_open)
         .groupBy(*_TRACE_SEGMENT)
@@ -57,7 +83,10 @@ def _along_traces(events: DataFrame, roots: DataFrame, segment: Column) -> DataF
             F.sum("delta").alias("delta"),
             F.max("recorded").alias("records"),
             F.collect_list(F.when(F.col("left_open"), F.struct("level", "span_id"))).alias("offers"),
-            F.collect_set(F.when((op != "open") & F.col("local").isNull(), F.struct("level", F.lit(None).cast("string").alias("span_id")))).alias("asks"),
+            F.collect_set(F.when((op != "open") & home.isNull() & F.col("local").isNull(), F.struct("level", nobody.alias("span_id")))).alias("asks"),
+            F.collect_list(
+                F.when((op == "open") & home.isNotNull(), F.struct("level", nobody.alias("span_id"), "home", F.col("span_id").alias("late"), "local"))
+            ).alias("late"),
         )
     )
     root_rows = roots.select(
@@ -65,26 +94,40 @@ def _along_traces(events: DataFrame, roots: DataFrame, segment: Column) -> DataF
     )
     earlier = Window.partitionBy("trace_id").orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
     placed = summaries.unionByName(root_rows, allowMissingColumns=True).select(
-        *_TRACE_SEGMENT, "offers", "asks",
+        *_TRACE_SEGMENT, "offers", "asks", "late",
         F.coalesce(F.sum("delta").over(earlier), F.lit(0)).alias("before"),
         F.coalesce(F.sum("records").over(earlier), F.lit(0)).alias("recorded_before"),
         F.max("root").over(earlier).alias("root"),
     )
-    # Level 0 is the root's; most traces have one segment, which asks about no other.
-    asked = F.filter(F.concat("offers", "asks"), lambda x: F.col("before") + x["level"] > 0)
+    # Level 0 is the root's; most traces have one segment, which asks about no other. A row of each
+    # segment is its own; an early close hears where it was, on the level of its opening.
+    entry = "struct<level:bigint,span_id:string,home:bigint,late:string,local:string>"
+
+    def entries(name: str) -> Column:
+        given = ("level", "span_id", "home", "late", "local") if name == "late" else ("level", "span_id")
+        full = lambda x: F.struct(*[(x[c] if c in given else F.lit(None)).alias(c) for c in ("level", "span_id", "home", "late", "local")])
+        return F.transform(name, full).cast(f"array<{entry}>")
+
+    asked = F.filter(F.concat(*map(entries, ("offers", "asks", "late"))), lambda x: (F.col("before") + x["level"] > 0) | x["local"].isNotNull())
     levels = placed.filter("offers IS NOT NULL").select(
-        *_TRACE_SEGMENT, "before", "recorded_before", "root", F.inline_outer(asked)
+        *_TRACE_SEGMENT, "before", "recorded_before", "root", F.inline(F.concat(asked, F.array(F.lit(None).cast(entry))))
     )
     on_level = Window.partitionBy("trace_id", F.col("before") + F.col("level")).orderBy(SEGMENT, F.col("span_id").isNotNull())
     open_there = F.last("span_id", ignorenulls=True).over(on_level.rowsBetween(Window.unboundedPreceding, -1))
-    answer = F.when(F.col("span_id").isNull() & F.col("open").isNotNull(), F.struct("level", "open"))
+    late = F.col("late")
+    parent = F.coalesce("local", "open")
+    answer = F.when(late.isNull() & F.col("span_id").isNull() & F.col("open").isNotNull(), F.struct("level", "open"))
+    own = F.when(late.isNull(), F.struct("recorded_before", "root"))
     return (
         levels.withColumn("open", open_there)
+        .withColumn(SEGMENT, F.coalesce("home", SEGMENT))
         .groupBy(*_TRACE_SEGMENT)
         .agg(
             F.map_from_entries(F.collect_list(answer)).alias("open"),
-            *[F.first(c).alias(c) for c in ("recorded_before", "root")],
+            F.map_from_entries(F.collect_list(F.when(late.isNotNull() & parent.isNotNull(), F.struct("late", parent)))).alias("late"),
+            F.first(own, ignorenulls=True).alias("own"),
         )
+        .select(*_TRACE_SEGMENT, "open", "late", "own.*")
     )
 
 
@@ -99,7 +142,9 @@ def _trees(events: DataFrame, roots: DataFrame, segment: Column | None, cap: int
         roots = roots.filter(F.col("duration_ms") >= threshold_ms)
     if cap is not None:
         spans = spans.filter(F.col("recorded_before") + F.col("recorded") < cap)
-    parent = F.coalesce("local", F.try_element_at("open", F.col("level")), "root.span_id")
+    found = F.coalesce("local", F.try_element_at("open", F.col("level")))
+    found = F.when(F.col("home").isNull(), found).otherwise(F.try_element_at("late", F.col("span_id")))
+    parent = F.coalesce(found, "root.span_id")
     spans = spans.select("trace_id", "span_id", parent.alias("parent_span_id"), *facts, F.lit(False).alias("is_root"))
     root_spans = roots.select(
         "trace_id", "span_id", traceparent.parse(F.col("traceparent"))["parent_span_id"].alias("parent_span_id"),
@@ -114,7 +159,9 @@ def span_tree(events: DataFrame, roots: DataFrame, *, segment: Column | None = N
 
     A leaf's parent is the span open when it came, else the root. Spans close in reverse order of
     opening, so a close's parent is the span that is open beneath the one it closes. A span that never
-    closes is none; a close whose opening was lost counts as closing the innermost open span. Segments of
+    closes is none; a close whose opening was lost counts as closing the innermost open span. A close
+    that comes before its own opening closes nothing and that opening opens nothing: the span is recorded
+    at the close, under the one that is open at the opening. Segments of
     a trace are matched side by side, so a trace of any length is spread over tasks; wide rows are
     shuffled once. Rows without trace_id are left out.
 

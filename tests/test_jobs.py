@@ -207,6 +207,27 @@ def test_a_span_belongs_under_what_was_open_when_it_started(spark):
         }
 
 
+def test_a_close_before_its_opening_closes_nothing(spark):
+    ev = span_events(spark, ("open", "outer"), ("close", "late"), ("leaf", "one"), ("close", "later"), ("open", "inner"), ("leaf", "two"),
+                     ("open", "late"), ("leaf", "three"), ("close", "inner"), ("open", "last"), ("leaf", "four"), ("close", "last"),
+                     ("close", "outer"), ("open", "later"), ("leaf", "five"))
+    header = f"00-{'a' * 32}-{'b' * 16}-01"
+    roots = spark.createDataFrame(
+        [("t", "root", header, "GET /", at(0), 5000.0)],
+        "trace_id string, span_id string, traceparent string, name string, started_at timestamp, duration_ms double",
+    )
+    from opsignals.operators.running import sequence_segment
+
+    want = {
+        "outer": ("root", 12), "late": ("inner", 1), "one": ("outer", 2), "later": ("root", 3), "inner": ("outer", 8), "two": ("inner", 5),
+        "three": ("inner", 7), "last": ("outer", 11), "four": ("last", 10), "five": ("root", 14),
+    }
+    for length in (1, 2, 5, 100):
+        segment = sequence_segment("seq", length)
+        tree = traces.span_tree(ev, roots, segment=segment).filter("NOT is_root")
+        assert {r.span_id: (r.parent_span_id, r.seq) for r in tree.collect()} == want
+
+
 def spans(spark, rows):
     return spark.createDataFrame(
         [(t, s, s, "db" if root else "service", ms, seq, root) for t, s, ms, seq, root in rows],
