@@ -226,6 +226,8 @@ def test_a_close_before_its_opening_closes_nothing(spark):
         segment = sequence_segment("seq", length)
         tree = traces.span_tree(ev, roots, segment=segment).filter("NOT is_root")
         assert {r.span_id: (r.parent_span_id, r.seq) for r in tree.collect()} == want
+        kept = traces.captured_traces(ev, roots, cap=4, segment=segment).filter("NOT is_root")
+        assert {r.span_id: (r.parent_span_id, r.seq) for r in kept.collect()} == {s: want[s] for s in ("late", "one", "later")}
 
 
 def spans(spark, rows):
