@@ -164,30 +164,51 @@ def issue_groups(errors: DataFrame, *, user: str = "user.id", lg_k: int | None =
 
     ``lg_k`` counts users by a sketch of 2**lg_k cells, kept in ``users_sketch``: one aggregate and no
     row per user. Its standard error is 0.83 / sqrt(2**lg_k), 1.3 % for 12; small numbers are exact but
-    for rare collisions. Groups of parts of the errors are added up by :func:`merge_issue_groups`.
+    for rare collisions. Groups of parts of the errors are added up by :func:`merge_issue_groups`; where the
+    number must be exact, by :func:`merge_issue_users`.
     """
-    normalized = errors.select(
-        "exception_class", fingerprint.normalize(F.col("message")).alias("sample"), F.col(user).alias("user_id"), "occurred_at"
-    )
     if lg_k is not None:
-        grouped = normalized.groupBy("exception_class", "sample").agg(
+        grouped = _normalized(errors, user).groupBy("exception_class", "sample").agg(
             F.count(F.lit(1)).alias("events"),
             F.hll_sketch_agg(F.col("user_id").cast("string"), lg_k).alias("users_sketch"),
             F.min("occurred_at").alias("first_seen"),
             F.max("occurred_at").alias("last_seen"),
         )
         return _with_fingerprint(grouped.withColumn("users", F.hll_sketch_estimate("users_sketch")))
-    # Grouped by the text itself, which is what the fingerprint stands for: one hash per issue, and
-    # only fixed-width sums, so the aggregate stays in its hash map. Per user first: the distinct
-    # count then works on one row per user, and a hot issue is spread over its users.
-    per_user = normalized.groupBy("exception_class", "sample", "user_id").agg(
-        F.count(F.lit(1)).alias("n"), F.min("occurred_at").alias("first"), F.max("occurred_at").alias("last")
+    return _counted(issue_users(errors, user=user))
+
+
+def _normalized(errors: DataFrame, user: str) -> DataFrame:
+    return errors.select(
+        "exception_class", fingerprint.normalize(F.col("message")).alias("sample"), F.col(user).alias("user_id"), "occurred_at"
+    )
+
+
+def issue_users(errors: DataFrame, *, user: str = "user.id") -> DataFrame:
+    """A row per issue and user: events, first and last seen. Grouped by the text itself, which is what the
+    fingerprint stands for, and by fixed-width sums, so the aggregate stays in its hash map."""
+    return _normalized(errors, user).groupBy("exception_class", "sample", "user_id").agg(
+        F.count(F.lit(1)).alias("events"), F.min("occurred_at").alias("first_seen"), F.max("occurred_at").alias("last_seen")
     )
+
+
+def merge_issue_users(users: DataFrame) -> DataFrame:
+    """Issues with exact numbers of users from :func:`issue_users` of parts of the errors (of days, hosts
+    or regions): the same as :func:`issue_groups` of them all. A user of several parts is counted once."""
+    per_user = users.groupBy("exception_class", "sample", "user_id").agg(
+        F.sum("events").alias("events"), F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen")
+    )
+    return _counted(per_user)
+
+
+def _counted(per_user: DataFrame) -> DataFrame:
+    # Per user first: the distinct count then works on one row per user, and a hot issue is spread
+    # over its users. One hash per issue.
     grouped = per_user.groupBy("exception_class", "sample").agg(
-        F.sum("n").alias("events"),
+        F.sum("events").alias("events"),
         F.count("user_id").alias("users"),
-        F.min("first").alias("first_seen"),
-        F.max("last").alias("last_seen"),
+        F.min("first_seen").alias("first_seen"),
+        F.max("last_seen").alias("last_seen"),
     )
     return _with_fingerprint(grouped)
 

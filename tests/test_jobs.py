@@ -581,6 +581,31 @@ def test_sketches_of_parts_add_up_to_the_whole(spark):
         assert abs(merged[key].users - whole[key].users) <= 0.02 * row.users
 
 
+def test_users_of_parts_add_up_exactly(spark):
+    df = spark.range(60000).select(
+        F.lit("E").alias("exception_class"), F.lit("plain").alias("message"), F.concat(F.lit("u"), F.col("id") % 30000).alias("u"),
+        F.timestamp_seconds("id").alias("occurred_at"),
+    )
+    parts = [errors.issue_users(df.filter(F.pmod(F.hash("occurred_at"), F.lit(3)) == k), user="u") for k in range(3)]
+    merged = errors.merge_issue_users(parts[0].union(parts[1]).union(parts[2])).collect()
+    assert [(r.events, r.users) for r in merged] == [(60000, 30000)]
+    whole = errors.issue_groups(df, user="u").select(merged[0].__fields__).collect()
+    assert merged == whole
+
+
+def test_the_merged_issues_count_users_exactly(spark, tmp_path):
+    from __spark_entry__ import queries
+
+    spark.range(240000).select(
+        F.col("id").alias("event_id"), F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(CAST(id % 7 AS INT))").alias("ts"),
+        (F.col("id") % 120000).alias("user_id"), F.lit("error").alias("event_type"), F.lit(1.0).alias("value"), F.lit("{}").alias("props"),
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    got = queries()["issue_groups_merged"](spark, str(tmp_path)).collect()
+    # Ids divisible by three name a user; a quarter, a quarter and half of them are of each class.
+    assert sum(r.events for r in got) == 240000
+    assert {r.exception_class: r.users for r in got} == {"TimeoutError": 10000, "ValueError": 10000, "IOError": 20000}
+
+
 def test_a_thousand_errors_of_one_thread_cost_a_list_each(spark):
     er = error(spark, *[{"error_id": i, "thread_id": "a", "seq": 2000 + i, "occurred_at": at(400 + i % 200)} for i in range(1000)])
     steps = [("a", s, "clear" if s == 150 else "add") for s in range(0, 300, 2)]
