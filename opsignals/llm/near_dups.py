@@ -320,6 +320,22 @@ def crowded_pairs(many: DataFrame, roots: DataFrame, chosen: DataFrame, idf: np.
     return met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 
+def likeliest(placed: DataFrame, lead: DataFrame) -> DataFrame:
+    """For each node of ``placed`` (key, node, own, sketch) the one of ``lead`` under one of its keys, and of
+    another component, whose draws agree most: node and best (times, lead).
+
+    The few of a band come to its rows as one list, so a row is met once and not once for each of them.
+    """
+    entry = F.struct("node", "own", "sketch")
+    leads = lead.groupBy("key").agg(F.min("own").alias("low"), F.max("own").alias("high"), F.collect_list(entry).alias("leads"))
+    met = F.transform(
+        F.filter("leads", lambda x: x["own"] != F.col("own")),
+        lambda x: F.struct(agreement(F.col("sketch"), x["sketch"]).alias("times"), x["node"].alias("lead")),
+    )
+    apart = placed.join(leads, "key").filter((F.col("own") != F.col("low")) | (F.col("own") != F.col("high")))
+    return apart.select("node", F.array_max(met).alias("best")).groupBy("node").agg(F.max("best").alias("best"))
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, class_id (smallest doc_id of the class), node (digest of the text) and root (the class)
     of every document."""
@@ -361,9 +377,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         some = F.pmod(F.xxhash64("node", "key", F.lit(turn)), F.col("size")) < LEADERS
         hub = placed.groupBy("key").agg(F.max(F.struct("links", "node", "own", "sketch")).alias("top")).select("key", "top.node", "top.own", "top.sketch")
         lead = placed.filter(some).select("key", "node", "own", "sketch").union(hub)
-        lead = lead.select("key", F.col("node").alias("lead"), F.col("own").alias("there"), F.col("sketch").alias("sketch_of"))
-        apart = placed.join(lead, "key").filter((F.col("own") != F.col("there")) & (agreement(F.col("sketch"), F.col("sketch_of")) >= least))
-        likely = apart.groupBy("node").agg(F.max(F.struct(agreement(F.col("sketch"), F.col("sketch_of")).alias("times"), "lead")).alias("best"))
+        likely = likeliest(placed, lead)
         fresh = likely.filter(F.col("best.times") >= math.ceil(BANDS * ROWS * threshold) - 2)
         fresh = fresh.select(F.least("best.lead", "node").alias("a"), F.greatest("best.lead", "node").alias("b")).distinct()
         fresh = written(fresh, "pairs")

@@ -7,6 +7,7 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from opsignals.llm import known_licences, near_dups, suffix_dedup
 from opsignals.llm.components import components
@@ -117,6 +118,30 @@ def test_pairs_of_one_template_meet(documents):
     assert len(set(cls.values())) == 900
 
 
+def test_a_row_meets_the_few_of_its_band_once(spark):
+    rng = random.Random(9)
+    rows = [(k % 3, bytes([k]), bytes([k % 50]), [rng.randint(0, 2) for _ in range(30)]) for k in range(240)]
+    placed = spark.createDataFrame(rows, "key long, node binary, own binary, sketch array<short>")
+    lead = placed.filter(F.hex("node") < "24")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        best = near_dups.likeliest(placed, lead)
+        got = {bytes(r.node): (r.best.times, bytes(r.best.lead)) for r in best.collect()}
+        plan, made = [best._jdf.queryExecution().executedPlan()], []
+        while plan:
+            node = plan.pop()
+            plan += [node.children().apply(i) for i in range(node.children().size())]
+            if node.nodeName().endswith("Join"):
+                made.append(node.metrics().apply("numOutputRows").value())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    want = {}
+    for key, node, own, sketch in rows:
+        others = [(sum(map(int.__eq__, sketch, s)), n) for k, n, o, s in rows if k == key and n < bytes([0x24]) and o != own]
+        want[node] = max(others)
+    assert got == want and len(made) == 1 and made[0] <= len(rows)
+
+
 def test_prefixes_leave_out_no_pair_alike(spark):
     rng = random.Random(12)
     base, texts = words(rng, 120), []
