@@ -92,17 +92,31 @@ def trace_documents(spans: DataFrame, columns: Sequence[str], *, max_items: int
     items = spans.select(
         "trace_id", (~F.col("is_root")).alias("child"), "seq", "span_id", item_json(spans, "spans", columns).alias("item")
     )
+    # Traces of one document are grouped as they are: their spans are shuffled once and not numbered. The
+    # others are known by a table of at most one row for each max_items spans, so none is shuffled whole.
+    long = spans.groupBy("trace_id").count().filter(F.col("count") > max_items).select(F.col("trace_id").alias("long"))
+    is_long = F.col("trace_id").eqNullSafe(F.col("long"))
+    whole = items.join(F.broadcast(long), is_long, "left_anti")
+    whole = whole.groupBy("trace_id").agg(
+        F.sort_array(F.collect_list(F.struct("child", "seq", "span_id", "item"))).alias("rows"), F.count(F.lit(1)).alias("items")
+    )
     segment = F.when(F.col("child"), F.greatest(sequence_segment("seq"), F.lit(0))).otherwise(-1)
     order = ["child", "seq", "span_id"]
-    numbered = running(items, ["trace_id"], order, segment, {"number": ("sum", F.lit(1).cast("long"))})
-    listed = numbered.groupBy("trace_id", F.floor((F.col("number") - 1) / max_items).alias("part")).agg(
+    cut = items.join(F.broadcast(long), is_long, "left_semi")
+    numbered = running(cut, ["trace_id"], order, segment, {"number": ("sum", F.lit(1).cast("long"))})
+    parts = numbered.groupBy("trace_id", F.floor((F.col("number") - 1) / max_items).alias("part")).agg(
         F.sort_array(F.collect_list(F.struct("number", "item"))).alias("rows"), F.count(F.lit(1)).alias("items")
     )
-    joined = F.array_join(F.transform("rows", lambda r: r["item"]), ",")
-    head = F.to_json(F.struct("trace_id"))  # escapes the id
+
+    def joined(listed: DataFrame) -> DataFrame:
+        return listed.select("trace_id", F.array_join(F.transform("rows", lambda r: r["item"]), ",").alias("spans"), "items")
+
+    listed = joined(whole).unionByName(joined(parts))
+    head = F.to_json(F.struct("trace_id"))  # escapes the id; a null one is left out
+    head = F.when(F.col("trace_id").isNull(), "{").otherwise(F.concat(F.substring(head, 1, F.length(head) - 1), F.lit(",")))
     return listed.select(
         F.lit("spans").alias("endpoint"),
-        F.concat(F.substring(head, 1, F.length(head) - 1), F.lit(',"spans":['), joined, F.lit("]}")).alias("document"),
+        F.concat(head, F.lit('"spans":['), F.col("spans"), F.lit("]}")).alias("document"),
         "items",
     )
 
@@ -116,7 +130,7 @@ _MANIFEST = "endpoint string, documents long, items long, characters long, batch
 
 
 def export_batch(documents: DataFrame, path: str, batch: str) -> bool:
-    """Writes a batch of documents once: JSON lines by endpoint in ``<path>/documents/batch=<batch>``, and
+    """Writes a batch of documents once: gzipped JSON lines by endpoint in ``<path>/documents/batch=<batch>``, and
     then what it holds in ``<path>/manifest/batch=<batch>``, which is what makes it part of the export.
 
     A batch that is in the manifest is left as it is, and False returned. One that failed half-way
@@ -130,7 +144,7 @@ def export_batch(documents: DataFrame, path: str, batch: str) -> bool:
     seen = Observation()
     totals = [F.sum(F.when(F.col("endpoint") == e, F.col("items"))).alias(e) for e in sorted({v[0] for v in ENDPOINTS.values()})]
     lines = documents.observe(seen, *totals).select("endpoint", F.col("document").alias("value"))
-    lines.write.mode("overwrite").partitionBy("endpoint").text(folder)
+    lines.write.mode("overwrite").partitionBy("endpoint").text(folder, compression="gzip")
     items = F.create_map(*[F.lit(x) for e, n in seen.get.items() for x in (e, n or 0)])
     written = spark.read.schema("value string, endpoint string").text(folder).groupBy("endpoint").agg(
         F.count(F.lit(1)).alias("documents"), F.sum(F.length("value")).alias("characters")

@@ -566,6 +566,30 @@ def test_a_batch_of_documents_is_exported_once(spark, tmp_path):
     assert sorted(e["value"] for m in read for e in m) == [0.0, 1.0, 2.0, 3.0, 4.0]
 
 
+def test_traces_of_any_length_are_written_small(spark, tmp_path):
+    sizes = {"a": 1, "b": 3, "c": 4, "d": 200, None: 5}
+    rows = [(t, f"{t}-{i}", i * 10**6 if i else -1, f"GET /{i}", i == 0) for t, n in sizes.items() for i in range(n)]
+    random.Random(1).shuffle(rows)
+    df = spark.createDataFrame(rows, "trace_id string, span_id string, seq long, name string, is_root boolean")
+    docs = export.trace_documents(df, ["span_id", "name"], max_items=3)
+    got = {}
+    for r in docs.collect():
+        d = json.loads(r.document)
+        assert r.items == len(d["spans"]) <= 3
+        got.setdefault(d.get("trace_id"), []).append([x["span_id"] for x in d["spans"]])
+    assert {t: sorted(p, key=lambda x: int(x[0].split("-")[1])) for t, p in got.items()} == {
+        t: [[f"{t}-{i}" for i in range(k, min(k + 3, n))] for k in range(0, n, 3)] for t, n in sizes.items()
+    }
+    path = str(tmp_path / "export")
+    assert export.export_batch(docs.coalesce(1), path, "a")
+    files = list((tmp_path / "export" / "documents").rglob("part-*"))
+    written = export.committed(spark, path).first()
+    assert sum(f.stat().st_size for f in files) < written.characters / 3
+    assert sorted(r.value for r in export.exported(spark, path).collect()) == sorted(r.document for r in docs.collect())
+    plan = docs._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "LeftSemi" in plan  # short traces are told apart before they are shuffled
+
+
 def test_sketches_of_parts_add_up_to_the_whole(spark):
     rng = random.Random(3)
     rows = [("E", f"code {rng.randint(0, 9)} at 0xff{i:04x}" if i % 3 else "plain", f"u{rng.randint(0, 4000)}", at(i)) for i in range(9000)]
