@@ -317,9 +317,10 @@ def event_assemble(
     """The full error row. Order matters: breadcrumbs and SQL are redacted with the rest, user
     and trace id are not, and the strict projection comes last, over everything."""
     if redact:
-        # Before the lookups: a Python function can't stand inside an array of breadcrumbs.
+        # Before the lookups: a Python function can't stand inside an array of breadcrumbs, and a message is
+        # redacted in compiled code there, once and not for every error that shows it.
         ship(errors.sparkSession)
-        breadcrumbs = breadcrumbs.withColumn("data", redact_fields(F.col("data")))
+        breadcrumbs = breadcrumbs.withColumns({"data": redact_fields(F.col("data")), "message": pii.redact(F.col("message"))})
     # The lookups run side by side on what identifies an error; the wide rows are shuffled once,
     # to meet the answers on the error's own id.
     narrow = errors.select("error_id", "thread_id", "seq", "occurred_at", "user")
@@ -345,10 +346,6 @@ def event_assemble(
                     "backtrace",
                     lambda f: f.withField("file", pii.redact(f["file"])).withField("method", pii.redact(f["method"])),
                 ),
-                "breadcrumbs": F.transform(
-                    "breadcrumbs",
-                    lambda b: b.withField("message", pii.redact(b["message"])),
-                ),
                 "context": redact_fields(F.col("context")),
                 "tags": redact_fields(F.col("tags")),
             }

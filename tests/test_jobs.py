@@ -590,6 +590,15 @@ def test_traces_of_any_length_are_written_small(spark, tmp_path):
     assert "LeftAnti" in plan and "LeftSemi" in plan  # short traces are told apart before they are shuffled
 
 
+def test_a_breadcrumb_is_redacted_once_however_many_errors_show_it(spark):
+    er = error(spark, *[{"error_id": i, "thread_id": "a", "seq": 10 + i, "occurred_at": at(10 + i)} for i in range(3)])
+    mailed = crumbs(spark, ("a", 1, "add")).withColumn("message", F.lit("to jo@mail.example.com"))
+    st, tr = (spark.createDataFrame([], SIGNALS[s]) for s in ("set_user", "traces"))
+    full = errors.event_assemble(er, st, mailed, tr, max_breadcrumbs=30)
+    assert [[b.message for b in r.breadcrumbs] for r in full.collect()] == [["to [EMAIL FILTERED]"]] * 3
+    assert "transform(breadcrumbs#" not in full._jdf.queryExecution().analyzed().toString()
+
+
 def test_sketches_of_parts_add_up_to_the_whole(spark):
     rng = random.Random(3)
     rows = [("E", f"code {rng.randint(0, 9)} at 0xff{i:04x}" if i % 3 else "plain", f"u{rng.randint(0, 4000)}", at(i)) for i in range(9000)]
