@@ -15,6 +15,8 @@ THRESHOLD_MS = 1000.0
 STATEMENT, SYSTEM = "db.statement", "db.system"
 
 _BEFORE_ALL = -(2**62)
+# A task takes whole traces whose bucket of hashes has so many events, or so many times the average.
+_WHOLE, _TIMES, _BUCKETS = 100_000, 8, 2**16
 
 
 _TRACE_SEGMENT = ["trace_id", SEGMENT]
@@ -24,7 +26,7 @@ def _early_closes(events: DataFrame, segment: Column) -> DataFrame:
     """For each segment of a trace: the spans opened or closed in it whose only close comes before their
     only opening, each with the segment of its close. Only ids and numbers are shuffled for it."""
     op = F.col("op")
-    ends = events.filter(op.isin("open", "close")).select("trace_id", "span_id", "seq", segment.alias(SEGMENT), (op == "open").alias("opens"))
+    ends = events.filter(op.isin("open", "close") & F.col("span_id").isNotNull()).select("trace_id", "span_id", "seq", segment.alias(SEGMENT), (op == "open").alias("opens"))
     opened, closed = (F.when(c, F.col("seq")) for c in (F.col("opens"), ~F.col("opens")))
     early = (
         ends.groupBy("trace_id", "span_id")
@@ -131,58 +133,133 @@ def _along_traces(events: DataFrame, roots: DataFrame, segment: Column) -> DataF
     )
 
 
-def _trees(events: DataFrame, roots: DataFrame, segment: Column | None, cap: int | None, threshold_ms: float | None) -> DataFrame:
-    segment = sequence_segment("seq") if segment is None else segment
-    extra = [c for c in ("data",) if c in events.columns]
-    facts = ["name", "kind", "started_at", "duration_ms", "seq", *extra]
+def _is_long(events: DataFrame, whole: int | None) -> Column:
+    """Whether a row's trace may be too long for one task. Events are counted per bucket of hashed ids, so
+    this shuffles as many rows as there are buckets, however many traces; it is one value to the plan."""
+    bucket = F.pmod(F.xxhash64("trace_id"), F.lit(_BUCKETS)).cast("int")
+    counts = events.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.withColumn("all", F.sum("n").over(Window.partitionBy(F.lit(0))))
+    most = F.greatest(F.lit(_WHOLE), F.col("all") * _TIMES / _BUCKETS) if whole is None else F.lit(whole)
+    long = counts.filter(F.col("n") > most).agg(F.collect_list("bucket").alias("long"))
+    flags = long.select(F.transform(F.sequence(F.lit(0), F.lit(_BUCKETS - 1)), lambda b: F.array_contains("long", b)))
+    return F.get(flags.scalar(), bucket)
+
+
+def _whole_spans(events: DataFrame, roots: DataFrame, facts: list[str], cap: int | None, threshold_ms: float | None) -> DataFrame:
+    """Recorded spans with their parents, each trace by one task: rows are shuffled once, with the trace's
+    root among them, and all windows are over that. An opening takes no facts along.
+
+    A span closed before it was opened is recorded by its opening, which takes over the facts of the close.
+    """
+    op, step, at = F.col("op"), F.col("step"), F.col("at")
+    # In one segment, so that the key is that of traces in several. A root has no step and comes first.
+    whole = ["trace_id", F.lit(0).cast("long").alias(SEGMENT), "span_id"]
+    change = F.when(op == "open", 1).when(op == "close", -1).otherwise(0)
+    others = [c for c in facts if c != "seq"]
+    rows = events.select(*whole, change.alias("step"), F.col("seq").alias("at"), *[F.when(op != "open", F.col(c)).alias(c) for c in others])
+    root = F.struct("span_id", *(["duration_ms"] if threshold_ms is not None else []))
+    rows = rows.unionByName(roots.select(*whole, root.alias("root")), allowMissingColumns=True)
+    rows = rows.repartition(*_TRACE_SEGMENT)  # else the first window, of spans, would have an exchange of its own
+
+    ends = Window.partitionBy(*_TRACE_SEGMENT, "span_id")
+    opened, closed = (F.when(step == n, at) for n in (1, -1))
+    once = (F.count(opened).over(ends) == 1) & (F.count(closed).over(ends) == 1)
+    early = F.col("span_id").isNotNull() & once & (F.max(closed).over(ends) < F.min(opened).over(ends))
+    rows = rows.withColumns({"early": early, "seq": F.max(closed).over(ends)})
+    late = F.col("early") & (step == 1)
+    taken = {c: F.first(F.when(step == -1, F.col(c)), ignorenulls=True).over(ends) for c in others}
+    rows = rows.withColumns({c: F.when(late, value).otherwise(F.col(c)) for c, value in taken.items()})
+    rows = rows.filter(~(F.col("early") & step.eqNullSafe(-1)))
+    rows = rows.withColumns({"seq": F.when(late, F.col("seq")).otherwise(at), "step": F.when(late, 0).otherwise(step)}).drop("early")
+
+    order = ["at", F.desc_nulls_first("step")]
+    upto = Window.partitionBy(*_TRACE_SEGMENT).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    # An opening raises the level it stands on; a close asks about the level under the one it leaves.
+    depth = F.coalesce(F.sum("step").over(upto.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rows = rows.withColumns({"level": depth + step, "root": F.max("root").over(upto)}).filter(step.isNotNull())
+    if threshold_ms is not None:
+        rows = rows.filter(F.col("root.duration_ms") >= threshold_ms)
+    rows = rows.withColumn("root", F.col("root.span_id"))
+    on_level = Window.partitionBy(*_TRACE_SEGMENT, "level").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    open_there = F.last(F.when(step == 1, F.col("span_id")), ignorenulls=True).over(on_level)
+    spans = rows.withColumn("parent_span_id", F.coalesce(open_there, "root")).filter(step <= 0)
+    if cap is not None:
+        number = F.row_number().over(Window.partitionBy(*_TRACE_SEGMENT).orderBy("seq"))
+        spans = spans.withColumn("number", number).filter(F.col("number") < cap)
+    return spans.select("trace_id", "span_id", "parent_span_id", *facts)
+
+
+def _split_spans(
+    events: DataFrame, roots: DataFrame, facts: list[str], segment: Column, cap: int | None, threshold_ms: float | None
+) -> DataFrame:
+    """The same with each segment of a trace by one task."""
     rows = _stepped(events, segment, ["trace_id", "op", "span_id", *facts]).filter("op <> 'open'")
     spans = rows.join(_along_traces(events, roots, segment), _TRACE_SEGMENT)
     if threshold_ms is not None:
         spans = spans.filter(F.col("root.duration_ms") >= threshold_ms)
-        roots = roots.filter(F.col("duration_ms") >= threshold_ms)
     if cap is not None:
         spans = spans.filter(F.col("recorded_before") + F.col("recorded") < cap)
     found = F.coalesce("local", F.try_element_at("open", F.col("level")))
     found = F.when(F.col("home").isNull(), found).otherwise(F.try_element_at("late", F.col("span_id")))
     parent = F.coalesce(found, "root.span_id")
-    spans = spans.select("trace_id", "span_id", parent.alias("parent_span_id"), *facts, F.lit(False).alias("is_root"))
+    return spans.select("trace_id", "span_id", parent.alias("parent_span_id"), *facts)
+
+
+def _trees(
+    events: DataFrame, roots: DataFrame, segment: Column | None, whole: int | None, cap: int | None, threshold_ms: float | None
+) -> DataFrame:
+    # Events without a number come before all others, here and in a whole trace.
+    segment = F.coalesce(sequence_segment("seq") if segment is None else segment, F.lit(_BEFORE_ALL + 1))
+    extra = [c for c in ("data",) if c in events.columns]
+    facts = ["name", "kind", "started_at", "duration_ms", "seq", *extra]
+    events = events.filter(F.col("op").isin("open", "close", "leaf") & F.col("trace_id").isNotNull())
+    traced = roots.filter(F.col("trace_id").isNotNull())
+    long = _is_long(events, whole)
+    spans = _whole_spans(events.filter(~long), traced.filter(~long), facts, cap, threshold_ms).unionByName(
+        _split_spans(events.filter(long), traced.filter(long), facts, segment, cap, threshold_ms)
+    )
+    if threshold_ms is not None:
+        roots = roots.filter(F.col("duration_ms") >= threshold_ms)
     root_spans = roots.select(
         "trace_id", "span_id", traceparent.parse(F.col("traceparent"))["parent_span_id"].alias("parent_span_id"),
         "name", F.lit("controller").alias("kind"), "started_at", "duration_ms", F.lit(_BEFORE_ALL).cast("long").alias("seq"),
         *[F.create_map().cast("map<string,string>").alias(c) for c in extra], F.lit(True).alias("is_root"),
     )
-    return spans.unionByName(root_spans)
+    return spans.withColumn("is_root", F.lit(False)).unionByName(root_spans)
 
 
-def span_tree(events: DataFrame, roots: DataFrame, *, segment: Column | None = None) -> DataFrame:
+def span_tree(events: DataFrame, roots: DataFrame, *, segment: Column | None = None, whole: int | None = None) -> DataFrame:
     """Recorded spans with their parents, from ``open``, ``close`` and ``leaf`` events.
 
     A leaf's parent is the span open when it came, else the root. Spans close in reverse order of
     opening, so a close's parent is the span that is open beneath the one it closes. A span that never
     closes is none; a close whose opening was lost counts as closing the innermost open span. A close
     that comes before its own opening closes nothing and that opening opens nothing: the span is recorded
-    at the close, under the one that is open at the opening. Segments of
-    a trace are matched side by side, so a trace of any length is spread over tasks; wide rows are
-    shuffled once. Rows without trace_id are left out.
+    at the close, under the one that is open at the opening. Rows without trace_id are left out.
+
+    Traces are matched whole, and rows shuffled once. Only where a bucket of traces has more than
+    ``whole`` events (100,000 or eight times the average) are their segments matched side by side, so a
+    trace of any length is spread over tasks.
 
     ``events``: trace_id, seq, op, span_id, name, kind, started_at, duration_ms and, if there is, data.
     ``roots``: trace_id, span_id, traceparent, name, started_at, duration_ms.
     """
-    return _trees(events, roots, segment, None, None)
+    return _trees(events, roots, segment, whole, None, None)
 
 
 def captured_traces(
-    events: DataFrame, roots: DataFrame, *, cap: int, threshold_ms: float = THRESHOLD_MS, strict: bool = False, segment: Column | None = None
+    events: DataFrame, roots: DataFrame, *, cap: int, threshold_ms: float = THRESHOLD_MS, strict: bool = False, segment: Column | None = None,
+    whole: int | None = None,
 ) -> DataFrame:
     """:func:`span_tree`, :func:`trace_capture`, :func:`span_cap` and :func:`span_normalize` as one job.
 
-    Whether a trace's root is slow and how many spans were recorded before a segment come to the
-    segments with their depth, so all four rest on one exchange by trace, of a row per segment and
-    level. Names and statements are cleaned in what is left. Inputs as for :func:`span_tree`.
+    Whether a trace's root is slow comes with its rows, and to the segments of a long one with their
+    depth and how many spans were recorded before them, so all four rest on the same exchanges. Names
+    and statements are cleaned in what is left. Inputs as for :func:`span_tree`.
     """
     if "data" not in events.columns:
         events = events.withColumn("data", F.create_map().cast("map<string,string>"))
-    return span_normalize(_trees(events, roots, segment, cap, threshold_ms), strict=strict)
+    return span_normalize(_trees(events, roots, segment, whole, cap, threshold_ms), strict=strict)
 
 
 def _database_data(data: Column) -> Column:

@@ -706,3 +706,71 @@ def test_captured_traces_equal_the_four_jobs_one_after_another(spark):
         assert sorted(map(str, got.select(sorted(got.columns)).collect())) == sorted(map(str, want.select(sorted(got.columns)).collect()))
         plan = got._jdf.queryExecution().executedPlan().toString()
         assert len(re.findall(r"\bExchange hashpartitioning\(trace_id#\d+, \d+\)", plan)) == 1
+
+
+@pytest.mark.parametrize("whole", [None, 150, 0])
+def test_whole_traces_and_traces_in_segments_have_the_same_spans(spark, whole):
+    rng = random.Random(8)
+    header = f"00-{'a' * 32}-{'b' * 16}-01"
+    events, roots, want = [], [], {}
+    for t in range(40):
+        trace, stack, pending, n = f"t{t}", [], [], rng.sample(range(4000), 700)
+        if t % 9:
+            roots.append((trace, f"{trace}-root", header, "GET /", at(t), rng.choice([10.0, 5000.0])))
+        under = lambda: stack[-1] if stack else f"{trace}-root" if t % 9 else None  # noqa: B023, E731
+        for i, seq in enumerate(sorted(n[: 600 if t == 7 else rng.randint(1, 25)])):
+            sid, draw = f"{trace}-{i}", rng.random()
+            op = "close" if draw < 0.45 else "open" if draw < 0.7 or pending else "leaf"
+            if op == "close" and stack and draw < 0.3:
+                sid = stack.pop()
+                want[sid] = (under(), seq)
+            elif op == "close":  # comes before its opening, which may never come
+                pending.append((sid, seq))
+                continue
+            elif op == "open" and pending:
+                sid, closed = pending.pop(rng.randrange(len(pending)))
+                want[sid] = (under(), closed)
+                events.append((trace, None, closed, "close", sid, f"c {sid}", "http", at(closed), 2.0, {"seq": str(closed)}))
+            elif op == "leaf":
+                want[sid] = (under(), seq)
+            else:
+                stack.append(sid)
+            events.append((trace, None, seq, op, sid, f"{op[0]} {sid}", "service", at(seq), 1.0, {"seq": str(seq)}))
+    ev = spark.createDataFrame(events, SIGNALS["span_events"])
+    ro = spark.createDataFrame(roots, "trace_id string, span_id string, traceparent string, name string, started_at timestamp, duration_ms double")
+    from opsignals.operators.running import sequence_segment
+
+    segment = sequence_segment("seq", 300)
+    got = traces.span_tree(ev, ro, segment=segment, whole=whole).filter("NOT is_root").collect()
+    # What belongs to a close comes from it, wherever its opening was.
+    facts = {e[4]: (e[5], e[6], e[8], e[9]) for e in events if e[3] != "open"}
+    assert sorted((r.span_id, r.parent_span_id, r.seq, (r.name, r.kind, r.duration_ms, r.data)) for r in got) == sorted(
+        ((s, *w, facts[s]) for s, w in want.items()), key=lambda r: r[0]
+    )
+    kept = traces.captured_traces(ev, ro, cap=8, segment=segment, whole=whole).filter("NOT is_root").collect()
+    slow = {r[0] for r in roots if r[5] >= 1000}
+    first = [s for t in slow for s in sorted((s for s in want if s.startswith(f"{t}-")), key=lambda s: want[s][1])[:7]]
+    assert {(r.span_id, r.parent_span_id, r.seq) for r in kept} == {(s, *want[s]) for s in first} and len(kept) == len(first)
+
+
+def shuffled_rows(plan):
+    """Rows that the exchanges of an executed plan wrote, without those of its subqueries."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return shuffled_rows(plan.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return shuffled_rows(plan.plan())
+    own = plan.metrics().apply("shuffleRecordsWritten").value() if kind == "ShuffleExchangeExec" else 0
+    return own + sum(shuffled_rows(plan.children().apply(i)) for i in range(plan.children().size()))
+
+
+def test_the_spans_of_whole_traces_are_shuffled_once(spark):
+    rows = [("open", "outer"), ("close", "late"), ("open", "inner"), ("leaf", "one"), ("open", "late"), ("close", "inner"), ("close", "outer")]
+    roots = spark.createDataFrame(
+        [("t", "root", None, "GET /", at(0), 9.0)],
+        "trace_id string, span_id string, traceparent string, name string, started_at timestamp, duration_ms double",
+    )
+    tree = traces.span_tree(span_events(spark, *rows), roots)
+    assert {r.span_id: r.parent_span_id for r in tree.collect()} == {"root": None, "outer": "root", "inner": "outer", "one": "inner", "late": "inner"}
+    # Each event and the root once: no trace is long, so nothing is done for segments.
+    assert shuffled_rows(tree._jdf.queryExecution().executedPlan()) == len(rows) + 1
