@@ -16,7 +16,7 @@ STATEMENT, SYSTEM = "db.statement", "db.system"
 
 _BEFORE_ALL = -(2**62)
 # A task takes whole traces whose bucket of hashes has so many events, or so many times the average.
-_WHOLE, _TIMES, _BUCKETS = 100_000, 8, 2**16
+_WHOLE, _TIMES, _BUCKETS = 1_000_000, 8, 2**16
 
 
 _TRACE_SEGMENT = ["trace_id", SEGMENT]
@@ -238,7 +238,7 @@ def span_tree(events: DataFrame, roots: DataFrame, *, segment: Column | None = N
     at the close, under the one that is open at the opening. Rows without trace_id are left out.
 
     Traces are matched whole, and rows shuffled once. Only where a bucket of traces has more than
-    ``whole`` events (100,000 or eight times the average) are their segments matched side by side, so a
+    ``whole`` events (a million or eight times the average) are their segments matched side by side, so a
     trace of any length is spread over tasks.
 
     ``events``: trace_id, seq, op, span_id, name, kind, started_at, duration_ms and, if there is, data.
